@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bpe, langid, wumanber
+from convograph.llm import bpe, langid, secretscan, wumanber
 from convograph.llm.common import ready, table
 
 
@@ -15,6 +15,11 @@ def tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    return secretscan.digests(secretscan.scan_whole(spark, table(spark, sf, "documents")))
+
+
 def op5_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
     return bpe.digests(bpe.round_trip(table(spark, sf, "documents"), tokenizer()))
@@ -34,6 +39,7 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
