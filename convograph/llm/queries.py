@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bpe, langid, repeats, secretscan, wumanber
+from convograph.llm import bpe, langid, repeats, secretscan, simhash, wumanber
 from convograph.llm.common import ready, table
 
 
@@ -20,6 +20,11 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secretscan.digests(secretscan.scan_whole(spark, table(spark, sf, "documents")))
 
 
+def op2_simhash_classes(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    return simhash.digests(simhash.classes(table(spark, sf, "documents")))
+
+
 def op4_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
     return repeats.digests(repeats.deduplicate(table(spark, sf, "documents")))
@@ -45,6 +50,7 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_simhash_classes": op2_simhash_classes,
     "op4_repeated_strings": op4_repeated_strings,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op8_decontamination": op8_decontamination,
