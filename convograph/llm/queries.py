@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bpe, langid, repeats, secretscan, simhash, wumanber
+from convograph.llm import bpe, langid, linededup, repeats, secretscan, simhash, wumanber
 from convograph.llm.common import ready, table
 
 
@@ -35,6 +35,11 @@ def op5_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(table(spark, sf, "documents"), tokenizer()))
 
 
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    return linededup.digests(linededup.deduplicate(table(spark, sf, "documents")))
+
+
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
     return wumanber.digests(wumanber.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
@@ -53,6 +58,7 @@ QUERIES = {
     "op2_simhash_classes": op2_simhash_classes,
     "op4_repeated_strings": op4_repeated_strings,
     "op5_bpe_round_trip": op5_bpe_round_trip,
+    "op6_line_dedup": op6_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
 }
