@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bpe, langid, linededup, repeats, secretscan, simhash, wumanber
+from convograph.llm import bpe, katz, langid, linededup, repeats, secretscan, simhash, wumanber
 from convograph.llm.common import ready, table
 
 
@@ -40,6 +40,11 @@ def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return linededup.digests(linededup.deduplicate(table(spark, sf, "documents")))
 
 
+def op7_katz_scores(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    return katz.checked(katz.score(table(spark, sf, "documents")))
+
+
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
     return wumanber.digests(wumanber.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_repeated_strings": op4_repeated_strings,
     "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_line_dedup": op6_line_dedup,
+    "op7_katz_scores": op7_katz_scores,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
 }
