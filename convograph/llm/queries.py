@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bpe, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, wumanber
+from convograph.llm import bm25, bpe, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, wumanber
 from convograph.llm.common import ready, table
 
 
@@ -63,6 +63,12 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.size("mixture").alias("n_langs"))
 
 
+def op10_bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    docs = table(spark, sf, "documents")
+    return bm25.search(docs, docs.where("doc_id % 50 = 0"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_classes": op2_simhash_classes,
@@ -73,6 +79,7 @@ QUERIES = {
     "op7_katz_scores": op7_katz_scores,
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
+    "op10_bm25_topk": op10_bm25_topk,
 }
 
 SQL: dict[str, str] = {
