@@ -102,6 +102,18 @@ def pieces(offsets: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]
         i = min(j, n)
 
 
+def pack_ids(x: np.ndarray) -> bytes:
+    """Document ids as places in a table of the distinct ones."""
+    table, place = np.unique(x, return_inverse=True)
+    return join(table, place.astype(np.uint16 if len(table) <= 1 << 16 else np.uint32))
+
+
+def unpack_ids(data: bytes) -> np.ndarray:
+    table, place = split(data)
+    table = np.frombuffer(table, np.int64)
+    return table[np.frombuffer(place, np.uint16 if len(table) <= 1 << 16 else np.uint32)]
+
+
 class Keys:
     """Deals keys into ``n`` buckets by range."""
 
@@ -119,13 +131,19 @@ class Keys:
 
 
 class Blocks:
-    """Rows of (_id, _text, ...) dealt into blocks."""
+    """Rows of (_id, _text, ...) dealt into blocks.
+
+    What crosses the exchange is one compressed Arrow batch for each block and batch of rows.  A few
+    partitions get two blocks each, so that a block's work arrays stay small; with many partitions it is about
+    one each, as the messages between blocks and buckets grow with its square."""
 
-    def __init__(self, docs: DataFrame, per_partition: int = 2):
+    def __init__(self, docs: DataFrame):
         spark = ready(docs.sparkSession)
-        self.n = per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.n = partitions + min(partitions, 64)
         self.keys = Keys(self.n)
-        self.docs = docs.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(self.n)).cast("int"))
+        blocked = docs.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(self.n)).cast("int"))
+        self.docs = blocked.mapInArrow(_deal, "_block int, _rows binary")
 
     def send(self, emit: Callable, replies: DataFrame | None = None) -> DataFrame:
         """Messages of all blocks.  ``emit(rows, replies)`` yields (bucket, payload); replies: payloads by level."""
@@ -135,15 +153,37 @@ class Blocks:
             return pa.table({"bucket": pa.array([b for b, _ in found], pa.int32()), "block": pa.array([block] * len(found), pa.int32()), "payload": pa.array([p for _, p in found], pa.binary())})
 
         if replies is None:
-            return self.docs.groupBy("_block").applyInArrow(lambda key, rows: messages(key[0].as_py(), emit(rows, {})), MESSAGE)
-        return self._with(replies).applyInArrow(lambda key, rows, got: messages(key[0].as_py(), emit(rows, by_level(got))), MESSAGE)
+            return self.docs.groupBy("_block").applyInArrow(lambda key, rows: messages(key[0].as_py(), emit(_gather(rows), {})), MESSAGE)
+        return self._with(replies).applyInArrow(lambda key, rows, got: messages(key[0].as_py(), emit(_gather(rows), by_level(got))), MESSAGE)
 
     def _with(self, replies: DataFrame):
         return self.docs.groupBy("_block").cogroup(replies.groupBy("block"))
 
     def finish(self, build: Callable, replies: DataFrame, schema: str) -> DataFrame:
         """``build(rows, replies)`` returns the table of results of a block."""
-        return self._with(replies).applyInArrow(lambda key, rows, got: build(rows, by_level(got)), schema)
+        return self._with(replies).applyInArrow(lambda key, rows, got: build(_gather(rows), by_level(got)), schema)
+
+
+def _deal(batches):
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        block = batch.column("_block").to_numpy()
+        order, at = groups(block)
+        rest = batch.select([n for n in batch.schema.names if n != "_block"])
+        out = []
+        for i, j in zip(at, [*at[1:], len(order)], strict=True):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rest.schema, options=options) as w:
+                w.write_batch(rest.take(pa.array(order[i:j])))
+            out.append(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(block[order[at]], pa.int32()), pa.array(out, pa.binary())], names=["_block", "_rows"])
+
+
+def _gather(rows: pa.Table) -> pa.Table:
+    """The rows of a block, in no order that a pass could rely on."""
+    if not rows.num_rows:
+        return pa.table({"_id": pa.array([], pa.int64()), "_text": pa.array([], pa.string())})
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in rows.column("_rows").combine_chunks()])
 
 
 def by_level(got: pa.Table) -> dict[int, list[bytes]]:

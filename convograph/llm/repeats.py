@@ -13,8 +13,9 @@ identifier is its anchor; equal strings have equal anchors at equal offsets.  On
 2. the others are refined by the identifiers at offsets -q and +q.  A document whose refined bucket
    also has a smaller document loses the whole context of the anchor; a bucket that is not split by the
    refinement is finished;
-3. where a bucket splits, the strings around the anchor are refined singly, each by the identifiers
-   of its two halves, once for each refined bucket (its smallest document).
+3. where a bucket splits, a string around the anchor can still be common to its parts; such a string takes in the
+   H = 13 bytes before the anchor or those after it.  If two parts agree on that side too, the strings that reach so
+   far are refined singly, each by the identifiers of its two halves, once for each part (its smallest document).
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convograph.llm.common import id_text
-from convograph.llm.exchange import LAST, Blocks, Keys, groups, ids, join, merge, mix, pack, pieces, split, texts, unpack
+from convograph.llm.exchange import LAST, Blocks, Keys, groups, ids, join, merge, mix, pack, pack_ids, pieces, split, texts, unpack, unpack_ids
 
 Q = 25
+H = 13
 BASE = np.uint64(0x9E3779B97F4A7C55)
 LETTER = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -89,13 +91,23 @@ class Part:
         at, doc = self.at[chosen], self.doc[chosen]
         left = np.minimum(Q, at - self.start[doc])
         right = np.minimum(Q, self.stop[doc] - Q - at)
-        return mix(self.h[at - left] + mix(self.h[at + right] + (left * 64 + right).astype(np.uint64)))
+        return (mix(self.h[at - left] + mix(self.h[at + right] + (left * 64 + right).astype(np.uint64))) >> np.uint64(32)).astype(np.uint32)
 
-    def strings(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (position, document) of the strings around the chosen anchors."""
+    def sides(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """16 bits about the H bytes on each side; equal sides give equal bits."""
         at, doc = self.at[chosen], self.doc[chosen]
-        low, high = np.maximum(self.start[doc], at - Q), np.minimum(at, self.stop[doc] - 2 * Q)
-        n = high - low + 1
+        left = np.minimum(H, at - self.start[doc])
+        right = np.minimum(H, self.stop[doc] - Q - at)
+        short = [mix(self.h[p] + n.astype(np.uint64)) >> np.uint64(48) for p, n in ((at - left, left), (at + right, right))]
+        return short[0].astype(np.uint16), short[1].astype(np.uint16)
+
+    def strings(self, before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (position, document) of the strings that reach H bytes before, or after, the chosen anchors."""
+        at = np.concatenate((self.at[before], self.at[after]))
+        doc = np.concatenate((self.doc[before], self.doc[after]))
+        low = np.maximum(self.start[doc], at - np.repeat((Q, H - 1), (len(before), len(after))))
+        high = np.minimum(at - np.repeat((H, 0), (len(before), len(after))), self.stop[doc] - 2 * Q)
+        n = np.maximum(high - low + 1, 0)
         first = np.cumsum(n) - n
         p = np.repeat(low - first, n) + np.arange(n.sum())
         p, index = np.unique(p, return_index=True)
@@ -156,91 +168,119 @@ def _contexts(keys: Keys):
         found = []
         for p, d, _, _ in parts(rows):
             chosen = np.flatnonzero(_find(shared, p.key)[0])
-            found.append((p.key[chosen], p.context(chosen), d[p.doc[chosen]]))
-        key, context, low, high = _least(np.concatenate([f[0] for f in found]), np.concatenate([f[2] for f in found]), np.concatenate([f[1] for f in found]))
+            found.append((p.key[chosen], p.context(chosen), *p.sides(chosen), d[p.doc[chosen]]))
+        key, context, before, after, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+        key, context, before, after, low, high = _least(key, doc, context, before, after)
         for b, i, j in keys.cut(key):
-            yield b, join(pack(key[i:j]), context[i:j], low[i:j], np.packbits(low[i:j] != high[i:j]))
+            yield b, join(pack(key[i:j]), context[i:j], pack_ids(low[i:j]), np.packbits(low[i:j] != high[i:j]), before[i:j], after[i:j])
 
     return emit
 
 
+def _bits(fields: list[list[bytes]], k: int, lengths: list[int]) -> np.ndarray:
+    return np.concatenate([np.unpackbits(np.frombuffer(f[k], np.uint8), count=n) for f, n in zip(fields, lengths, strict=True)] or [np.zeros(0, np.uint8)]).astype(bool)
+
+
+def _column(fields: list[list[bytes]], k: int, kind) -> np.ndarray:
+    return np.concatenate([np.frombuffer(f[k], kind) for f in fields] or [np.zeros(0, kind)])
+
+
 def _refined(payloads: list[bytes]) -> list[bytes | None]:
-    """For each (key, context): its smallest document, and whether the key's bucket was split."""
+    """For each (key, context): its smallest document, and whether another part of a split bucket agrees on either side."""
     fields = [split(p) for p in payloads]
     keys = [unpack(f[0]) for f in fields]
-    key, context = np.concatenate(keys), np.concatenate([np.frombuffer(f[1], np.uint64) for f in fields])
-    low = np.concatenate([np.frombuffer(f[2], np.int64) for f in fields])
-    twice = np.concatenate([np.unpackbits(np.frombuffer(f[3], np.uint8), count=len(k)) for f, k in zip(fields, keys, strict=True)]).astype(bool)
+    key, context, low = np.concatenate(keys), _column(fields, 1, np.uint32), np.concatenate([unpack_ids(f[2]) for f in fields])
+    twice = _bits(fields, 3, [len(k) for k in keys])
     order, at = groups(key, context)
     size = np.diff(at, append=len(order))
     least = np.empty_like(low)
     least[order] = np.repeat(np.minimum.reduceat(low[order], at), size)
-    head = key[order[at]]
-    again = np.zeros(len(at), bool)
-    again[1:] = head[1:] == head[:-1]
-    again[:-1] |= again[1:].copy()
-    divided = np.empty(len(key), bool)
-    divided[order] = np.repeat(again, size)
-    use = divided | twice | (least < low)
+    agree = []
+    for k in (4, 5):
+        side = mix(key[order[at]] + _column(fields, k, np.uint16)[order[at]].astype(np.uint64))
+        by, start = groups(side)
+        many = np.empty(len(at), bool)
+        n = np.diff(start, append=len(by))
+        many[by] = np.repeat(n > 1, n)
+        one = np.empty(len(key), bool)
+        one[order] = np.repeat(many, size)
+        agree.append(one & (least == low))
+    use = agree[0] | agree[1] | twice | (least < low)
     out, i = [], 0
     for k in keys:
         s = slice(i, i + len(k))
         u = use[s]
-        out.append(join(pack(k[u]), context[s][u], least[s][u], np.packbits(divided[s][u])) if u.any() else None)
+        out.append(join(pack(k[u]), context[s][u], pack_ids(least[s][u]), np.packbits(agree[0][s][u]), np.packbits(agree[1][s][u])) if u.any() else None)
         i += len(k)
     return out
 
 
+def _code(key: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return mix(key + mix(more.astype(np.uint64)))
+
+
 def _table(payloads: list[bytes]):
     """Lookup by (key, context) of the replies of the second pass."""
     fields = [split(p) for p in payloads]
     keys = [unpack(f[0]) for f in fields]
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
-    code = mix(np.concatenate(keys)) + np.concatenate([np.frombuffer(f[1], np.uint64) for f in fields])
-    least = np.concatenate([np.frombuffer(f[2], np.int64) for f in fields])
-    divided = np.concatenate([np.unpackbits(np.frombuffer(f[3], np.uint8), count=len(k)) for f, k in zip(fields, keys, strict=True)]).astype(bool)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, bool)
+    lengths = [len(k) for k in keys]
+    code = _code(np.concatenate(keys), _column(fields, 1, np.uint32))
     order = np.argsort(code, kind="stable")
-    return code[order], least[order], divided[order]
+    return code[order], np.concatenate([unpack_ids(f[2]) for f in fields])[order], _bits(fields, 3, lengths)[order], _bits(fields, 4, lengths)[order]
 
 
 def _judge(p: Part, d: np.ndarray, table):
-    """(anchors whose context a smaller document has, anchors whose strings are refined singly)."""
-    code, least, divided = table
-    known, where = _find(code, mix(p.key) + p.context(slice(None)))
+    """(anchors whose context a smaller document has, anchors whose strings are refined singly before and after)."""
+    code, least, before, after = table
+    known, where = _find(code, _code(p.key, p.context(slice(None))))
     known = np.flatnonzero(known)
     where = where[known]
-    earlier = least[where] < d[p.doc[known]]
-    return known[earlier], known[~earlier & divided[where]]
+    doc = d[p.doc[known]]
+    first = least[where] == doc
+    return known[least[where] < doc], known[first & before[where]], known[first & after[where]]
+
+
+class Strings:
+    """The singly refined strings of a block: distinct (key, second) in order, the smallest document of each, and each part's share."""
+
+    def __init__(self, rows: pa.Table, got: dict[int, list[bytes]]):
+        table, found, self.parts = _table(got.get(2, [])), [], []
+        for p, d, data, _ in parts(rows):
+            whole, before, after = _judge(p, d, table)
+            at, doc = p.strings(before, after)
+            key, second = mix(p.h[at] + mix(p.h[at + Q])), (p.h[at] >> np.uint64(32)).astype(np.uint32)
+            self.parts.append((p.start, p.stop, d, data, p.at[whole], p.doc[whole], at, doc, len(key)))
+            found.append((key, second, d[doc]))
+        key, second, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+        order, at = groups(key, second)
+        self.key, self.second = key[order[at]], second[order[at]]
+        self.low = np.minimum.reduceat(doc[order], at) if len(at) else doc[:0]
+        self.which = np.empty(len(key), np.int64)
+        self.which[order] = np.repeat(np.arange(len(at)), np.diff(at, append=len(order)))
 
 
 def _singles(keys: Keys):
     def emit(rows, got):
-        table, found = _table(got.get(2, [])), []
-        for p, d, _, _ in parts(rows):
-            at, doc = p.strings(_judge(p, d, table)[1])
-            found.append((mix(p.h[at] + mix(p.h[at + Q])), p.h[at], d[doc]))
-        key, second, low, high = _least(np.concatenate([f[0] for f in found]), np.concatenate([f[2] for f in found]), np.concatenate([f[1] for f in found]))
-        for b, i, j in keys.cut(key):
-            yield b, join(pack(key[i:j]), second[i:j], low[i:j], high[i:j])
+        x = Strings(rows, got)
+        for b, i, j in keys.cut(x.key):
+            yield b, join(np.array([b], np.int64), pack(x.key[i:j]), x.second[i:j], pack_ids(x.low[i:j]))
 
     return emit
 
 
 def _earliest(payloads: list[bytes]) -> list[bytes | None]:
-    """The strings of each message that a smaller document has."""
+    """For each string of each message whether another block has it in a smaller document."""
     fields = [split(p) for p in payloads]
-    keys = [unpack(f[0]) for f in fields]
-    key = np.concatenate(keys)
-    second, low, high = (np.concatenate([np.frombuffer(f[i], t) for f in fields]) for i, t in ((1, np.uint64), (2, np.int64), (3, np.int64)))
+    keys = [unpack(f[1]) for f in fields]
+    key, second, low = np.concatenate(keys), _column(fields, 2, np.uint32), np.concatenate([unpack_ids(f[3]) for f in fields])
     order, at = groups(key, second)
     least = np.empty_like(low)
     least[order] = np.repeat(np.minimum.reduceat(low[order], at), np.diff(at, append=len(order)))
     out, i = [], 0
-    for k in keys:
-        s = slice(i, i + len(k))
-        u = least[s] < high[s]
-        out.append(join(pack(k[u]), second[s][u], least[s][u]) if u.any() else None)
+    for f, k in zip(fields, keys, strict=True):
+        out.append(join(f[0], np.array([len(k)], np.int64), np.packbits(least[i : i + len(k)] < low[i : i + len(k)])))
         i += len(k)
     return out
 
@@ -249,28 +289,23 @@ RESULT = "_id long, n_bytes long, kept binary, spans array<array<long>>"
 
 
 def _remove(rows: pa.Table, got: dict[int, list[bytes]]) -> pa.Table:
-    table = _table(got.get(2, []))
-    fields = [split(p) for p in got.get(3, [])]
-    code = np.concatenate([unpack(f[0]) + mix(np.frombuffer(f[1], np.uint64)) for f in fields] or [np.zeros(0, np.uint64)])
-    least = np.concatenate([np.frombuffer(f[2], np.int64) for f in fields] or [np.zeros(0, np.int64)])
-    order = np.argsort(code, kind="stable")
-    code, least = code[order], least[order]
+    x = Strings(rows, got)
+    bits = sorted((int(np.frombuffer(f[0], np.int64)[0]), np.unpackbits(np.frombuffer(f[2], np.uint8), count=int(np.frombuffer(f[1], np.int64)[0]))) for f in map(split, got.get(3, [])))
+    elsewhere = np.concatenate([b for _, b in bits] or [np.zeros(0, np.uint8)]).astype(bool)
     out: dict[str, list] = {"_id": [], "n_bytes": [], "kept": [], "spans": []}
-    for p, d, data, _ in parts(rows):
-        whole, single = _judge(p, d, table)
+    used = 0
+    for start, stop, d, data, anchor, of, at, doc, n in x.parts:
         change = np.zeros(len(data) + 1, np.int32)
-        doc = p.doc[whole]
-        np.add.at(change, np.maximum(p.start[doc], p.at[whole] - Q), 1)
-        np.add.at(change, np.minimum(p.stop[doc], p.at[whole] + 2 * Q), -1)
-        at, doc = p.strings(single)
-        if len(at):
-            is_in, where = _find(code, mix(p.h[at] + mix(p.h[at + Q])) + mix(p.h[at].copy()))
-            at = at[is_in][least[where[is_in]] < d[doc[is_in]]] if is_in.any() else at[:0]
-            np.add.at(change, at, 1)
-            np.add.at(change, at + 2 * Q, -1)
+        np.add.at(change, np.maximum(start[of], anchor - Q), 1)
+        np.add.at(change, np.minimum(stop[of], anchor + 2 * Q), -1)
+        which = x.which[used : used + n]
+        used += n
+        at = at[elsewhere[which] | (x.low[which] < d[doc])]
+        np.add.at(change, at, 1)
+        np.add.at(change, at + 2 * Q, -1)
         gone = np.cumsum(change[:-1]) > 0
         for k in range(len(d)):
-            a, b = int(p.start[k]), int(p.stop[k])
+            a, b = int(start[k]), int(stop[k])
             g = gone[a:b]
             out["_id"].append(None if d[k] == LAST else int(d[k]))
             out["n_bytes"].append(b - a)
@@ -290,7 +325,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Strings are judged on the input and may overlap.  Null texts are empty; a null id is larger
     than all others; rows of one id are one document to each other, so they remove nothing from each other; texts
-    under 50 bytes stay whole.  Other columns are not read.  Equality is that of two 64-bit identifiers."""
+    under 50 bytes stay whole.  Other columns are not read.  Equality is that of 96 bits of identifiers."""
     blocks = Blocks(id_text(docs, id_col, text_col))
     first = merge(blocks.send(_first(blocks.keys)), 1, _shared)
     second = merge(blocks.send(_contexts(blocks.keys), first), 2, _refined)
