@@ -134,13 +134,13 @@ class Blocks:
     """Rows of (_id, _text, ...) dealt into blocks.
 
     What crosses the exchange is one compressed Arrow batch for each block and batch of rows.  A few
-    partitions get two blocks each, so that a block's work arrays stay small; with many partitions it is about
-    one each, as the messages between blocks and buckets grow with its square."""
+    partitions get two blocks each, so that a block's work arrays stay small; many get one
+    each, as the messages between blocks and buckets grow with the square of their number."""
 
     def __init__(self, docs: DataFrame):
         spark = ready(docs.sparkSession)
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.n = partitions + min(partitions, 64)
+        self.n = max(partitions, min(2 * partitions, 128))
         self.keys = Keys(self.n)
         blocked = docs.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(self.n)).cast("int"))
         self.docs = blocked.mapInArrow(_deal, "_block int, _rows binary")
@@ -165,7 +165,7 @@ class Blocks:
 
 
 def _deal(batches):
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
     for batch in batches:
         block = batch.column("_block").to_numpy()
         order, at = groups(block)

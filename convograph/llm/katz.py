@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convograph.llm.common import id_text
-from convograph.llm.exchange import Blocks, Keys, groups, ids, join, mix, pack, pieces, split, texts, unpack
+from convograph.llm.exchange import REPLY, Blocks, Keys, groups, ids, join, mix, pack, pieces, split, texts, unpack
 
 K = 5
 BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -94,17 +94,31 @@ def _unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel() if data else np.zeros(0, kind)
 
 
-def _counts(keys: Keys, of: int):
-    """To every bucket of the word table, then of the pair table, this block's keys and training counts."""
+def _send(keys: Keys, k: np.ndarray, n: np.ndarray, aside: list[int]):
+    """To every bucket, keys or not, its keys and their training counts; the first also gets the counts of counts of keys not sent."""
+    cut = {b: (f, t) for b, f, t in keys.cut(k)}
+    for b in range(keys.n):
+        f, t = cut.get(b, (0, 0))
+        yield b, join(pack(k[f:t]), _planes(n[f:t].astype(np.uint32)), np.array(aside if b == 0 else [0] * (K + 3), np.int64))
 
+
+def _words(keys: Keys, of: int):
     def emit(rows, _):
         x = Text(rows, of)
-        for table, key in enumerate((x.word, x.pair)):
-            k, n, _, _ = _counted(key, x.train)
-            cut = {b: (f, t) for b, f, t in keys.cut(k)}
-            for b in range(keys.n):
-                f, t = cut.get(b, (0, 0))
-                yield table * keys.n + b, join(pack(k[f:t]), _planes(n[f:t].astype(np.uint32)))
+        k, n, _, _ = _counted(x.word, x.train)
+        yield from _send(keys, k, n, [0] * (K + 3))
+
+    return emit
+
+
+def _pairs(keys: Keys, of: int):
+    """Pairs of words that other blocks have too; the counts of the other pairs are known here."""
+
+    def emit(rows, got):
+        x = Text(rows, of)
+        a = Answers(x, got)
+        k, n, _, _ = a.pairs
+        yield from _send(keys, k[~a.here], n[~a.here], _of_counts(n[a.here]))
 
     return emit
 
@@ -114,11 +128,11 @@ def _of_counts(n: np.ndarray) -> list[int]:
     return [int(n.sum()), int((n > 0).sum()), *np.bincount(n[n <= K + 1], minlength=K + 2)[1 : K + 2].tolist()]
 
 
-def _tally(messages: DataFrame, n_buckets: int) -> DataFrame:
-    """Answers to each block: its keys' counts over all blocks, whether it alone has a word and whether it is the one
+def _tally(messages: DataFrame, level: int) -> DataFrame:
+    """Answers to each block: its keys' counts over all blocks, whether it alone has a word or is the one
     block that answers for a pair, and the bucket's counts of counts."""
 
-    def run(rows: pa.Table) -> pa.Table:
+    def tally(rows: pa.Table) -> pa.Table:
         blocks = rows.column("block").to_numpy()
         order = np.argsort(blocks, kind="stable")
         bucket = rows.column("bucket")[0].as_py()
@@ -127,25 +141,25 @@ def _tally(messages: DataFrame, n_buckets: int) -> DataFrame:
         keys = [unpack(f[0]) for f in fields]
         n = np.concatenate([_unplanes(f[1], np.uint32) for f in fields]).astype(np.int64)
         by, at = groups(np.concatenate(keys))
+        size = np.diff(at, append=len(by))
         total = np.add.reduceat(n[by], at) if len(at) else np.zeros(0, np.int64)
         every = np.empty(len(by), np.int64)
-        every[by] = np.repeat(total, np.diff(at, append=len(by)))
-        owner = np.zeros(len(by), bool)
-        if len(at):  # the first block that has training counts of the key
+        every[by] = np.repeat(total, size)
+        mark = np.zeros(len(by), bool)
+        if level == 1:
+            mark[by] = np.repeat(size == 1, size)
+        elif len(at):  # the first block that has training counts of the pair
             first = np.minimum.reduceat(np.where(n[by] > 0, np.arange(len(by)), len(by)), at)
-            owner[by[first[first < len(by)]]] = True
-            if bucket < n_buckets:  # words: whether no other block has it
-                owner[by] = np.repeat(np.diff(at, append=len(by)) == 1, np.diff(at, append=len(by)))
-        stats = np.array(_of_counts(total), np.int64)
+            mark[by[first[first < len(by)]]] = True
+        stats = np.array(_of_counts(total), np.int64) + sum(np.frombuffer(f[2], np.int64) for f in fields)
         out, i = [], 0
         for k in keys:
             s = slice(i, i + len(k))
-            out.append(join(np.array([bucket % n_buckets], np.int64), _planes(every[s].astype(np.uint64)), np.packbits(owner[s]), stats))
+            out.append(join(np.array([bucket], np.int64), _planes(every[s].astype(np.uint64)), np.packbits(mark[s]), stats))
             i += len(k)
-        level = bucket // n_buckets + 1
         return pa.table({"block": pa.array(blocks[order], pa.int32()), "level": pa.array([level] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())})
 
-    return messages.groupBy("bucket").applyInArrow(run, "block int, level int, payload binary")
+    return messages.groupBy("bucket").applyInArrow(tally, REPLY)
 
 
 def discounts(n: list[int] | np.ndarray) -> np.ndarray:
@@ -167,22 +181,25 @@ def _kept(n: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 
 class Answers:
-    """What a block knows after the tally: counts of its words and pairs, and unigram probabilities."""
+    """What a block knows from the answers so far: counts of its words and unigram probabilities, then counts of its pairs.
+
+    ``here`` are the pairs with a word that no other block has; they are counted in this block only."""
 
     def __init__(self, x: Text, got: dict[int, list[bytes]]):
         self.words = _counted(x.word, x.train)
         self.pairs = _counted(x.pair, x.train)
-        found = []
-        for level in (1, 2):
-            rows = sorted((int(np.frombuffer(f[0], np.int64)[0]), f) for f in map(split, got[level]))
-            stats = sum(np.frombuffer(f[3], np.int64) for _, f in rows)
-            n = [_unplanes(f[1], np.uint64) for _, f in rows]
-            own = [np.unpackbits(np.frombuffer(f[2], np.uint8), count=len(k)) for (_, f), k in zip(rows, n, strict=True)]
-            found.append((np.concatenate(n).astype(np.int64), np.concatenate(own).astype(bool), stats))
-        (self.n, self.only, s1), (self.n2, self.own, s2) = found
+        self.n, self.only, s1 = self._read(got[1])
+        words, row = self.words[0], self.pairs[2]
+        i = np.minimum(np.searchsorted(words, x.before[row]), len(words) - 1)
+        self.here = ((words[i] == x.before[row]) & self.only[i]) | self.only[self.words[3][row]]
+        if 2 in got:
+            n, own, s2 = self._read(got[2])
+            self.n2, self.own = self.pairs[1].copy(), np.ones(len(self.here), bool)
+            self.n2[~self.here], self.own[~self.here] = n, own
+            self.d2 = discounts(s2[2:])
         self.total, self.distinct = int(s1[0]), int(s1[1])
+        d1 = discounts(s1[2:])
         # sum of discounted counts over all training words, from the counts of counts
-        d1, self.d2 = discounts(s1[2:]), discounts(s2[2:])
         saved = sum(r * c * (1 - d1[r]) for r, c in zip(range(1, K + 1), s1[2 : K + 2].tolist(), strict=True))
         if self.total:
             # with no rare word to discount, the unknown type gets half a count
@@ -193,6 +210,13 @@ class Answers:
             p = np.ones(len(self.n))
         self.p = p
 
+    @staticmethod
+    def _read(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = sorted((int(np.frombuffer(f[0], np.int64)[0]), f) for f in map(split, payloads))
+        n = [_unplanes(f[1], np.uint64) for _, f in rows]
+        mark = [np.unpackbits(np.frombuffer(f[2], np.uint8), count=len(k)) for (_, f), k in zip(rows, n, strict=True)]
+        return np.concatenate(n).astype(np.int64), np.concatenate(mark).astype(bool), sum(np.frombuffer(f[3], np.int64) for _, f in rows)
+
 
 def _contexts(x: Text, a: Answers):
     """(contexts, training count here, pair sums here, contexts that no other block has)."""
@@ -235,7 +259,7 @@ def weights(count: np.ndarray, kept: np.ndarray, seen: np.ndarray) -> tuple[np.n
 
 
 def _weigh(messages: DataFrame) -> DataFrame:
-    def run(rows: pa.Table) -> pa.Table:
+    def weigh(rows: pa.Table) -> pa.Table:
         blocks = rows.column("block").to_numpy()
         bucket = rows.column("bucket")[0].as_py()
         order = np.argsort(blocks, kind="stable")
@@ -257,7 +281,7 @@ def _weigh(messages: DataFrame) -> DataFrame:
             i += len(k)
         return pa.table({"block": pa.array(blocks[order], pa.int32()), "level": pa.array([3] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())})
 
-    return messages.groupBy("bucket").applyInArrow(run, "block int, level int, payload binary")
+    return messages.groupBy("bucket").applyInArrow(weigh, REPLY)
 
 
 RESULT = "_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -271,7 +295,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
     ``base_score`` that of additively smoothed word counts.  A null text is its end only; a null id counts as the empty text, which is held out;
     repeated rows are documents of their own.  Without training documents every token has probability one."""
     blocks = Blocks(id_text(docs, id_col, text_col))
-    tally = _tally(blocks.send(_counts(blocks.keys, of)), blocks.n)
+    tally = _tally(blocks.send(_words(blocks.keys, of)), 1)
+    tally = tally.unionByName(_tally(blocks.send(_pairs(blocks.keys, of), tally), 2))
     weighed = _weigh(blocks.send(_sums(blocks.keys, of), tally))
 
     def build(rows: pa.Table, got) -> pa.Table:
