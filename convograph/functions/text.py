@@ -157,7 +157,7 @@ def normalize_name(name: Column, suffixes: list[str] = L.NAME_SUFFIXES) -> Colum
 def aliases(name: Column, description: Column) -> Column:
     """Other names in a description, by the alias patterns in order."""
     found = F.concat(*[F.regexp_extract_all(description, F.lit(f"(?i){p}"), F.lit(1)) for p in L.ALIAS_PATTERNS])
-    return F.filter(F.transform(found, F.trim), lambda a: (a != "") & (F.lower(a) != F.lower(name)))
+    return F.filter(F.transform(found, lambda a: F.trim(a)), lambda a: (a != "") & (F.lower(a) != F.lower(name)))
 
 
 def quote_type(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("texts",)
+MODULES: tuple[str, ...] = ("texts", "flow", "graphs")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

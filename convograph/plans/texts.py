@@ -300,12 +300,12 @@ TYPE = "CASE " + " ".join(f"WHEN {sql_any('t', ws)} THEN {quote(k)}" for k, ws i
 
 
 @book.add(rf"""WITH b AS (SELECT item_id, text, lower(text) AS t, len({W}) AS nw FROM benchmark), q AS (SELECT item_id, nw, {TYPE} AS kind FROM b)
-SELECT item_id, kind AS quote_type, round(least(1.0, greatest(0.0, (0.5 + CASE kind WHEN 'insightful' THEN 0.2 WHEN 'controversial' THEN 0.15 WHEN 'factual' THEN 0.1 WHEN 'opinion' THEN 0.05 WHEN 'humorous' THEN 0.1 ELSE 0 END + CASE WHEN nw BETWEEN 15 AND 30 THEN 0.1 ELSE 0 END) * 0.9)), 6) AS importance, round(nw / 150.0 * 60, 6) AS seconds FROM q""")
+SELECT item_id, kind AS quote_type, CAST(round(least(1.0, greatest(0.0, (0.5 + CASE kind WHEN 'insightful' THEN 0.2 WHEN 'controversial' THEN 0.15 WHEN 'factual' THEN 0.1 WHEN 'opinion' THEN 0.05 WHEN 'humorous' THEN 0.1 ELSE 0 END + CASE WHEN nw BETWEEN 15 AND 30 THEN 0.1 ELSE 0 END) * 0.9)), 6) AS DOUBLE) AS importance, round(nw / 150.0 * 60, 6) AS seconds FROM q""")
 def quote_scores(spark, sf):
     return table(spark, sf, "benchmark").select("item_id", T.quote_type(TEXT).alias("quote_type"), r6(T.quote_importance(TEXT, F.lit(0.9))).alias("importance"), r6(F.size(T.words(TEXT)) / 150 * 60).alias("seconds"))
 
 
-@book.add(r"""WITH e AS (SELECT event_id, CAST(value AS BIGINT) AS v FROM events), t AS (SELECT event_id, v, CASE event_id % 4 WHEN 0 THEN '01:' || lpad(CAST(v % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') WHEN 1 THEN CAST(v AS VARCHAR) || ':' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') WHEN 2 THEN CAST(v AS VARCHAR) ELSE 'x' END AS s FROM e)
+@book.add(r"""WITH e AS (SELECT event_id, CAST(floor(value) AS BIGINT) AS v FROM events), t AS (SELECT event_id, v, CASE event_id % 4 WHEN 0 THEN '01:' || lpad(CAST(v % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') WHEN 1 THEN CAST(v AS VARCHAR) || ':' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') WHEN 2 THEN CAST(v AS VARCHAR) ELSE 'x' END AS s FROM e)
 SELECT event_id, CAST(CASE event_id % 4 WHEN 0 THEN 3600 + (v % 60) * 60 + event_id % 60 WHEN 1 THEN v * 60 + event_id % 60 WHEN 2 THEN v END AS BIGINT) AS seconds, lpad(CAST(v * 37 % 7200 // 60 % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(v * 37 % 7200 % 60 AS VARCHAR), 2, '0') AS mmss, v * 37 % 7200 >= 3600 AS has_hours FROM t""")
 def durations(spark, sf):
     v = F.col("value").cast("long")
