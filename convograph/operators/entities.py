@@ -8,13 +8,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from convograph.functions import lexicons as L
 from convograph.functions import text as T
 from convograph.operators.components import connected_components
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratio of matching characters (longest common blocks, recursively); no built-in function computes it."""
     return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])

@@ -47,7 +47,9 @@ def co_occurrences(found: DataFrame) -> DataFrame:
     return left.select("src", F.explode(F.slice("e", F.col("i") + 2, F.size("e"))).alias("dst")).groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
-ENTITY = W.partitionBy("episode_id", "entity_id").orderBy("segment_index")
+def in_order() -> W:
+    """Mentions of an entity in an episode, in order."""
+    return W.partitionBy("episode_id", "entity_id").orderBy("segment_index")
 
 
 def timeline(found: DataFrame, totals: DataFrame) -> DataFrame:
@@ -55,10 +57,10 @@ def timeline(found: DataFrame, totals: DataFrame) -> DataFrame:
 
     The first mention introduces, one past 80 % of the episode concludes, one after a gap of over 20 % calls back, others develop."""
     m = found.join(totals, "episode_id")
-    gap = F.col("segment_index") - F.lag("segment_index").over(ENTITY)
-    kind = F.when(F.row_number().over(ENTITY) == 1, "introduction").when(F.col("segment_index") / F.col("n_segments") > 0.8, "conclusion").when(gap > F.col("n_segments") * 0.2, "callback").otherwise("development")
+    gap = F.col("segment_index") - F.lag("segment_index").over(in_order())
+    kind = F.when(F.row_number().over(in_order()) == 1, "introduction").when(F.col("segment_index") / F.col("n_segments") > 0.8, "conclusion").when(gap > F.col("n_segments") * 0.2, "callback").otherwise("development")
     density = F.least(F.lit(1.0), occurrences(F.col("text"), F.col("name")) * 10 / F.greatest(F.col("word_count"), F.lit(1)))
-    return m.withColumns({"mention_type": kind, "density": density, "nth": F.row_number().over(ENTITY)})
+    return m.withColumns({"mention_type": kind, "density": density, "nth": F.row_number().over(in_order())})
 
 
 def lifecycle(t: DataFrame) -> DataFrame:
@@ -78,11 +80,11 @@ def lifecycle(t: DataFrame) -> DataFrame:
 
 def momentum(t: DataFrame) -> DataFrame:
     """Mentions per second around each mention times their density, and its change."""
-    w = ENTITY.rowsBetween(-1, 1)
+    w = in_order().rowsBetween(-1, 1)
     count, span = F.count("*").over(w), F.max("start_time").over(w) - F.min("start_time").over(w)
     rate = F.when(count == 1, F.col("density")).otherwise(F.when(span > 0, count / span).otherwise(count) * F.avg("density").over(w))
     m = t.withColumn("momentum", rate)
-    return m.withColumn("change", F.coalesce(F.col("momentum") - F.lag("momentum").over(ENTITY), F.lit(0.0)))
+    return m.withColumn("change", F.coalesce(F.col("momentum") - F.lag("momentum").over(in_order()), F.lit(0.0)))
 
 
 def transitions(segments: DataFrame, found: DataFrame) -> DataFrame:
@@ -100,7 +102,7 @@ def transitions(segments: DataFrame, found: DataFrame) -> DataFrame:
 def introductions(found: DataFrame, segments: DataFrame) -> DataFrame:
     """First mention of each entity: kind, depth by its surroundings, and who brought it up."""
     before = segments.select("episode_id", (F.col("segment_index") + 1).alias("segment_index"), F.lower("text").alias("before"))
-    first = found.withColumn("rn", F.row_number().over(ENTITY)).where("rn = 1").drop("rn").join(before, ["episode_id", "segment_index"], "left")
+    first = found.withColumn("rn", F.row_number().over(in_order())).where("rn = 1").drop("rn").join(before, ["episode_id", "segment_index"], "left")
     low = F.lower("text")
     at = F.instr(low, F.lower("name")) - 1
     context = F.substring(low, F.greatest(at - 50, F.lit(0)) + 1, at + F.length("name") + 50 - F.greatest(at - 50, F.lit(0)))
@@ -111,7 +113,7 @@ def introductions(found: DataFrame, segments: DataFrame) -> DataFrame:
 
 def phases(found: DataFrame) -> DataFrame:
     """Development phase of each mention."""
-    n, total = F.row_number().over(ENTITY), F.count("*").over(W.partitionBy("episode_id", "entity_id"))
+    n, total = F.row_number().over(in_order()), F.count("*").over(W.partitionBy("episode_id", "entity_id"))
     low, phase = F.lower("text"), F.when(n == 1, "introduction")
     for name, phrases in L.PHASES:
         phase = phase.when(T.has_any(low, phrases), name)
@@ -150,8 +152,8 @@ def depth(found: DataFrame, segments: DataFrame) -> DataFrame:
 
 def circular(found: DataFrame, gap: int = 5) -> DataFrame:
     """Returns to a concept after more than ``gap`` segments, with how the mentions before and after compare."""
-    n, total = F.row_number().over(ENTITY), F.count("*").over(W.partitionBy("episode_id", "entity_id"))
-    m = found.withColumns({"gap": F.col("segment_index") - F.lag("segment_index").over(ENTITY), "early": n - 1, "later": total - n + 1}).where(F.col("gap") > gap)
+    n, total = F.row_number().over(in_order()), F.count("*").over(W.partitionBy("episode_id", "entity_id"))
+    m = found.withColumns({"gap": F.col("segment_index") - F.lag("segment_index").over(in_order()), "early": n - 1, "later": total - n + 1}).where(F.col("gap") > gap)
     a, b = F.col("early"), F.col("later")
     text = F.when((a == 1) & (b == 1), "Initial mention → Brief return").when(a > b, "Initial exploration → Quick revisit").when(b > a, "Initial mention → Deeper exploration").otherwise("Initial discussion → Balanced return")
     return m.withColumns({"evolution": text, "closure": b >= 2})

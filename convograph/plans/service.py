@@ -9,7 +9,6 @@ from convograph.operators import service as S
 from convograph.plans.base import Book, n, r6, table
 
 book = Book()
-GOOD = F.col("event_type") != "error"
 
 
 def events(spark, sf):
@@ -31,14 +30,14 @@ def histogram_buckets(spark, sf):
 SELECT shard, total, good, total - good AS bad, round(consumed, 6) AS consumed_percent, round(43200 * (1 - 70 / 100.0::DOUBLE) * consumed / 100, 6) AS consumed_minutes, round(greatest(0, 43200 * (1 - 70 / 100.0::DOUBLE) - 43200 * (1 - 70 / 100.0::DOUBLE) * consumed / 100), 6) AS remaining_minutes, CASE WHEN greatest(0, 100 - consumed) < 10 THEN 'critical' WHEN greatest(0, 100 - consumed) < 20 THEN 'warning' ELSE 'healthy' END AS status FROM c""")
 def error_budgets(spark, sf):
     e = events(spark, sf).withColumn("shard", F.col("user_id") % 10)
-    b = S.error_budget(e, ["shard"], GOOD, 70.0, 43200)
+    b = S.error_budget(e, ["shard"], (F.col("event_type") != "error"), 70.0, 43200)
     return b.select("shard", "total", "good", "bad", *[r6(F.col(c)).alias(c) for c in ("consumed_percent", "consumed_minutes", "remaining_minutes")], "status")
 
 
 @book.add("""SELECT length, strftime(start, '%Y-%m-%d %H:%M') AS start, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (WHERE event_type = 'error') AS BIGINT) AS bad, round(count(*) FILTER (WHERE event_type = 'error') / count(*), 6) AS burn_rate
 FROM (SELECT '1h' AS length, time_bucket(INTERVAL 1 hour, ts) AS start, event_type FROM events UNION ALL SELECT '6h', time_bucket(INTERVAL 6 hour, ts, TIMESTAMP '1970-01-01'), event_type FROM events UNION ALL SELECT '24h', time_bucket(INTERVAL 24 hour, ts, TIMESTAMP '1970-01-01'), event_type FROM events) GROUP BY 1, 2""")
 def burn_rates(spark, sf):
-    g = S.windowed_rates(events(spark, sf), "ts", ~GOOD, {"1h": "1 hour", "6h": "6 hours", "24h": "24 hours"})
+    g = S.windowed_rates(events(spark, sf), "ts", (F.col("event_type") == "error"), {"1h": "1 hour", "6h": "6 hours", "24h": "24 hours"})
     return g.select("length", F.date_format("start", "yyyy-MM-dd HH:mm").alias("start"), "total", "bad", r6(F.col("burn_rate")).alias("burn_rate"))
 
 
@@ -51,7 +50,7 @@ def rate_limits(spark, sf):
 @book.add("""WITH e AS (SELECT event_id, user_id % 20 AS k, ts, event_type <> 'error' AS ok FROM events), m AS (SELECT *, CASE WHEN ok = lag(ok) OVER (PARTITION BY k ORDER BY ts, event_id) THEN 0 ELSE 1 END AS nw FROM e), r AS (SELECT *, sum(nw) OVER (PARTITION BY k ORDER BY ts, event_id) AS run FROM m), s AS (SELECT *, row_number() OVER (PARTITION BY k, run ORDER BY ts, event_id) AS streak FROM r) SELECT event_id, streak, CASE WHEN NOT ok AND streak >= 3 THEN 'open' ELSE 'closed' END AS state FROM s""")
 def circuit_states(spark, sf):
     e = events(spark, sf).withColumn("k", F.col("user_id") % 20)
-    return S.circuit(e, "k", ["ts", "event_id"], GOOD, failures=3).select("event_id", n(F.col("streak")).alias("streak"), "state")
+    return S.circuit(e, "k", ["ts", "event_id"], (F.col("event_type") != "error"), failures=3).select("event_id", n(F.col("streak")).alias("streak"), "state")
 
 
 @book.add("SELECT event_id, round(sum(value) OVER w, 4) AS sum_100, count(*) OVER w AS n_100 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)")
@@ -87,7 +86,7 @@ def schema_evolution(spark, sf):
 
 @book.add("WITH h AS (SELECT user_id % 10 AS provider, avg((event_type <> 'error')::INT) AS ok, count(*) AS n FROM events GROUP BY 1), s AS (SELECT count(*) FILTER (WHERE ok >= 0.8) / count(*) AS share FROM h) SELECT round(share, 6) AS share, CASE WHEN share >= 0.8 THEN 'healthy' WHEN share >= 0.5 THEN 'degraded' ELSE 'critical' END AS status FROM s")
 def aggregate_health(spark, sf):
-    h = events(spark, sf).groupBy((F.col("user_id") % 10).alias("provider")).agg(F.avg(GOOD.cast("double")).alias("ok"))
+    h = events(spark, sf).groupBy((F.col("user_id") % 10).alias("provider")).agg(F.avg((F.col("event_type") != "error").cast("double")).alias("ok"))
     s = h.agg((F.count_if(F.col("ok") >= 0.8) / F.count("*")).alias("share"))
     return s.select(r6(F.col("share")).alias("share"), F.when(F.col("share") >= 0.8, "healthy").when(F.col("share") >= 0.5, "degraded").otherwise("critical").alias("status"))
 

@@ -10,7 +10,6 @@ from convograph.functions import text as T
 from convograph.plans.base import Book, listed, n, quote, r6, sql_any, sql_how_many, sql_matches, sql_plain, sql_total, sql_words, table
 
 book = Book()
-TEXT = F.col("text")
 W = sql_words()
 SENT = r"list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), lambda s: s <> '')"
 TOK = rf"regexp_extract_all({sql_plain('lower(text)')}, '\b[a-z]+\b')"
@@ -32,7 +31,7 @@ FROM d""")
 def text_statistics(spark, sf):
     w, s = F.col("w"), F.col("s")
     unique = F.size(F.array_distinct(F.transform(w, F.lower)))
-    d = docs(spark, sf).select("doc_id", "text", T.words(TEXT).alias("w"), T.sentences(TEXT, 11).alias("s"))
+    d = docs(spark, sf).select("doc_id", "text", T.words(F.col("text")).alias("w"), T.sentences(F.col("text"), 11).alias("s"))
     return d.select(
         "doc_id", n(F.length("text")).alias("character_count"), n(F.size(w)).alias("word_count"), n(F.size(s)).alias("sentence_count"),
         r6(F.coalesce(F.when(F.size(w) > 0, T.mean_length(w)), F.lit(0.0))).alias("average_word_length"),
@@ -52,8 +51,8 @@ SELECT doc_id, sha256(trim(replace(replace(replace(replace(replace(regexp_replac
 FROM e""")
 def cleaned_texts(spark, sf):
     return docs(spark, sf).select(
-        "doc_id", F.sha2(T.clean_segment(TEXT), 256).alias("cleaned"), F.sha2(T.clean_quote(TEXT), 256).alias("quoted"), F.sha2(T.keep_characters(TEXT), 256).alias("punctuated"),
-        F.sha2(T.keep_characters(TEXT, False), 256).alias("bare"), T.truncate(TEXT, 80).alias("truncated"), F.sha2(T.flat(TEXT), 256).alias("flat"),
+        "doc_id", F.sha2(T.clean_segment(F.col("text")), 256).alias("cleaned"), F.sha2(T.clean_quote(F.col("text")), 256).alias("quoted"), F.sha2(T.keep_characters(F.col("text")), 256).alias("punctuated"),
+        F.sha2(T.keep_characters(F.col("text"), False), 256).alias("bare"), T.truncate(F.col("text"), 80).alias("truncated"), F.sha2(T.flat(F.col("text")), 256).alias("flat"),
     )
 
 
@@ -64,12 +63,12 @@ s AS (SELECT doc_id, p, g, CASE WHEN p + g > 0 THEN (p - g) / (p + g) ELSE 0.0 E
 SELECT doc_id, CAST(p AS BIGINT) AS positive_count, CAST(g AS BIGINT) AS negative_count, round(score, 6) AS score, CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative' ELSE 'neutral' END AS polarity FROM s""")
 def sentiment_lexicon(spark, sf):
     s = F.col("s")
-    return docs(spark, sf).select("doc_id", T.sentiment(TEXT).alias("s")).select("doc_id", n(s["positive_count"]).alias("positive_count"), n(s["negative_count"]).alias("negative_count"), r6(s["score"]).alias("score"), s["polarity"].alias("polarity"))
+    return docs(spark, sf).select("doc_id", T.sentiment(F.col("text")).alias("s")).select("doc_id", n(s["positive_count"]).alias("positive_count"), n(s["negative_count"]).alias("negative_count"), r6(s["score"]).alias("score"), s["polarity"].alias("polarity"))
 
 
 @book.add(rf"""SELECT doc_id, {sql_any('lower(text)', L.AD_MARKERS)} AS reference_ad, {sql_any('lower(text)', ['th the', 'en der', 'de la'])} AS test_ad FROM documents""")
 def advertisement_flags(spark, sf):
-    return docs(spark, sf).select("doc_id", T.is_advertisement(TEXT).alias("reference_ad"), T.is_advertisement(TEXT, ["th the", "en der", "de la"]).alias("test_ad"))
+    return docs(spark, sf).select("doc_id", T.is_advertisement(F.col("text")).alias("reference_ad"), T.is_advertisement(F.col("text"), ["th the", "en der", "de la"]).alias("test_ad"))
 
 
 TECH = sorted({t for v in L.TECHNICAL_TERMS.values() for t in v})
@@ -82,7 +81,7 @@ v AS (SELECT doc_id, text, w, len(w) AS total, len(list_distinct(w)) AS uniq, le
 
 def vocabulary(d: DataFrame) -> DataFrame:
     """Adds tokens and the vocabulary metrics of a text."""
-    d = d.withColumn("w", T.alpha_tokens(TEXT))
+    d = d.withColumn("w", T.alpha_tokens(F.col("text")))
     w = F.col("w")
     return d.withColumns({
         "total": F.size(w), "uniq": F.size(F.array_distinct(w)), "tech": F.size(F.filter(w, lambda x: x.isin(TECH + TEST_TERMS))),
@@ -113,8 +112,8 @@ def complexity(d: DataFrame) -> DataFrame:
     v = vocabulary(d)
     t = F.col("total")
     d_ = lambda c: T.ratio(F.col(c).cast("double"), t)
-    per = F.filter(F.transform(T.sentences(TEXT), lambda s: F.regexp_count(s, F.lit(r"(?U)\b\w+\b"))), lambda x: x > 0)
-    s = v.withColumns({"ns": F.size(T.sentences(TEXT)), "per": per})
+    per = F.filter(F.transform(T.sentences(F.col("text")), lambda s: F.regexp_count(s, F.lit(r"(?U)\b\w+\b"))), lambda x: x > 0)
+    s = v.withColumns({"ns": F.size(T.sentences(F.col("text"))), "per": per})
     s = s.withColumn("asl", F.when(F.size("per") > 0, F.aggregate("per", F.lit(0), lambda a, x: a + x) / F.size("per")).otherwise(F.lit(0.0)))
     syl = F.least(F.lit(1.0), d_("syl") / 3)
     s = s.withColumn("readability", F.when((F.col("ns") > 0) & (t > 0), T.flesch(t / F.col("ns"), syl * 3)).otherwise(F.lit(50.0)))
@@ -149,7 +148,7 @@ k AS (SELECT *, chars / nw * 0.2 + (1 - uniq / nw) * 0.2 + syl / nw * 0.3 + jarg
 def measures(d: DataFrame) -> DataFrame:
     """Adds the whole-word measures (texts without words go)."""
     p, w = F.col("p"), F.col("w")
-    m = d.withColumns({"p": T.plain(TEXT), "w": T.words(TEXT), "ns": F.size(T.sentences(TEXT))}).where(F.size("w") > 0)
+    m = d.withColumns({"p": T.plain(F.col("text")), "w": T.words(F.col("text")), "ns": F.size(T.sentences(F.col("text")))}).where(F.size("w") > 0)
     m = m.withColumns({"nw": F.size(w), "jargon": T.total(p, L.JARGON_PATTERNS), "explained": T.total(p, L.EXPLANATION_PATTERNS), "syl": T.summed(w, T.syllables_spoken), "chars": T.summed(w, F.length), "uniq": F.size(F.array_distinct(F.transform(w, F.lower)))})
     x = lambda c: F.col(c) / F.col("nw")
     return m.withColumn("cx", x("chars") * 0.2 + (1 - x("uniq")) * 0.2 + x("syl") * 0.3 + x("jargon") * 100 * 0.3)
@@ -192,7 +191,7 @@ FAMILIES = {"technical": L.TECHNICAL_PATTERNS, "fact": L.FACT_PATTERNS, "quote":
 @book.add("WITH d AS (SELECT " + sql_plain() + " AS p FROM documents) " + " UNION ALL ".join(f"SELECT {quote(f)} AS family, {quote(k)} AS pattern, CAST(sum({sql_matches('p', x)}) AS BIGINT) AS hits, CAST(count(*) FILTER (WHERE {sql_matches('p', x)} > 0) AS BIGINT) AS texts FROM d" for f, ps in FAMILIES.items() for k, x in ps.items()))
 def pattern_counts(spark, sf):
     """The patterns of the library over the corpus, in one pass; in any case a name is any run of words, so names have a query of their own."""
-    d = docs(spark, sf).select(T.plain(TEXT).alias("p"))
+    d = docs(spark, sf).select(T.plain(F.col("text")).alias("p"))
     each = [F.struct(F.lit(f).alias("family"), F.lit(k).alias("pattern"), T.matches(F.col("p"), x).alias("m")) for f, ps in FAMILIES.items() for k, x in ps.items()]
     return d.select(F.explode(F.array(*each)).alias("x")).groupBy("x.family", "x.pattern").agg(n(F.sum("x.m")).alias("hits"), n(F.count_if(F.col("x.m") > 0)).alias("texts"))
 
@@ -201,24 +200,24 @@ def pattern_counts(spark, sf):
 def quotability(spark, sf):
     p = F.col("p")
     present = sum(((T.matches(p, x) > 0).cast("int") for x in L.QUOTE_PATTERNS.values()), F.lit(0))
-    return docs(spark, sf).select("doc_id", T.plain(TEXT).alias("p")).select("doc_id", n(T.total(p, L.TECHNICAL_PATTERNS)).alias("technical_terms"), n(T.total(p, L.FACT_PATTERNS)).alias("facts"), r6(F.least(F.lit(1.0), present / (0.3 * 9))).alias("quotability"))
+    return docs(spark, sf).select("doc_id", T.plain(F.col("text")).alias("p")).select("doc_id", n(T.total(p, L.TECHNICAL_PATTERNS)).alias("technical_terms"), n(T.total(p, L.FACT_PATTERNS)).alias("facts"), r6(F.least(F.lit(1.0), present / (0.3 * 9))).alias("quotability"))
 
 
 @book.add(f"SELECT doc_id, unnest(regexp_extract_all({sql_plain()}, {quote(L.ENTITY_PATTERNS['email'])})) AS email FROM documents")
 def email_addresses(spark, sf):
-    return docs(spark, sf).select("doc_id", F.explode(T.emails(T.plain(TEXT))).alias("email"))
+    return docs(spark, sf).select("doc_id", F.explode(T.emails(T.plain(F.col("text")))).alias("email"))
 
 
 @book.add(rf"""WITH g AS (SELECT doc_id, {sql_plain()} AS p FROM documents)
 SELECT doc_id, CAST(i AS BIGINT) AS nth, m AS match FROM (SELECT doc_id, unnest(regexp_extract_all(p, '\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)+\b')) AS m, unnest(range(len(regexp_extract_all(p, '\b[A-Z][a-z]+(?:\s+[A-Z][a-z]+)+\b')))) AS i FROM g)""")
 def person_names(spark, sf):
-    found = F.regexp_extract_all(T.plain(TEXT), F.lit(L.ENTITY_PATTERNS["person_name"]), F.lit(0))
+    found = F.regexp_extract_all(T.plain(F.col("text")), F.lit(L.ENTITY_PATTERNS["person_name"]), F.lit(0))
     return docs(spark, sf).select("doc_id", F.posexplode(found).alias("nth", "match")).select("doc_id", n(F.col("nth")).alias("nth"), "match")
 
 
 @book.add(rf"SELECT doc_id, CAST(i AS BIGINT) AS nth, s AS sentence FROM (SELECT doc_id, unnest(list_filter({SENT}, lambda s: length(s) > 10)) AS s, unnest(range(len(list_filter({SENT}, lambda s: length(s) > 10)))) AS i FROM documents)")
 def split_sentences(spark, sf):
-    return docs(spark, sf).select("doc_id", F.posexplode(T.sentences(TEXT, 11)).alias("nth", "sentence")).select("doc_id", n(F.col("nth")).alias("nth"), "sentence")
+    return docs(spark, sf).select("doc_id", F.posexplode(T.sentences(F.col("text"), 11)).alias("nth", "sentence")).select("doc_id", n(F.col("nth")).alias("nth"), "sentence")
 
 
 STOP = listed(L.STOP_WORDS)
@@ -302,7 +301,7 @@ TYPE = "CASE " + " ".join(f"WHEN {sql_any('t', ws)} THEN {quote(k)}" for k, ws i
 @book.add(rf"""WITH b AS (SELECT item_id, text, lower(text) AS t, len({W}) AS nw FROM benchmark), q AS (SELECT item_id, nw, {TYPE} AS kind FROM b)
 SELECT item_id, kind AS quote_type, CAST(round(least(1.0, greatest(0.0, (0.5 + CASE kind WHEN 'insightful' THEN 0.2 WHEN 'controversial' THEN 0.15 WHEN 'factual' THEN 0.1 WHEN 'opinion' THEN 0.05 WHEN 'humorous' THEN 0.1 ELSE 0 END + CASE WHEN nw BETWEEN 15 AND 30 THEN 0.1 ELSE 0 END) * 0.9)), 6) AS DOUBLE) AS importance, round(nw / 150.0 * 60, 6) AS seconds FROM q""")
 def quote_scores(spark, sf):
-    return table(spark, sf, "benchmark").select("item_id", T.quote_type(TEXT).alias("quote_type"), r6(T.quote_importance(TEXT, F.lit(0.9))).alias("importance"), r6(F.size(T.words(TEXT)) / 150 * 60).alias("seconds"))
+    return table(spark, sf, "benchmark").select("item_id", T.quote_type(F.col("text")).alias("quote_type"), r6(T.quote_importance(F.col("text"), F.lit(0.9))).alias("importance"), r6(F.size(T.words(F.col("text"))) / 150 * 60).alias("seconds"))
 
 
 @book.add(r"""WITH e AS (SELECT event_id, CAST(floor(value) AS BIGINT) AS v FROM events), t AS (SELECT event_id, v, CASE event_id % 4 WHEN 0 THEN '01:' || lpad(CAST(v % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') WHEN 1 THEN CAST(v AS VARCHAR) || ':' || lpad(CAST(event_id % 60 AS VARCHAR), 2, '0') WHEN 2 THEN CAST(v AS VARCHAR) ELSE 'x' END AS s FROM e)
