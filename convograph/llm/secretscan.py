@@ -62,8 +62,9 @@ def codes(token: Column) -> Column:
 
 def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documents: int = 500, strings: int = 2000) -> DataFrame:
     """Labelled samples (token, random): from at most ``documents`` documents (those of the least
-    id hashes) their secrets' values as random and their words, alone and joined as identifiers are, as ordinary;
-    and ``strings`` generated random strings of each of three alphabets."""
+    id hashes) their secrets' values as random and their words, alone, joined and numbered as identifiers are, as ordinary;
+    and ``strings`` generated random strings of each of three alphabets.  Tokens of over 200 characters are no samples, as one
+    long run would outweigh all others."""
     spark = docs.sparkSession
     two = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     chosen = two.select("_id").orderBy(F.xxhash64("_id", F.lit("markov")), "_id").limit(documents).distinct()
@@ -71,24 +72,28 @@ def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", doc
     words = F.filter(F.split("_text", r"[^A-Za-z]+", -1), lambda w: F.length(w) >= 4)
     pairs = F.arrays_zip(words.alias("a"), F.slice(words, 2, 1 << 30).alias("b"))
     joined = F.transform(pairs, lambda p: F.when(F.crc32(p["a"].cast("binary")) % 2 == 0, F.concat_ws("_", p["a"], p["b"])).otherwise(F.concat(p["a"], F.initcap(p["b"]))))
-    ordinary = some.select(F.explode(F.concat(words, joined)).alias("token"), F.lit(0).alias("random")).where("token is not null")
+    tagged = F.transform(words, lambda w: F.concat_ws("_", w, (F.crc32(w.cast("binary")) % 10000).cast("string")))
+    ordinary = some.select(F.explode(F.concat(words, joined, tagged)).alias("token"), F.lit(0).alias("random")).where("token is not null")
     found = some.select(F.explode(F.concat(F.regexp_extract_all("_text", F.lit(ASSIGN), F.lit(2)), F.regexp_extract_all("_text", F.lit(HEX), F.lit(0)))).alias("token"), F.lit(1).alias("random")).where("length(token) >= 6").select(F.translate("token", ".", "").alias("token"), "random")
     seed = F.sha2(F.col("id").cast("string"), 256)
     made = spark.range(strings).select(F.explode(F.array(F.substring(seed, 1, 40), F.base64(F.unhex(seed)), F.concat(F.lit("AKIA"), F.upper(F.translate(F.substring(F.base64(F.unhex(seed)), 1, 24), "+/=", "XYZ"))))).alias("token"), F.lit(1).alias("random"))
-    return ordinary.unionByName(found).unionByName(made)
+    return ordinary.unionByName(found).unionByName(made).where("length(token) <= 200")
 
 
-def train(labelled: DataFrame, smoothing: float = 0.5) -> np.ndarray:
+def train(labelled: DataFrame, smoothing: float = 0.5, weight: float = 20.0) -> np.ndarray:
     """Log-likelihood ratios of character pairs, random over ordinary: SIZE x SIZE, in one row.
 
+    A model's transitions are interpolated with its character frequencies, which count ``weight`` times.
     Characters outside the alphabet count as its first one.  The counts that come to the driver are at most two for each pair.
     Without samples of a label that model is uniform."""
     c = F.transform(codes(F.col("token")), lambda x: F.when(x.between(0, SIZE - 1), x).otherwise(0))
     pair = F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c) - 1), lambda a, b: a * SIZE + b)
     rows = labelled.where("length(token) > 1").select("random", F.explode(pair).alias("pair")).groupBy("random", "pair").count().collect()
-    n = np.full((2, SIZE, SIZE), smoothing)
+    n = np.zeros((2, SIZE, SIZE))
     for r in rows:
         n[r[0], r[1] // SIZE, r[1] % SIZE] += r[2]
+    single = n.sum(axis=1, keepdims=True) + smoothing
+    n += weight * single / single.sum(axis=2, keepdims=True)
     logs = np.log(n / n.sum(axis=2, keepdims=True))
     return (logs[1] - logs[0]).ravel()
 
