@@ -48,13 +48,19 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def join(*parts: bytes | np.ndarray) -> bytes:
-    """Several arrays in one payload."""
+    """Several arrays in one payload, entropy-coded if it is not tiny."""
     raw = [p if isinstance(p, bytes) else p.tobytes() for p in parts]
-    return np.array([len(raw), *map(len, raw)], np.int64).tobytes() + b"".join(raw)
+    data = np.array([len(raw), *map(len, raw)], np.int64).tobytes() + b"".join(raw)
+    if len(data) < 512:
+        return data
+    return np.int64(-len(data)).tobytes() + pa.compress(data, codec="zstd", asbytes=True)
 
 
 def split(data: bytes) -> list[bytes]:
     n = int(np.frombuffer(data, np.int64, 1)[0])
+    if n < 0:
+        data = pa.decompress(data[8:], -n, codec="zstd", asbytes=True)
+        n = int(np.frombuffer(data, np.int64, 1)[0])
     sizes, at, out = np.frombuffer(data, np.int64, n, 8), 8 + 8 * n, []
     for s in sizes.tolist():
         out.append(data[at : at + s])
