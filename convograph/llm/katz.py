@@ -219,22 +219,23 @@ class Answers:
 
 
 def _contexts(x: Text, a: Answers):
-    """(contexts, training count here, pair sums here, contexts that no other block has)."""
-    k, local, row, which = _counted(x.before, x.train)
+    """(contexts, how often each begins a pair in training anywhere, sums over its pairs here, contexts that no other block has, context of each token).
+
+    Every training occurrence of a word but END begins one pair, and BEGIN begins as many as there are ENDs."""
+    k, _, _, which = _counted(x.before, x.train)
     pair_row = a.pairs[2]
     n = np.where(a.own, a.n2, 0)
     at = which[pair_row]
     word = a.words[3][pair_row]
-    size = len(k)
-    sums = [np.bincount(at, n, size), np.bincount(at, _kept(n, a.d2), size), np.bincount(at, np.where(n > 0, a.p[word], 0.0), size)]
-    # a context is a word, but for BEGIN, which all blocks have
+    sums = [np.bincount(at, _kept(n, a.d2), len(k)), np.bincount(at, np.where(n > 0, a.p[word], 0.0), len(k))]
     words = a.words[0]
-    i = np.minimum(np.searchsorted(words, k), len(words) - 1)
-    alone = (words[i] == k) & a.only[i]
-    return k, local, sums, alone, which
+    i = np.minimum(np.searchsorted(words, np.where(k == BEGIN, END, k)), max(len(words) - 1, 0))
+    return k, a.n[i], sums, (k != BEGIN) & a.only[i], which
 
 
 def _sums(keys: Keys, of: int):
+    """To the buckets, for contexts that other blocks have too, the discounted count of the pairs that this block answers for and the unigram probability of their second words."""
+
     def emit(rows, got):
         x = Text(rows, of)
         k, _, sums, alone, _ = _contexts(x, Answers(x, got))
@@ -258,8 +259,10 @@ def weights(count: np.ndarray, kept: np.ndarray, seen: np.ndarray) -> tuple[np.n
         return np.log10(np.maximum(denominator, 1)), np.log10(alpha)
 
 
-def _weigh(messages: DataFrame) -> DataFrame:
-    def weigh(rows: pa.Table) -> pa.Table:
+def _add(messages: DataFrame) -> DataFrame:
+    """The sums over all blocks."""
+
+    def add(rows: pa.Table) -> pa.Table:
         blocks = rows.column("block").to_numpy()
         bucket = rows.column("bucket")[0].as_py()
         order = np.argsort(blocks, kind="stable")
@@ -268,9 +271,9 @@ def _weigh(messages: DataFrame) -> DataFrame:
         keys = [unpack(f[0]) for f in fields]
         by, at = groups(np.concatenate(keys))
         n = np.diff(at, append=len(by))
-        sums = [np.add.reduceat(np.concatenate([_unplanes(f[k], np.float64) for f in fields])[by], at) for k in (1, 2, 3)]
+        sums = [np.add.reduceat(np.concatenate([_unplanes(f[k], np.float64) for f in fields])[by], at) for k in (1, 2)]
         both = []
-        for w in weights(*sums):
+        for w in sums:
             every = np.empty(len(by))
             every[by] = np.repeat(w, n)
             both.append(every)
@@ -281,7 +284,7 @@ def _weigh(messages: DataFrame) -> DataFrame:
             i += len(k)
         return pa.table({"block": pa.array(blocks[order], pa.int32()), "level": pa.array([3] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())})
 
-    return messages.groupBy("bucket").applyInArrow(weigh, REPLY)
+    return messages.groupBy("bucket").applyInArrow(add, REPLY)
 
 
 RESULT = "_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -297,17 +300,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
     blocks = Blocks(id_text(docs, id_col, text_col))
     tally = _tally(blocks.send(_words(blocks.keys, of)), 1)
     tally = tally.unionByName(_tally(blocks.send(_pairs(blocks.keys, of), tally), 2))
-    weighed = _weigh(blocks.send(_sums(blocks.keys, of), tally))
+    added = _add(blocks.send(_sums(blocks.keys, of), tally))
 
     def build(rows: pa.Table, got) -> pa.Table:
         x = Text(rows, of)
         a = Answers(x, got)
-        k, _, sums, alone, context = _contexts(x, a)
-        denominator, alpha = weights(*sums)
+        _, count, sums, alone, context = _contexts(x, a)
         answers = sorted((int(np.frombuffer(f[0], np.int64)[0]), f) for f in map(split, got.get(3, [])))
         if answers:
-            denominator[~alone] = np.concatenate([_unplanes(f[1], np.float64) for _, f in answers])
-            alpha[~alone] = np.concatenate([_unplanes(f[2], np.float64) for _, f in answers])
+            for i, s in enumerate(sums):
+                s[~alone] = np.concatenate([_unplanes(f[i + 1], np.float64) for _, f in answers])
+        denominator, alpha = weights(count, *sums)
         n, n2 = a.n[a.words[3]], a.n2[a.pairs[3]]
         with np.errstate(divide="ignore"):
             found = np.where(n2 > 0, np.log10(_kept(n2, a.d2)) - denominator[context], alpha[context] + np.log10(a.p)[a.words[3]])
@@ -318,7 +321,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
             "train_tokens": pa.array(np.full(len(x.n), a.total, np.int64)), "base_score": pa.array(add(base)), "score": pa.array(add(found)),
         })
 
-    return blocks.finish(build, tally.unionByName(weighed), RESULT).withColumnRenamed("_id", id_col)
+    return blocks.finish(build, tally.unionByName(added), RESULT).withColumnRenamed("_id", id_col)
 
 
 def checked(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
