@@ -41,7 +41,9 @@ def gaps(edges: DataFrame, communities: DataFrame, few: int = 3) -> DataFrame:
     """Pairs of communities with fewer than ``few`` edges between them; the number of communities is that of a small table."""
     c = communities
     cross = edges.join(c.select(F.col("node").alias("src"), F.col("community").alias("x")), "src").join(c.select(F.col("node").alias("dst"), F.col("community").alias("y")), "dst").where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("connections"))
-    size = c.groupBy("community").agg(F.count("*").alias("size"), F.slice(F.array_sort(F.collect_list("node")), 1, 3).alias("members"))
+    # three representatives of each, ranked before they are gathered
+    first = c.withColumn("_rn", F.row_number().over(W.partitionBy("community").orderBy("node"))).where(F.col("_rn") <= 3).groupBy("community").agg(F.array_sort(F.collect_list("node")).alias("members"))
+    size = c.groupBy("community").agg(F.count("*").alias("size")).join(first, "community")
     left, right = (size.select(*[F.col(x).alias(f"{k}_{x}") for x in size.columns]) for k in ("a", "b"))
     both = left.join(right, F.col("a_community") < F.col("b_community")).join(cross, (F.col("a_community") == F.col("a")) & (F.col("b_community") == F.col("b")), "left")
     n = F.coalesce("connections", F.lit(0))

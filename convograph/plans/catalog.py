@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("texts", "flow", "graphs", "service", "stores", "resolution", "episodes", "scoring", "sets", "extractions")
+MODULES: tuple[str, ...] = ("texts", "flow", "graphs", "service", "stores", "resolution", "episodes", "scoring", "sets", "extractions", "loads")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
