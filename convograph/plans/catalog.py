@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from convograph.workers import ready
+
 MODULES: tuple[str, ...] = ("texts", "flow", "graphs", "service", "stores", "resolution", "episodes", "scoring", "sets", "extractions", "loads")
 
 
+def _with_workers(query: Callable) -> Callable:
+    @functools.wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return query(ready(spark), folder)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict = {}
     for name in MODULES:
-        out |= importlib.import_module(f"convograph.plans.{name}").QUERIES
+        out |= {k: _with_workers(f) for k, f in importlib.import_module(f"convograph.plans.{name}").QUERIES.items()}
     return out
 
 
