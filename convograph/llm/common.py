@@ -8,15 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from convograph import workers
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package when it is not installed on them, and set a
     checkpoint folder where the session has none (as in tests)."""
-    env = spark.sparkContext.environment
-    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, env.get("PYTHONPATH", "")) if p)
+    workers.ready(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/convograph-{os.getpid()}")
     return spark
