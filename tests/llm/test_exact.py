@@ -230,6 +230,22 @@ def test_bm25(spark):
     assert bm25.search(frame_, frame(spark, [])).count() == 0
 
 
+def test_bm25_keeps_copies_at_the_floor(spark):
+    # equal documents have tight block bounds, which a floor that was rounded up must not exceed
+    rows = [(i, " ".join(f"g{i % 12}{c}" for c in "abcdefgh"[: 2 + i % 6])) for i in range(12 * 200)]
+    terms = [t.split() for _, t in rows]
+    mean, df = sum(map(len, terms)) / len(rows), Counter(w for t in terms for w in t)
+    docs = frame(spark, rows)
+    got = defaultdict(list)
+    for r in bm25.search(docs, docs.where("doc_id < 12")).collect():
+        got[r.query_id].append((r["rank"], r.doc_id, r.score))
+    for q in range(12):
+        norm = 2.2 / (1 + 1.2 * (0.25 + 0.75 * len(terms[q]) / mean))
+        score = sum(math.log(1 + (len(rows) - df[w] + 0.5) / (df[w] + 0.5)) * norm for w in terms[q])
+        assert [(a, b) for a, b, _ in sorted(got[q])] == [(k + 1, q + 12 * k) for k in range(10)]
+        assert all(abs(s - score) < 2e-9 for _, _, s in got[q])
+
+
 def test_decontamination(spark):
     random.seed(9)
     words = [f"w{i}" for i in range(40)]
