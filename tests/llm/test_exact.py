@@ -246,6 +246,14 @@ def test_bm25_keeps_copies_at_the_floor(spark):
         assert all(abs(s - score) < 2e-9 for _, _, s in got[q])
 
 
+def test_bm25_counts_beyond_16_bits(spark):
+    rows = [(0, "a " * 70000 + "b"), *((i, "b c") for i in range(1, 100))]
+    got = bm25.search(frame(spark, rows), frame(spark, [(7, "a")])).collect()
+    mean = (70001 + 99 * 2) / 100
+    score = math.log(1 + 99.5 / 1.5) * 70000 * 2.2 / (70000 + 1.2 * (0.25 + 0.75 * 70001 / mean))
+    assert [(r["rank"], r.doc_id) for r in got] == [(1, 0)] and abs(got[0].score - score) < 2e-9
+
+
 def test_decontamination(spark):
     random.seed(9)
     words = [f"w{i}" for i in range(40)]
