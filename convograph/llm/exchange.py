@@ -131,6 +131,8 @@ class Keys:
 
     def cut(self, keys: np.ndarray) -> list[tuple[int, int, int]]:
         """(bucket, from, to) of sorted keys."""
+        if not len(keys):
+            return []
         b = self.bucket(keys)
         at = np.flatnonzero(np.diff(b, prepend=-1))
         return [(int(b[i]), int(i), int(j)) for i, j in zip(at, [*at[1:], len(b)], strict=True)]

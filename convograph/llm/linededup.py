@@ -1,7 +1,8 @@
 """Line deduplication by a deletion-neighbourhood join.
 
 Two lines are the same if at most one character is inserted, deleted or replaced between them;
-of such lines the earliest, by document id and line number, stays.  A line and all its variants with one
+of such lines the earliest, by document id and line number, stays.  Short lines are the same only if they
+are equal, as one edit turns unrelated ones into each other.  A line and all its variants with one
 character deleted are hashed; lines that share a variant are joined, their edit distance is verified on the
 texts, and the later one goes.
 
@@ -31,7 +32,7 @@ def _hash(s: str) -> int:
 
 
 class Lines:
-    """The lines of a block that are long enough, with their places."""
+    """The lines of a block that are long enough to be compared, with their places."""
 
     def __init__(self, rows: pa.Table, least: int):
         self.doc_ids = ids(rows.column("_id"))
@@ -103,9 +104,9 @@ def within_one(a: str, b: str) -> bool:
     return a[low + (len(a) == len(b)) :] == b[low + 1 :]
 
 
-def _equal(keys: Keys, least: int):
+def _equal(keys: Keys, equal: int):
     def emit(rows, _):
-        x = Lines(rows, least)
+        x = Lines(rows, equal)
         i = x.firsts()
         for b, f, t in keys.cut(x.key[i]):
             yield b, join(pack(x.key[i[f:t]]), x.doc[i[f:t]], x.line[i[f:t]])
@@ -133,10 +134,10 @@ def _earliest(payloads: list[bytes]) -> list[bytes | None]:
     return out
 
 
-def _halves(keys: Keys, least: int):
+def _halves(keys: Keys, least: int, equal: int):
     def emit(rows, got):
-        x = Lines(rows, least)
-        h = np.array([k for i in x.owned(got) for k in set(halves(x.text[i]))], np.uint64)
+        x = Lines(rows, equal)
+        h = np.array([k for i in x.owned(got) if len(x.text[i]) >= least for k in set(halves(x.text[i]))], np.uint64)
         key, n = np.unique(h, return_counts=True)
         for b, f, t in keys.cut(key):
             yield b, join(pack(key[f:t]), np.packbits(n[f:t] > 1))
@@ -159,10 +160,10 @@ def _shared(payloads: list[bytes]) -> list[bytes | None]:
     return out
 
 
-def _variants(keys: Keys, least: int):
+def _variants(keys: Keys, least: int, equal: int):
     def emit(rows, got):
-        x, shared = Lines(rows, least), set(_keys(got.get(2, [])).tolist())
-        chosen = [i for i in x.owned(got) if not shared.isdisjoint(halves(x.text[i]))] if shared else []
+        x, shared = Lines(rows, equal), set(_keys(got.get(2, [])).tolist())
+        chosen = [i for i in x.owned(got) if len(x.text[i]) >= least and not shared.isdisjoint(halves(x.text[i]))] if shared else []
         if not chosen:
             return
         v = [variants(x.text[i]) for i in chosen]
@@ -232,25 +233,27 @@ def _answer(least: int):
     return emit
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 20, keep: list[str] | None = None) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 20, keep: list[str] | None = None, equal: int | None = None) -> DataFrame:
     """(id, text, n_lines, removed, and the columns of ``keep``) of each row: its text without the removed lines, and their numbers from 0.
 
-    Lines end at newlines.  Lines of fewer than ``least`` characters always stay, as one edit turns
-    unrelated short lines into each other.  A line goes if a line within one edit has a smaller (id, line number) anywhere in
+    Lines end at newlines.  Lines of fewer than ``least`` characters, but ``equal`` at least (``least`` if it is not given),
+    go only if an equal line comes first, as one edit turns unrelated short lines into each other; shorter ones and empty ones always stay.
+    Any other line goes if a line within one edit has a smaller (id, line number) anywhere in
     the input, whether or not that one stays itself.  Null texts count as empty, empty texts have one empty line; a null id is larger
     than all others; in rows of one id lines with one number leave each other alone."""
+    equal = least if equal is None else max(1, min(equal, least))
     base = id_text(docs, id_col, text_col)
     if keep:
         base = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"), F.struct(*[F.col(f"`{c}`").alias(c) for c in keep]).alias("_row"))
     blocks = Blocks(base)
-    first = merge(blocks.send(_equal(blocks.keys, least)), 1, _earliest)
-    second = merge(blocks.send(_halves(blocks.keys, least), first), 2, _shared)
-    asked = _pairs(blocks.send(_variants(blocks.keys, least), first.unionByName(second)))
+    first = merge(blocks.send(_equal(blocks.keys, equal)), 1, _earliest)
+    second = merge(blocks.send(_halves(blocks.keys, least, equal), first), 2, _shared)
+    asked = _pairs(blocks.send(_variants(blocks.keys, least, equal), first.unionByName(second)))
     texts = blocks.send(_answer(least), asked).select(F.col("bucket").alias("block"), F.lit(4).alias("level"), "payload")
     names = ["_id", "_kept", "n_lines", "removed", *(["_row"] if keep else [])]
 
     def build(rows: pa.Table, got) -> pa.Table:
-        x = Lines(rows, least)
+        x = Lines(rows, equal)
         gone: list[set[int]] = [set() for _ in x.whole]
         mine = set(x.owned(got).tolist())
         first = {x.key[i]: (x.doc[i], x.line[i]) for i in mine}

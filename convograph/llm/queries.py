@@ -42,7 +42,7 @@ def op5_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
-    return linededup.digests(linededup.deduplicate(table(spark, sf, "documents")))
+    return linededup.digests(linededup.deduplicate(table(spark, sf, "documents"), equal=1))
 
 
 def op7_katz_scores(spark: SparkSession, sf: str) -> DataFrame:

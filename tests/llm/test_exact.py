@@ -11,6 +11,7 @@ import numpy as np
 import xxhash
 
 from convograph.llm import bm25, katz, linededup, repeats, secretscan, simhash, toolcalls, wumanber
+from convograph.llm.queries import QUERIES
 
 FIRST = 1 << 62
 SCHEMA = "doc_id long, text string, _id string, block string, bucket int, fp string"
@@ -97,6 +98,13 @@ def test_line_dedup(spark):
     assert linededup.deduplicate(frame(spark, [])).count() == 0
 
 
+def test_line_dedup_of_short_repeats(spark, tmp_path):
+    rows = [(3, "Les.\nLet.\n\nof its own"), (1, "Les.\n\nLes.\nLes!"), (2, " \nLes.\nof twenty letters or so\n "), (4, "of twenty letters or s\nof twenty letters\nof twenty letters"), (None, "Let.\nx")]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.removed) for r in QUERIES["op6_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (4, "2"), 2: (4, "1,3"), 3: (4, "0"), 4: (3, "0,2"), None: (2, "0")}
+
+
 def test_simhash(spark):
     random.seed(4)
     words = ["".join(random.choice("abcdef") for _ in range(5)) for _ in range(60)]
