@@ -111,3 +111,12 @@ def test_networks_against_brute_force():
 def test_two_cliques_are_two_communities():
     e = [*itertools.combinations(range(5), 2), *itertools.combinations(range(10, 15), 2), (0, 10)]
     assert set(N.louvain_of(N._adjacent(*zip(*e, strict=True), [1] * len(e))).values()) == {0, 10}
+
+
+def test_most_similar_takes_query_sets_in_blocks(spark):
+    vectors = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(3)], "id long, v array<double>")
+    queries = spark.range(12_001).select((F.col("id") % 4_001).alias("k"), F.col("id").alias("query")).select("query", F.array(F.lit(1.0), (F.col("k") % 3).cast("double")).alias("q"))
+    got = G.most_similar(queries, vectors, top=1)
+    want = queries.select("query", F.when(F.col("query") < 3, F.lit(None)).otherwise(F.element_at("q", 2)).cast("long").alias("id")).where("id is not null")
+    assert got.count() == got.select("query").distinct().count() == 12_001
+    assert got.where("query >= 3").select("query", "id").exceptAll(want).isEmpty()
