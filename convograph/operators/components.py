@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def ensure_checkpoint_dir(df: DataFrame) -> None:
-    """Where the session names no shared checkpoint folder (as in tests), set one."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/convograph-checkpoints")
+from convograph import workers
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -20,7 +15,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     (small star); the number of rounds grows with the logarithm of the longest chain.  Minima are
     pre-aggregated before the shuffle, no group is gathered, and each round is checkpointed, so lost executors
     cost one round.  Self-loops, repeated edges and nulls add no nodes."""
-    ensure_checkpoint_dir(edges)
+    workers.checkpoints(edges.sparkSession)
     a, b = F.col("a"), F.col("b")
     now = edges.select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).where(F.col(src).isNotNull() & F.col(dst).isNotNull() & (a != b)).distinct().checkpoint()
     mark = None

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from convograph.operators.components import ensure_checkpoint_dir
+from convograph import workers
 
 
 def pairs_within(rows: DataFrame, group: str, item: str) -> DataFrame:
@@ -62,7 +62,7 @@ def distances(edges: DataFrame, source: Column | int | str, most: int = 10) -> D
     """(node, hops) from a source over undirected edges, breadth first; each hop is one join with the last frontier only.
 
     Nodes that are more than ``most`` hops away are left out."""
-    ensure_checkpoint_dir(edges)
+    workers.checkpoints(edges.sparkSession)
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     front = both.select(F.col("src").alias("node")).where(F.col("node") == source).distinct()
     seen = front.withColumn("hops", F.lit(0)).checkpoint()

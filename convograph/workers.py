@@ -1,8 +1,9 @@
-"""Lets Python workers import this package where it is not installed."""
+"""What every session needs: workers that can import this package, and a folder for checkpoints."""
 
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -15,3 +16,14 @@ def ready(spark: SparkSession) -> SparkSession:
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, env.get("PYTHONPATH", "")) if p)
     return spark
+
+
+def checkpoints(spark: SparkSession) -> SparkSession:
+    """Uses the shared folder that ``spark.checkpoint.dir`` names.  Only a local session, whose executors are the driver, may do without one."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="convograph-"))
+    return spark
