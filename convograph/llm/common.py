@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +11,9 @@ from convograph import workers
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package when it is not installed on them, and set a
-    checkpoint folder where the session has none (as in tests)."""
+    """Let Python workers import this package when it is not installed on them, and see to a checkpoint folder."""
     workers.ready(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/convograph-{os.getpid()}")
+    workers.checkpoints(spark)
     return spark
 
 
@@ -28,7 +25,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under private names; a null text is empty.
 
-    A null id is kept and counts as larger than every other id."""
+    A null id is kept and counts as larger than every other id; operators that compare ids read 2**63 - 1 as null, too."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
 
 

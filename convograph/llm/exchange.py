@@ -5,10 +5,15 @@ key space, one packed row of its distinct keys; a bucket merges the rows of all
 answers each block with one packed row.  A key that a third of all documents hold is one entry
 for each block, never one for each document, so no bucket is hot; and the documents themselves
 are exchanged once, as every step reads the same exchange.
+
+The number of blocks follows from the bytes of text, so a block fits a worker at any size.  Messages between n blocks
+and n buckets would be n * n; beyond ``DIRECT`` blocks they take two hops, through relays that each serve about
+sqrt(n) blocks and sqrt(n) buckets and regroup what they pass on, so that their number grows as n to the power 3/2.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,8 +24,13 @@ from pyspark.sql import functions as F
 from convograph.llm.common import ready
 
 LAST = np.iinfo(np.int64).max
-MESSAGE = "bucket int, block int, payload binary"
-REPLY = "block int, level int, payload binary"
+#: Mean bytes of text in a block; a block is one task's work.
+BLOCK_BYTES = 64 << 20
+#: Number of blocks beyond which messages take two hops.
+DIRECT = 1024
+#: Address of all blocks.
+ALL = -1
+MESSAGE = "to int, via int, payload binary"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,6 +93,8 @@ def groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def texts(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column."""
+    if column.nbytes >= 1 << 31:  # beyond 32-bit offsets
+        column = column.cast(pa.large_string())
     array = column.combine_chunks()
     if isinstance(array, pa.ChunkedArray):
         array = array.chunk(0) if array.num_chunks else pa.array([], pa.string())
@@ -138,34 +150,124 @@ class Keys:
         return [(int(b[i]), int(i), int(j)) for i, j in zip(at, [*at[1:], len(b)], strict=True)]
 
 
+def bundle(tags: list[int], payloads: list[bytes]) -> bytes:
+    """Payloads with a number each, in one."""
+    return np.array([len(tags), *tags, *map(len, payloads)], np.int64).tobytes() + b"".join(payloads)
+
+
+def unbundle(data: bytes) -> Iterator[tuple[int, bytes]]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    head = np.frombuffer(data, np.int64, 2 * n, 8).tolist()
+    at = 8 + 16 * n
+    for tag, size in zip(head[:n], head[n:], strict=True):
+        yield tag, data[at : at + size]
+        at += size
+
+
+def _rows(found: dict[tuple[int, int], list[tuple[int, bytes]]]) -> pa.Table:
+    """A message for each (to, via) with its tagged payloads."""
+    return pa.table({"to": pa.array([k[0] for k in found], pa.int32()), "via": pa.array([k[1] for k in found], pa.int32()), "payload": pa.array([bundle(*zip(*sorted(f, key=lambda x: x[0]), strict=True)) for f in found.values()], pa.binary())})
+
+
 class Blocks:
-    """Rows of (_id, _text, ...) dealt into blocks.
+    """Rows of (_id, _text, ...) dealt into blocks of about ``BLOCK_BYTES`` of text by the hash of both.
+
+    What crosses the exchange is one compressed Arrow batch for each block and batch of rows.  Small inputs get
+    two blocks for each of a few partitions, so that a block's work arrays stay small, or one for each of many.
+    The bytes of text are counted first, in a scan of that column alone.
 
-    What crosses the exchange is one compressed Arrow batch for each block and batch of rows.  A few
-    partitions get two blocks each, so that a block's work arrays stay small; many get one
-    each, as the messages between blocks and buckets grow with the square of their number."""
+    Work passes between blocks and buckets of keys in turns: ``send`` lets every block write to buckets, ``answer``
+    lets every bucket write to blocks, ``finish`` turns blocks and what they got into rows of results."""
 
     def __init__(self, docs: DataFrame):
         spark = ready(docs.sparkSession)
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.n = max(partitions, min(2 * partitions, 128))
+        size = docs.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
+        self.n = max(partitions, min(2 * partitions, 128), -(-size // BLOCK_BYTES))
+        self.width = 0 if self.n <= DIRECT else math.isqrt(self.n - 1) + 1
         self.keys = Keys(self.n)
-        blocked = docs.withColumn("_block", F.pmod(F.xxhash64("_id"), F.lit(self.n)).cast("int"))
+        blocked = docs.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(self.n)).cast("int"))
         self.docs = blocked.mapInArrow(_deal, "_block int, _rows binary")
 
     def send(self, emit: Callable, replies: DataFrame | None = None) -> DataFrame:
-        """Messages of all blocks.  ``emit(rows, replies)`` yields (bucket, payload); replies: payloads by level."""
+        """Messages of all blocks to buckets.  ``emit(rows, replies)`` yields (bucket, payload); replies: payloads by level."""
+        width = self.width
 
         def messages(block: int, found) -> pa.Table:
-            found = list(found)
-            return pa.table({"bucket": pa.array([b for b, _ in found], pa.int32()), "block": pa.array([block] * len(found), pa.int32()), "payload": pa.array([p for _, p in found], pa.binary())})
+            out: dict[tuple[int, int], list] = {}
+            for bucket, payload in found:
+                if width:
+                    out.setdefault((bucket // width, block // width), []).append((bucket << 32 | block, payload))
+                else:
+                    out.setdefault((bucket, 0), []).append((block, payload))
+            return _rows(out)
 
         if replies is None:
-            return self.docs.groupBy("_block").applyInArrow(lambda key, rows: messages(key[0].as_py(), emit(_gather(rows), {})), MESSAGE)
-        return self._with(replies).applyInArrow(lambda key, rows, got: messages(key[0].as_py(), emit(_gather(rows), by_level(got))), MESSAGE)
+            sent = self.docs.groupBy("_block").applyInArrow(lambda key, rows: messages(key[0].as_py(), emit(_gather(rows), {})), MESSAGE)
+        else:
+            sent = self._with(replies).applyInArrow(lambda key, rows, got: messages(key[0].as_py(), emit(_gather(rows), by_level(got)) if rows.num_rows else ()), MESSAGE)
+        if not width:
+            return sent
+
+        def relay(key, rows):
+            out: dict[tuple[int, int], list] = {}
+            for data in rows.column("payload").to_pylist():
+                for tag, payload in unbundle(data):
+                    out.setdefault((tag >> 32, key[1].as_py()), []).append((tag & 0xFFFFFFFF, payload))
+            return _rows(out)
+
+        return sent.groupBy("to", "via").applyInArrow(relay, MESSAGE)
+
+    def answer(self, messages: DataFrame, reply: Callable) -> DataFrame:
+        """Messages of all buckets to blocks.  ``reply(bucket, blocks, payloads)`` yields (block, level, payload); what is for
+        ``ALL`` blocks is an array of 64-bit integers, which may be added up on the way."""
+        width, n = self.width, self.n
+
+        def run(key, rows):
+            bucket = key[0].as_py()
+            got = sorted(x for data in rows.column("payload").to_pylist() for x in unbundle(data))
+            out: dict[tuple[int, int], list] = {}
+            for block, level, payload in reply(bucket, [g[0] for g in got], [g[1] for g in got]):
+                if width:
+                    for to in range(-(-n // width)) if block == ALL else (block // width,):
+                        out.setdefault((to, bucket // width), []).append((level << 32 | block & 0xFFFFFFFF, payload))
+                else:
+                    for to in range(n) if block == ALL else (block,):
+                        out.setdefault((to, 0), []).append((level, payload))
+            return _rows(out)
+
+        sent = messages.groupBy("to").applyInArrow(run, MESSAGE)
+        if not width:
+            return sent
+
+        def relay(key, rows):
+            group, out, total = key[0].as_py(), {}, {}
+            for data in rows.column("payload").to_pylist():
+                for tag, payload in unbundle(data):
+                    level, block = tag >> 32, tag & 0xFFFFFFFF
+                    if block == ALL & 0xFFFFFFFF:
+                        total[level] = total.get(level, 0) + np.frombuffer(payload, np.int64)
+                    else:
+                        out.setdefault((block, 0), []).append((level, payload))
+            for level, sums in total.items():
+                for block in range(group * width, min(n, (group + 1) * width)):
+                    out.setdefault((block, 0), []).append((level, sums.tobytes()))
+            return _rows(out)
+
+        return sent.groupBy("to", "via").applyInArrow(relay, MESSAGE)
+
+    def forward(self, messages: DataFrame, level: int) -> DataFrame:
+        """Messages that blocks sent to blocks, as replies of a level."""
+
+        def run(batches):
+            for batch in batches:
+                data = [bundle(*zip(*[(level, p) for _, p in unbundle(x)], strict=True)) for x in batch.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())], names=batch.schema.names)
+
+        return messages.mapInArrow(run, MESSAGE)
 
     def _with(self, replies: DataFrame):
-        return self.docs.groupBy("_block").cogroup(replies.groupBy("block"))
+        return self.docs.groupBy("_block").cogroup(replies.groupBy("to"))
 
     def finish(self, build: Callable, replies: DataFrame, schema: str) -> DataFrame:
         """``build(rows, replies)`` returns the table of results of a block."""
@@ -196,18 +298,12 @@ def _gather(rows: pa.Table) -> pa.Table:
 
 def by_level(got: pa.Table) -> dict[int, list[bytes]]:
     out: dict[int, list[bytes]] = {}
-    for level, payload in zip(got.column("level").to_pylist(), got.column("payload").to_pylist(), strict=True):
-        out.setdefault(level, []).append(payload)
+    for data in got.column("payload").to_pylist():
+        for level, payload in unbundle(data):
+            out.setdefault(level, []).append(payload)
     return out
 
 
-def merge(messages: DataFrame, level: int, answer: Callable) -> DataFrame:
-    """Replies of all buckets.  ``answer(payloads)`` returns one payload, or None, for each message."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        order = np.argsort(rows.column("block").to_numpy(), kind="stable")
-        blocks, payloads = rows.column("block").to_numpy()[order].tolist(), rows.column("payload").to_pylist()
-        found = [(b, a) for b, a in zip(blocks, answer([payloads[i] for i in order]), strict=True) if a is not None]
-        return pa.table({"block": pa.array([b for b, _ in found], pa.int32()), "level": pa.array([level] * len(found), pa.int32()), "payload": pa.array([a for _, a in found], pa.binary())})
-
-    return messages.groupBy("bucket").applyInArrow(run, REPLY)
+def each(level: int, answer: Callable) -> Callable:
+    """A ``reply`` of one level.  ``answer(payloads)`` returns one payload, or None, for each message."""
+    return lambda bucket, blocks, payloads: ((b, level, a) for b, a in zip(blocks, answer(payloads), strict=True) if a is not None)

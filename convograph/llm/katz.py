@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convograph.llm.common import id_text
-from convograph.llm.exchange import REPLY, Blocks, Keys, groups, ids, join, mix, pack, pieces, split, texts, unpack
+from convograph.llm.exchange import ALL, Blocks, Keys, groups, ids, join, mix, pack, pieces, split, texts, unpack
 
 K = 5
 BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -94,19 +94,20 @@ def _unplanes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel() if data else np.zeros(0, kind)
 
 
-def _send(keys: Keys, k: np.ndarray, n: np.ndarray, aside: list[int]):
-    """To every bucket, keys or not, its keys and their training counts; the first also gets the counts of counts of keys not sent."""
-    cut = {b: (f, t) for b, f, t in keys.cut(k)}
-    for b in range(keys.n):
-        f, t = cut.get(b, (0, 0))
-        yield b, join(pack(k[f:t]), _planes(n[f:t].astype(np.uint32)), np.array(aside if b == 0 else [0] * (K + 3), np.int64))
+def _send(keys: Keys, k: np.ndarray, n: np.ndarray, aside: list[int] | None = None):
+    """To the buckets their keys and training counts; any one of them also gets the counts of counts of keys not sent."""
+    none = np.zeros(0, np.int64)
+    for b, f, t in keys.cut(k):
+        yield b, join(pack(k[f:t]), _planes(n[f:t].astype(np.uint32)), none)
+    if aside:
+        yield sum(aside) % keys.n, join(b"", b"", np.array(aside, np.int64))
 
 
 def _words(keys: Keys, of: int):
     def emit(rows, _):
         x = Text(rows, of)
         k, n, _, _ = _counted(x.word, x.train)
-        yield from _send(keys, k, n, [0] * (K + 3))
+        yield from _send(keys, k, n)
 
     return emit
 
@@ -128,19 +129,21 @@ def _of_counts(n: np.ndarray) -> list[int]:
     return [int(n.sum()), int((n > 0).sum()), *np.bincount(n[n <= K + 1], minlength=K + 2)[1 : K + 2].tolist()]
 
 
-def _tally(messages: DataFrame, level: int) -> DataFrame:
-    """Answers to each block: its keys' counts over all blocks, whether it alone has a word or is the one
-    block that answers for a pair, and the bucket's counts of counts."""
+#: Level of the counts of counts of a level's keys.
+STATS = 8
 
-    def tally(rows: pa.Table) -> pa.Table:
-        blocks = rows.column("block").to_numpy()
-        order = np.argsort(blocks, kind="stable")
-        bucket = rows.column("bucket")[0].as_py()
-        payloads = rows.column("payload").to_pylist()
-        fields = [split(payloads[i]) for i in order]
+
+def _tally(level: int):
+    """Answers to each block: its keys' counts over all blocks and whether it alone has a word or is the one
+    block that answers for a pair; and to all blocks the bucket's counts of counts."""
+
+    def tally(bucket: int, blocks: list[int], payloads: list[bytes]):
+        fields = [split(p) for p in payloads]
+        aside = [np.frombuffer(f[2], np.int64) for f in fields if f[2]]
+        blocks, fields = zip(*[(b, f) for b, f in zip(blocks, fields, strict=True) if f[0]], strict=True) if any(f[0] for f in fields) else ((), ())
         keys = [unpack(f[0]) for f in fields]
-        n = np.concatenate([_unplanes(f[1], np.uint32) for f in fields]).astype(np.int64)
-        by, at = groups(np.concatenate(keys))
+        n = np.concatenate([_unplanes(f[1], np.uint32) for f in fields] or [np.zeros(0, np.uint32)]).astype(np.int64)
+        by, at = groups(np.concatenate(keys or [np.zeros(0, np.uint64)]))
         size = np.diff(at, append=len(by))
         total = np.add.reduceat(n[by], at) if len(at) else np.zeros(0, np.int64)
         every = np.empty(len(by), np.int64)
@@ -151,15 +154,14 @@ def _tally(messages: DataFrame, level: int) -> DataFrame:
         elif len(at):  # the first block that has training counts of the pair
             first = np.minimum.reduceat(np.where(n[by] > 0, np.arange(len(by)), len(by)), at)
             mark[by[first[first < len(by)]]] = True
-        stats = np.array(_of_counts(total), np.int64) + sum(np.frombuffer(f[2], np.int64) for f in fields)
-        out, i = [], 0
-        for k in keys:
+        yield ALL, level + STATS, sum(aside, np.array(_of_counts(total), np.int64)).tobytes()
+        i = 0
+        for block, k in zip(blocks, keys, strict=True):
             s = slice(i, i + len(k))
-            out.append(join(np.array([bucket], np.int64), _planes(every[s].astype(np.uint64)), np.packbits(mark[s]), stats))
+            yield block, level, join(np.array([bucket], np.int64), _planes(every[s].astype(np.uint64)), np.packbits(mark[s]))
             i += len(k)
-        return pa.table({"block": pa.array(blocks[order], pa.int32()), "level": pa.array([level] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())})
 
-    return messages.groupBy("bucket").applyInArrow(tally, REPLY)
+    return tally
 
 
 def discounts(n: list[int] | np.ndarray) -> np.ndarray:
@@ -188,12 +190,14 @@ class Answers:
     def __init__(self, x: Text, got: dict[int, list[bytes]]):
         self.words = _counted(x.word, x.train)
         self.pairs = _counted(x.pair, x.train)
-        self.n, self.only, s1 = self._read(got[1])
+        self.n, self.only = self._read(got.get(1, []))
+        s1 = sum(np.frombuffer(p, np.int64) for p in got[1 + STATS])
         words, row = self.words[0], self.pairs[2]
         i = np.minimum(np.searchsorted(words, x.before[row]), len(words) - 1)
         self.here = ((words[i] == x.before[row]) & self.only[i]) | self.only[self.words[3][row]]
-        if 2 in got:
-            n, own, s2 = self._read(got[2])
+        if 2 + STATS in got:
+            n, own = self._read(got.get(2, []))
+            s2 = sum(np.frombuffer(p, np.int64) for p in got[2 + STATS])
             self.n2, self.own = self.pairs[1].copy(), np.ones(len(self.here), bool)
             self.n2[~self.here], self.own[~self.here] = n, own
             self.d2 = discounts(s2[2:])
@@ -211,11 +215,11 @@ class Answers:
         self.p = p
 
     @staticmethod
-    def _read(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _read(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         rows = sorted((int(np.frombuffer(f[0], np.int64)[0]), f) for f in map(split, payloads))
         n = [_unplanes(f[1], np.uint64) for _, f in rows]
         mark = [np.unpackbits(np.frombuffer(f[2], np.uint8), count=len(k)) for (_, f), k in zip(rows, n, strict=True)]
-        return np.concatenate(n).astype(np.int64), np.concatenate(mark).astype(bool), sum(np.frombuffer(f[3], np.int64) for _, f in rows)
+        return np.concatenate(n or [np.zeros(0)]).astype(np.int64), np.concatenate(mark or [np.zeros(0)]).astype(bool)
 
 
 def _contexts(x: Text, a: Answers):
@@ -259,34 +263,25 @@ def weights(count: np.ndarray, kept: np.ndarray, seen: np.ndarray) -> tuple[np.n
         return np.log10(np.maximum(denominator, 1)), np.log10(alpha)
 
 
-def _add(messages: DataFrame) -> DataFrame:
+def _add(bucket: int, blocks: list[int], payloads: list[bytes]):
     """The sums over all blocks."""
-
-    def add(rows: pa.Table) -> pa.Table:
-        blocks = rows.column("block").to_numpy()
-        bucket = rows.column("bucket")[0].as_py()
-        order = np.argsort(blocks, kind="stable")
-        payloads = rows.column("payload").to_pylist()
-        fields = [split(payloads[i]) for i in order]
-        keys = [unpack(f[0]) for f in fields]
-        by, at = groups(np.concatenate(keys))
-        n = np.diff(at, append=len(by))
-        sums = [np.add.reduceat(np.concatenate([_unplanes(f[k], np.float64) for f in fields])[by], at) for k in (1, 2)]
-        both = []
-        for w in sums:
-            every = np.empty(len(by))
-            every[by] = np.repeat(w, n)
-            both.append(every)
-        out, i = [], 0
-        for k in keys:
-            s = slice(i, i + len(k))
-            out.append(join(np.array([bucket], np.int64), _planes(both[0][s]), _planes(both[1][s])))
-            i += len(k)
-        return pa.table({"block": pa.array(blocks[order], pa.int32()), "level": pa.array([3] * len(out), pa.int32()), "payload": pa.array(out, pa.binary())})
-
-    return messages.groupBy("bucket").applyInArrow(add, REPLY)
-
-
+    fields = [split(p) for p in payloads]
+    keys = [unpack(f[0]) for f in fields]
+    by, at = groups(np.concatenate(keys))
+    n = np.diff(at, append=len(by))
+    both = []
+    for k in (1, 2):
+        every = np.empty(len(by))
+        every[by] = np.repeat(np.add.reduceat(np.concatenate([_unplanes(f[k], np.float64) for f in fields])[by], at), n)
+        both.append(every)
+    i = 0
+    for block, k in zip(blocks, keys, strict=True):
+        s = slice(i, i + len(k))
+        yield block, 3, join(np.array([bucket], np.int64), _planes(both[0][s]), _planes(both[1][s]))
+        i += len(k)
+
+
+NAMES = ("_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 RESULT = "_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -298,11 +293,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
     ``base_score`` that of additively smoothed word counts.  A null text is its end only; a null id counts as the empty text, which is held out;
     repeated rows are documents of their own.  Without training documents every token has probability one."""
     blocks = Blocks(id_text(docs, id_col, text_col))
-    tally = _tally(blocks.send(_words(blocks.keys, of)), 1)
-    tally = tally.unionByName(_tally(blocks.send(_pairs(blocks.keys, of), tally), 2))
-    added = _add(blocks.send(_sums(blocks.keys, of), tally))
+    tally = blocks.answer(blocks.send(_words(blocks.keys, of)), _tally(1))
+    tally = tally.unionByName(blocks.answer(blocks.send(_pairs(blocks.keys, of), tally), _tally(2)))
+    none = pa.table([pa.array([], t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())], names=NAMES)
+    added = blocks.answer(blocks.send(_sums(blocks.keys, of), tally), _add)
 
     def build(rows: pa.Table, got) -> pa.Table:
+        if not rows.num_rows:  # counts of counts reach blocks without documents, too
+            return none
         x = Text(rows, of)
         a = Answers(x, got)
         _, count, sums, alone, context = _contexts(x, a)
@@ -316,10 +314,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", of: i
             found = np.where(n2 > 0, np.log10(_kept(n2, a.d2)) - denominator[context], alpha[context] + np.log10(a.p)[a.words[3]])
         base = np.log10((n + 0.1) / (a.total + 0.1 * (a.distinct + 1)))
         add = lambda v: np.add.reduceat(v, x.start)
-        return pa.table({
-            "_id": pa.array(x.ids, pa.int64()), "held_out": pa.array(x.held), "n_tokens": pa.array(x.n, pa.int64()), "n_known": pa.array(add((n > 0).astype(np.int64))),
-            "train_tokens": pa.array(np.full(len(x.n), a.total, np.int64)), "base_score": pa.array(add(base)), "score": pa.array(add(found)),
-        })
+        train = np.full(len(x.n), a.total, np.int64)
+        return pa.table([pa.array(x.ids, pa.int64()), *map(pa.array, (x.held, x.n, add((n > 0).astype(np.int64)), train, add(base), add(found)))], names=NAMES)
 
     return blocks.finish(build, tally.unionByName(added), RESULT).withColumnRenamed("_id", id_col)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convograph.llm.common import id_text
-from convograph.llm.exchange import LAST, Blocks, Keys, groups, ids, join, merge, mix, pack, split, unpack
+from convograph.llm.exchange import LAST, Blocks, Keys, each, groups, ids, join, mix, pack, split, unpack
 
 BASE = np.uint64(0x9E3779B97F4A7C55)
 BACK = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -34,7 +34,7 @@ def _hash(s: str) -> int:
 class Lines:
     """The lines of a block that are long enough to be compared, with their places."""
 
-    def __init__(self, rows: pa.Table, least: int):
+    def __init__(self, rows: pa.Table, least: int = 1):
         self.doc_ids = ids(rows.column("_id"))
         self.whole = [(t or "").split("\n") for t in rows.column("_text").to_pylist()]
         self.text: list[str] = []
@@ -104,9 +104,9 @@ def within_one(a: str, b: str) -> bool:
     return a[low + (len(a) == len(b)) :] == b[low + 1 :]
 
 
-def _equal(keys: Keys, equal: int):
+def _equal(keys: Keys):
     def emit(rows, _):
-        x = Lines(rows, equal)
+        x = Lines(rows)
         i = x.firsts()
         for b, f, t in keys.cut(x.key[i]):
             yield b, join(pack(x.key[i[f:t]]), x.doc[i[f:t]], x.line[i[f:t]])
@@ -115,17 +115,16 @@ def _equal(keys: Keys, equal: int):
 
 
 def _earliest(payloads: list[bytes]) -> list[bytes | None]:
-    """Of each message the keys that are earliest there."""
+    """Of each message the keys of which no other has an earlier line."""
     fields = [split(p) for p in payloads]
     keys = [unpack(f[0]) for f in fields]
     key = np.concatenate(keys)
     doc, line = (np.concatenate([np.frombuffer(f[k], np.int64) for f in fields]) for k in (1, 2))
-    order, at = groups(key, doc, line)
-    head = key[order[at]]
-    new = np.ones(len(at), bool)
-    new[1:] = head[1:] != head[:-1]
+    order = np.lexsort((line, doc, key))
+    at = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1])))
+    first = np.repeat(order[at], np.diff(at, append=len(order)))
     win = np.zeros(len(key), bool)
-    win[order[at[new]]] = True
+    win[order] = (doc[order] == doc[first]) & (line[order] == line[first])  # rows of one id may be in several blocks
     out, i = [], 0
     for k in keys:
         w = win[i : i + len(k)]
@@ -134,9 +133,9 @@ def _earliest(payloads: list[bytes]) -> list[bytes | None]:
     return out
 
 
-def _halves(keys: Keys, least: int, equal: int):
+def _halves(keys: Keys, least: int):
     def emit(rows, got):
-        x = Lines(rows, equal)
+        x = Lines(rows)
         h = np.array([k for i in x.owned(got) if len(x.text[i]) >= least for k in set(halves(x.text[i]))], np.uint64)
         key, n = np.unique(h, return_counts=True)
         for b, f, t in keys.cut(key):
@@ -160,9 +159,9 @@ def _shared(payloads: list[bytes]) -> list[bytes | None]:
     return out
 
 
-def _variants(keys: Keys, least: int, equal: int):
+def _variants(keys: Keys, least: int):
     def emit(rows, got):
-        x, shared = Lines(rows, equal), set(_keys(got.get(2, [])).tolist())
+        x, shared = Lines(rows), set(_keys(got.get(2, [])).tolist())
         chosen = [i for i in x.owned(got) if len(x.text[i]) >= least and not shared.isdisjoint(halves(x.text[i]))] if shared else []
         if not chosen:
             return
@@ -180,39 +179,34 @@ def _variants(keys: Keys, least: int, equal: int):
     return emit
 
 
-def _pairs(messages: DataFrame) -> DataFrame:
+def _pairs(_: int, blocks: list[int], payloads: list[bytes]):
     """Requests to the block of the earlier line of each pair that shares a variant, by that block."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        blocks = rows.column("block").to_pylist()
-        fields = [split(p) for p in rows.column("payload").to_pylist()]
-        key = np.concatenate([unpack(f[0]) for f in fields])
-        place = np.concatenate([np.frombuffer(f[1], np.int32) for f in fields])
-        own = [np.frombuffer(f[2], np.int32) for f in fields]
-        block = np.repeat(np.array(blocks), [len(o) for o in own])
-        doc, line = (np.concatenate([np.frombuffer(f[k], np.int64)[o] for f, o in zip(fields, own, strict=True)]) for k in (3, 4))
-        # one variant, earliest line first; a whole line (place -1) is within one edit of all that lead to it,
-        # two shortened lines are within one edit of each other if the same place is deleted
-        order = np.lexsort((line, doc, key))
-        key, place, doc, line, block = (a[order] for a in (key, place, doc, line, block))
-        at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        size = np.diff(at, append=len(key))
-        found = set()
-        for i, n in zip(at[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-            seen: dict[int, int] = {}
-            for j in range(i, i + n):
-                p = int(place[j])
-                early = {seen.get(p), seen.get(-1), i if p == -1 and j > i else None} - {None}
-                for e in early:
-                    if (doc[e], line[e]) != (doc[j], line[j]):
-                        found.add((int(block[e]), int(doc[e]), int(line[e]), int(block[j]), int(doc[j]), int(line[j])))
-                seen.setdefault(p, j)
-        by: dict[int, list] = {}
-        for f in sorted(found):
-            by.setdefault(f[0], []).append(f[1:])
-        return pa.table({"block": pa.array(list(by), pa.int32()), "level": pa.array([3] * len(by), pa.int32()), "payload": pa.array([np.array(f, np.int64).tobytes() for f in by.values()], pa.binary())})
-
-    return messages.groupBy("bucket").applyInArrow(run, "block int, level int, payload binary")
+    fields = [split(p) for p in payloads]
+    key = np.concatenate([unpack(f[0]) for f in fields])
+    place = np.concatenate([np.frombuffer(f[1], np.int32) for f in fields])
+    own = [np.frombuffer(f[2], np.int32) for f in fields]
+    block = np.repeat(np.array(blocks), [len(o) for o in own])
+    doc, line = (np.concatenate([np.frombuffer(f[k], np.int64)[o] for f, o in zip(fields, own, strict=True)]) for k in (3, 4))
+    # one variant, earliest line first; a whole line (place -1) is within one edit of all that lead to it,
+    # two shortened lines are within one edit of each other if the same place is deleted
+    order = np.lexsort((line, doc, key))
+    key, place, doc, line, block = (a[order] for a in (key, place, doc, line, block))
+    at = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(at, append=len(key))
+    found = set()
+    for i, n in zip(at[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+        seen: dict[int, int] = {}
+        for j in range(i, i + n):
+            p = int(place[j])
+            early = {seen.get(p), seen.get(-1), i if p == -1 and j > i else None} - {None}
+            for e in early:
+                if (doc[e], line[e]) != (doc[j], line[j]):
+                    found.add((int(block[e]), int(doc[e]), int(line[e]), int(block[j]), int(doc[j]), int(line[j])))
+            seen.setdefault(p, j)
+    by: dict[int, list] = {}
+    for f in sorted(found):
+        by.setdefault(f[0], []).append(f[1:])
+    return ((b, 3, np.array(f, np.int64).tobytes()) for b, f in by.items())
 
 
 def _answer(least: int):
@@ -233,27 +227,25 @@ def _answer(least: int):
     return emit
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 20, keep: list[str] | None = None, equal: int | None = None) -> DataFrame:
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 20, keep: list[str] | None = None) -> DataFrame:
     """(id, text, n_lines, removed, and the columns of ``keep``) of each row: its text without the removed lines, and their numbers from 0.
 
-    Lines end at newlines.  Lines of fewer than ``least`` characters, but ``equal`` at least (``least`` if it is not given),
-    go only if an equal line comes first, as one edit turns unrelated short lines into each other; shorter ones and empty ones always stay.
-    Any other line goes if a line within one edit has a smaller (id, line number) anywhere in
-    the input, whether or not that one stays itself.  Null texts count as empty, empty texts have one empty line; a null id is larger
-    than all others; in rows of one id lines with one number leave each other alone."""
-    equal = least if equal is None else max(1, min(equal, least))
+    Lines end at newlines.  A line goes if a line within its edit bound has a smaller (id, line number) anywhere in
+    the input, whether or not that one stays itself.  The bound is one edit between lines of ``least`` characters or more and none
+    between shorter ones, as one edit turns unrelated short lines into each other; empty lines always stay.  Null texts count as empty, empty texts have one empty line; a null id is larger
+    than all others; in rows of one id lines with one number leave each other alone; an empty table gives no rows."""
     base = id_text(docs, id_col, text_col)
     if keep:
         base = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"), F.struct(*[F.col(f"`{c}`").alias(c) for c in keep]).alias("_row"))
     blocks = Blocks(base)
-    first = merge(blocks.send(_equal(blocks.keys, equal)), 1, _earliest)
-    second = merge(blocks.send(_halves(blocks.keys, least, equal), first), 2, _shared)
-    asked = _pairs(blocks.send(_variants(blocks.keys, least, equal), first.unionByName(second)))
-    texts = blocks.send(_answer(least), asked).select(F.col("bucket").alias("block"), F.lit(4).alias("level"), "payload")
+    first = blocks.answer(blocks.send(_equal(blocks.keys)), each(1, _earliest))
+    second = blocks.answer(blocks.send(_halves(blocks.keys, least), first), each(2, _shared))
+    asked = blocks.answer(blocks.send(_variants(blocks.keys, least), first.unionByName(second)), _pairs)
+    texts = blocks.forward(blocks.send(_answer(least), asked), 4)
     names = ["_id", "_kept", "n_lines", "removed", *(["_row"] if keep else [])]
 
     def build(rows: pa.Table, got) -> pa.Table:
-        x = Lines(rows, equal)
+        x = Lines(rows)
         gone: list[set[int]] = [set() for _ in x.whole]
         mine = set(x.owned(got).tolist())
         first = {x.key[i]: (x.doc[i], x.line[i]) for i in mine}

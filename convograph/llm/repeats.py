@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convograph.llm.common import id_text
-from convograph.llm.exchange import LAST, Blocks, Keys, groups, ids, join, merge, mix, pack, pack_ids, pieces, split, texts, unpack, unpack_ids
+from convograph.llm.exchange import LAST, Blocks, Keys, each, groups, ids, join, mix, pack, pack_ids, pieces, split, texts, unpack, unpack_ids
 
 Q = 25
 H = 13
@@ -327,9 +327,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     than all others; rows of one id are one document to each other, so they remove nothing from each other; texts
     under 50 bytes stay whole.  Other columns are not read.  Equality is that of 96 bits of identifiers."""
     blocks = Blocks(id_text(docs, id_col, text_col))
-    first = merge(blocks.send(_first(blocks.keys)), 1, _shared)
-    second = merge(blocks.send(_contexts(blocks.keys), first), 2, _refined)
-    third = merge(blocks.send(_singles(blocks.keys), second), 3, _earliest)
+    first = blocks.answer(blocks.send(_first(blocks.keys)), each(1, _shared))
+    second = blocks.answer(blocks.send(_contexts(blocks.keys), first), each(2, _refined))
+    third = blocks.answer(blocks.send(_singles(blocks.keys), second), each(3, _earliest))
     return blocks.finish(_remove, second.unionByName(third), RESULT).withColumnRenamed("_id", id_col)
 
 

@@ -2,17 +2,19 @@
 
 The distances of a fingerprint to fixed reference fingerprints (pivots) are its coordinates; by
 the triangle inequality two fingerprints that differ in at most ``k`` bits differ by at most ``k`` in
-every coordinate.  Pairs with a larger difference in any coordinate are discarded, and the rest
+every coordinate.  Fingerprints are laid out by their first coordinate, and each meets only those within ``k`` of
+it there; pairs with a larger difference in any other coordinate are discarded, and the rest
 are verified bit by bit.
 
-A distance table alone gives no key to join on, and comparing all pairs is out of the question.
-So pairs are only formed in cells: of four 16-bit blocks two at least are equal in any pair within two
-bits, and a cell holds the fingerprints that agree in two given blocks.  A cell with too
-many of them is split the same way on its other 32 and then 16 bits, after which it has 256 at most.
+One coordinate alone would leave windows that grow with the corpus.  So fingerprints are dealt into cells first:
+of ``k + 2`` blocks of bits two at least are equal in any pair within ``k`` bits, and a cell holds the
+fingerprints that agree in two given blocks.  A cell with too many of them is split the same way on
+its other bits, until it has CELL at most or its fingerprints are few enough to be bounded by the bits that are left.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain, combinations
 
 import numpy as np
@@ -29,6 +31,7 @@ BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int64)
 PIVOTS = np.array([xxhash.xxh64_intdigest(f"pivot {i}", 42) for i in range(16)], np.uint64)
 #: Fingerprints of a cell that are compared with each other at once.
 CELL = 256
+FIRST = int(PIVOTS[0].view(np.int64))
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -55,41 +58,35 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return docs.select("_id", "_text").mapInArrow(run, "_id long, _fp long")
 
 
-def _split(cells: DataFrame, width: int) -> DataFrame:
-    """Each row once for each two of the four blocks of ``width`` bits in ``rest``: the two join the cell's key, the others stay."""
+def _split(cells: DataFrame, width: int, blocks: int) -> DataFrame:
+    """Each row once for each two of the ``blocks`` blocks of ``width`` bits in ``rest``: the two join the cell's key, the others stay."""
     def block(i: int):
         return F.shiftrightunsigned("rest", i * width).bitwiseAND((1 << width) - 1)
 
     made = []
-    for n, (i, j) in enumerate(combinations(range(4), 2)):
-        k, m = (x for x in range(4) if x not in (i, j))
-        key = F.shiftleft(block(i), width).bitwiseOR(block(j)).bitwiseOR(F.lit(n << 2 * width))
-        made.append(F.struct(key.alias("key"), F.shiftleft(block(k), width).bitwiseOR(block(m)).alias("rest")))
-    opened = cells.withColumn("_x", F.explode(F.array(*made)))
-    if width == 16:
-        return opened.select("fp", F.col("_x.key").alias("cell"), F.lit(0).cast("long").alias("sub"), F.col("_x.rest").alias("rest"))
-    return opened.select("fp", "cell", F.shiftleft("sub", 32 if width == 4 else 0).bitwiseOR(F.col("_x.key")).alias("sub"), F.col("_x.rest").alias("rest"))
-
-
-def _cells(points: DataFrame) -> DataFrame:
-    """Cells of at most CELL fingerprints that hold every pair within two bits."""
-    todo, done = points.select("fp", F.col("fp").alias("rest")), []
-    for width in (16, 8, 4):
-        parts = _split(todo, width)
-        n = parts.groupBy("cell", "sub").agg(F.count("*").alias("n")).where("n > 1")
-        live = parts.join(n, ["cell", "sub"])
-        if width == 4:
+    for n, two in enumerate(combinations(range(blocks), 2)):
+        others = [F.shiftleft(block(k), at * width) for at, k in enumerate(k for k in range(blocks) if k not in two)]
+        made.append(F.struct(F.xxhash64("cell", F.lit(n), *map(block, two)).alias("cell"), reduce(lambda x, y: x.bitwiseOR(y), others).alias("rest")))
+    return cells.select("fp", F.explode(F.array(*made)).alias("_x")).select("fp", "_x.cell", "_x.rest")
+
+
+def _cells(points: DataFrame, bits: int) -> DataFrame:
+    """Cells that hold every pair within ``bits`` bits, of at most CELL fingerprints each."""
+    todo, done, left, blocks = points.select("fp", F.col("fp").alias("rest"), F.lit(0).cast("long").alias("cell")), [], 64, bits + 2
+    while True:
+        width = -(-left // blocks)
+        left = (blocks - 2) * width
+        parts = _split(todo, width, blocks)
+        live = parts.join(parts.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1"), "cell")
+        if 1 << left <= CELL or width == 1:
             done.append(live)
-        else:
-            live = live.checkpoint()
-            done.append(live.where(F.col("n") <= CELL))
-            todo = live.where(F.col("n") > CELL).select("fp", "cell", "sub", "rest")
-            if todo.isEmpty():
-                break
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out.select("cell", "sub", "fp")
+            break
+        live = live.checkpoint()
+        done.append(live.where(F.col("n") <= CELL))
+        todo = live.where(F.col("n") > CELL).select("fp", "rest", "cell")
+        if todo.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, [d.select("cell", "fp") for d in done])
 
 
 def _roots(pairs: list[tuple[np.ndarray, np.ndarray]]) -> dict[int, int]:
@@ -111,17 +108,20 @@ def _roots(pairs: list[tuple[np.ndarray, np.ndarray]]) -> dict[int, int]:
 
 
 def links(points: DataFrame, bits: int = 2) -> DataFrame:
-    """(src, dst) that connect all distinct fingerprints ``fp`` that are linked, as stars of each task's groups."""
+    """(src, dst) that connect all distinct fingerprints ``fp`` that are linked, as stars of each task's groups.
+
+    ``bits`` is at most 8: cells grow with it, as they agree in two of ``bits + 2`` blocks."""
     ready(points.sparkSession)
-    if not 0 <= bits <= 2:
-        raise ValueError("cells of two equal blocks cover differences of at most two bits")
+    if not 0 <= bits <= 8:
+        raise ValueError("bits")
 
-    def compare(cell: np.ndarray, sub: np.ndarray, fp: np.ndarray):
-        far = np.stack([np.bitwise_count(fp ^ p) for p in PIVOTS]).astype(np.int8)
+    def compare(cell: np.ndarray, fp: np.ndarray, first: np.ndarray):
+        """Pairs of a run of cells, each in order of the first coordinate."""
+        far = np.stack([np.bitwise_count(fp ^ p) for p in PIVOTS[1:]]).astype(np.int8)
         here, step = np.arange(len(fp)), 1
         while True:
             here = here[here + step < len(fp)]
-            here = here[(cell[here] == cell[here + step]) & (sub[here] == sub[here + step])]
+            here = here[(cell[here] == cell[here + step]) & (first[here + step] - first[here] <= bits)]
             if not len(here):
                 return
             near = here[np.abs(far[:, here] - far[:, here + step]).max(axis=0) <= bits]
@@ -133,18 +133,19 @@ def links(points: DataFrame, bits: int = 2) -> DataFrame:
         held, pairs = None, []
         for batch in chain(batches, [None]):
             if batch is not None:
-                new = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)]
+                new = [batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()]
                 held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
             if held is None or not len(held[0]):
                 continue
-            last = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
+            last = held[0] == held[0][-1]
             end = len(last) if batch is None else int(np.flatnonzero(last)[0])
             pairs.extend(compare(*[x[:end] for x in held]))
             held = [x[end:] for x in held]
         star = [(x, r) for x, r in _roots(pairs).items() if x != r]
         yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in star], pa.int64()), pa.array([r for _, r in star], pa.int64())], names=["src", "dst"])
 
-    dealt = _cells(points).repartition("cell", "sub").sortWithinPartitions("cell", "sub")
+    first = F.bit_count(F.col("fp").bitwiseXOR(F.lit(FIRST))).alias("first")
+    dealt = _cells(points, bits).select("cell", "fp", first).repartition("cell").sortWithinPartitions("cell", "first")
     return dealt.mapInArrow(run, "src long, dst long")
 
 
@@ -154,7 +155,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     Words are runs of non-blanks with A-Z in lower case.  A text of fewer words than a shingle is one
     shingle; a text without words, null included, has fingerprint zero and is linked like any other.  Equal
     fingerprints are one point, so copies cost nothing; rows of one id each get a row; a null
-    id counts as the greatest and a component of null ids only is null.  Other columns are not read."""
+    id counts as the greatest and a component of null ids only is null.  Other columns are not read; an empty table gives no rows."""
     prints = fingerprints(id_text(docs, id_col, text_col), shingle).checkpoint()
     key = F.coalesce("_id", F.lit(LAST))
     points = prints.groupBy(F.col("_fp").alias("fp")).agg(F.min(key).alias("least")).checkpoint()
@@ -166,10 +167,13 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their class; of repeated rows of that id all stay."""
+    """The rows of ``docs``, with all their columns, that are the smallest id of their class; of repeated rows of that id all stay.
+
+    Null and empty texts are one class; a null id stays only in a class of null ids; an empty table stays empty."""
     found = classes(docs, id_col, text_col, **options)
     stay = found.where(F.col(id_col).eqNullSafe(F.col("component"))).select(F.col(id_col).alias("_stay")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(F.col("_stay")), "left_semi")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    return whole.join(stay, F.col("_id").eqNullSafe(F.col("_stay")), "left_semi").select("_row.*")
 
 
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

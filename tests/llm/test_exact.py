@@ -8,9 +8,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 import xxhash
 
-from convograph.llm import bm25, katz, linededup, repeats, secretscan, simhash, toolcalls, wumanber
+from convograph.llm import bm25, exchange, katz, linededup, repeats, secretscan, simhash, toolcalls, wumanber
 from convograph.llm.queries import QUERIES
 
 FIRST = 1 << 62
@@ -44,7 +45,22 @@ def noisy(seed, n=120):
     return [*rows, (1000, None), (1001, ""), (1002, "short"), (1003, "Z" * 3000), (1004, "Z" * 3001)]
 
 
-def test_repeats(spark):
+@pytest.fixture(params=["one hop", "two hops"])
+def hops(request, monkeypatch):
+    """Once as small inputs go, once in many blocks that pass messages through relays."""
+    if request.param == "two hops":
+        monkeypatch.setattr(exchange, "BLOCK_BYTES", 400)
+        monkeypatch.setattr(exchange, "DIRECT", 1)
+
+
+def test_simhash_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d", 5, "s"), (2, "a b c d", 6, "t"), (None, None, 7, "u"), (3, "", 8, "v")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, _stay int, _id string")
+    got = simhash.first_of_each(d)
+    assert got.columns == d.columns and sorted(r._stay for r in got.collect()) == [5, 8]
+
+
+def test_repeats(spark, hops):
     rows = noisy(3)
     first = {}
     for d, t in rows:
@@ -63,7 +79,7 @@ def test_repeats(spark):
     assert repeats.deduplicate(frame(spark, [])).count() == 0
 
 
-def test_line_dedup(spark):
+def test_line_dedup(spark, hops):
     random.seed(7)
     base = ["".join(random.choice("aab cé") for _ in range(random.randint(15, 60))) for _ in range(30)]
 
@@ -81,10 +97,10 @@ def test_line_dedup(spark):
             a, b = b, a
         return len(b) - len(a) <= 1 and (sum(x != y for x, y in zip(a, b, strict=True)) <= 1 if len(a) == len(b) else any(b[:i] + b[i + 1 :] == a for i in range(len(b))))
 
-    lines = [(key(d), k, s, r) for r, (d, t) in enumerate(rows) for k, s in enumerate((t or "").split("\n")) if len(s) >= 20]
+    lines = [(key(d), k, s, r) for r, (d, t) in enumerate(rows) for k, s in enumerate((t or "").split("\n")) if s]
     gone = defaultdict(set)
     for x in lines:
-        if any(y[:2] < x[:2] and near(x[2], y[2]) for y in lines):
+        if any(y[:2] < x[:2] and (near(x[2], y[2]) if min(len(x[2]), len(y[2])) >= 20 else x[2] == y[2]) for y in lines):
             gone[x[3]].add(x[1])
     want = []
     for r, (d, t) in enumerate(rows):
@@ -143,14 +159,16 @@ def test_simhash(spark):
     assert simhash.classes(frame(spark, [])).count() == 0
 
 
-def test_simhash_links_in_dense_cells(spark):
+@pytest.mark.parametrize("bits", [2, 4])
+def test_simhash_links_in_dense_cells(spark, bits):
     random.seed(5)
-    base, points = random.getrandbits(64), set()
-    for _ in range(1500):
-        x = base
-        for _ in range(random.randint(0, 4)):
-            x ^= 1 << random.randint(0, 63)
-        points.add(x)
+    points = set()
+    for base in [random.getrandbits(64) for _ in range(3)]:
+        for _ in range(700):
+            x = base
+            for _ in range(random.choice([0, 1, 2, 4, 12])):
+                x ^= 1 << random.randint(0, 63)
+            points.add(x)
     signed = {p: p - (1 << 64) if p >> 63 else p for p in points}
     f = np.array(sorted(points), np.uint64)
     up = {int(p): int(p) for p in f}
@@ -162,12 +180,12 @@ def test_simhash_links_in_dense_cells(spark):
         return x
 
     for i in range(len(f)):
-        for j in np.flatnonzero(np.bitwise_count(f[:i] ^ f[i]) <= 2):
+        for j in np.flatnonzero(np.bitwise_count(f[:i] ^ f[i]) <= bits):
             up[top(int(f[i]))] = top(int(f[j]))
     want = defaultdict(set)
     for p in up:
         want[top(p)].add(signed[p])
-    links = simhash.links(spark.createDataFrame([(s,) for s in signed.values()], "fp long")).collect()
+    links = simhash.links(spark.createDataFrame([(s,) for s in signed.values()], "fp long"), bits).collect()
     two = {s: s for s in signed.values()}
 
     def root(x):
@@ -183,7 +201,7 @@ def test_simhash_links_in_dense_cells(spark):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
-def test_katz(spark):
+def test_katz(spark, hops):
     random.seed(6)
     words = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(random.choice(words[: random.choice([5, 20, 60])]) for _ in range(random.randint(0, 40)))) for i in range(150)] + [(5000, None), (5001, ""), (5010, " \t"), (None, "w1 x"), (3, "W1  w2 new")]
@@ -217,7 +235,7 @@ def test_katz(spark):
     assert katz.score(frame(spark, [])).count() == 0
 
 
-def test_bm25(spark):
+def test_bm25(spark, hops):
     random.seed(8)
     words = ["".join(random.choice("abcd") for _ in range(random.randint(1, 4))) for _ in range(150)]
     rows = [(i, " ".join(random.choice(words) for _ in range(random.randint(1, 60)))) for i in range(300)] + [(300, None), (350, ""), (None, "a b"), (301, "abc, ABC!"), (400, "abc, ABC!")]
@@ -238,7 +256,7 @@ def test_bm25(spark):
     assert bm25.search(frame_, frame(spark, [])).count() == 0
 
 
-def test_bm25_keeps_copies_at_the_floor(spark):
+def test_bm25_keeps_copies_at_the_floor(spark, hops):
     # equal documents have tight block bounds, which a floor that was rounded up must not exceed
     rows = [(i, " ".join(f"g{i % 12}{c}" for c in "abcdefgh"[: 2 + i % 6])) for i in range(12 * 200)]
     terms = [t.split() for _, t in rows]
