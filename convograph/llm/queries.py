@@ -88,13 +88,15 @@ WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, len(list_filt
 calls AS (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, CASE role WHEN 'user' THEN 'answer' ELSE 'configure' END AS name, text, words, length(text) AS chars FROM t WHERE role IN ('user', 'system')),
 res AS (SELECT conv_id, turn, 'c' || conv_id || '-' || (turn - 1) AS call_id, text AS content FROM t WHERE role = 'assistant'),
 one AS (SELECT call_id, count(*) AS n_results, min(struct_pack(a := turn, b := content, c := conv_id)) AS r FROM res GROUP BY call_id),
-sys AS (SELECT DISTINCT conv_id FROM t WHERE role = 'system'),
-r AS (SELECT c.*, CASE WHEN c.name = 'answer' AND s.conv_id IS NOT NULL THEN 1 ELSE 0 END AS level, coalesce(o.n_results, 0) AS n_results, o.r.b AS content,
+jump AS (SELECT conv_id, turn, CAST(coalesce(turn - lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) > 2, true) AS INT) AS new FROM (SELECT DISTINCT conv_id, turn FROM calls)),
+chain AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS part FROM jump),
+lev AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn) - 1 AS level FROM chain),
+r AS (SELECT c.*, l.level, coalesce(o.n_results, 0) AS n_results, o.r.b AS content,
   list_filter(CASE name WHEN 'answer' THEN [CASE WHEN chars < 1 THEN 'chars: below 1' END, CASE WHEN chars > 800 THEN 'chars: above 800' END, CASE WHEN words < 3 THEN 'words: below 3' END]
     ELSE [CASE WHEN chars > 300 THEN 'chars: above 300' END, CASE WHEN words < 1 THEN 'words: below 1' END, CASE WHEN words > 40 THEN 'words: above 40' END] END, lambda e: e IS NOT NULL) AS errs
-  FROM calls c LEFT JOIN sys s USING (conv_id) LEFT JOIN one o USING (call_id)),
+  FROM calls c LEFT JOIN lev l USING (conv_id, turn) LEFT JOIN one o USING (call_id)),
 s AS (SELECT *, '{"arguments":{"chars":' || chars || ',"text":' || CAST(to_json(text) AS VARCHAR) || ',"words":' || words || '},"id":"' || call_id || '","name":"' || name || '","result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS canonical FROM r)
-SELECT conv_id, turn, call_id, name, CAST(level AS BIGINT) AS level, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY level, turn, canonical) - 1 AS BIGINT) AS position,
+SELECT conv_id, turn, call_id, name, CAST(level AS BIGINT) AS level, CAST(row_number() OVER (PARTITION BY conv_id, level ORDER BY turn, canonical) - 1 AS BIGINT) AS position,
   CASE WHEN n_results > 0 THEN 'linked' ELSE 'unanswered' END AS status, CAST(n_results AS BIGINT) AS n_results, len(errs) = 0 AS valid, array_to_string(errs, '; ') AS errors, canonical FROM s
 UNION ALL
 SELECT r.c, r.a, call_id, NULL, NULL, NULL, 'orphan', CAST(n_results AS BIGINT), false, '', '{"arguments":null,"id":"' || call_id || '","name":null,"result":' || CAST(to_json(r.b) AS VARCHAR) || '}'

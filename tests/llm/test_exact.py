@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from convograph.llm import bm25, exchange, katz, linededup, repeats, secretscan, simhash, toolcalls, wumanber
 from convograph.llm.queries import QUERIES
@@ -333,8 +334,8 @@ def test_secret_scan(spark):
 
 
 def test_tool_calls(spark):
-    calls = spark.createDataFrame([(1, 0, "a", "f", '{"n": 3, "b": [1, 2]}'), (1, 1, "b", "f", '{"n": "x"}'), (1, 2, "c", "g", "no json"), (1, 3, "d", "h", "{}"), (1, 3, "d", "h", "{}"), (None, None, None, "f", None), (2, 0, "x", "f", '{"n": 1}'), (2, 1, "y", "f", '{"n": 99, "z": 1}')], "conv_id long, turn long, call_id string, name string, arguments string")
-    results = spark.createDataFrame([(1, 5, "a", "late"), (1, 4, "a", "early"), (1, 9, "lost", "?")], "conv_id long, turn long, call_id string, content string")
+    calls = spark.createDataFrame([(1, 0, "a", "f", '{"n": 3, "b": [1, 2]}'), (1, 1, "b", "f", '{"n": "x"}'), (1, 2, "c", "g", "no json"), (1, 3, "d", "h", "{}"), (1, 3, "d", "h", "{}"), (None, None, None, "f", None), (2, 0, "x", "f", '{"n": 1}'), (2, 1, "y", "f", '{"n": 99, "z": 1}')], "conv_id long, turn long, call_id string, name string, arguments string").withColumns({"level": F.lit("z"), "_conv": F.lit(1), "_deal": F.lit(2), "id": F.lit(3)})
+    results = spark.createDataFrame([(1, 5, "a", "late"), (1, 4, "a", "early"), (1, 9, "lost", "?"), (1, 9, None, "?")], "conv_id long, turn long, call_id string, content string")
     after = spark.createDataFrame([("c", "b"), ("b", "a"), ("c", "a"), ("c", "unknown"), ("x", "y"), ("y", "x"), (None, "a")], "id string, before string")
     schemas = {"f": {"n": {"type": "integer", "required": True, "max": 9}, "b": {"type": "array"}}, "g": {"q": {"type": "string", "required": True}}}
     rows = toolcalls.link(calls, results, after, schemas).collect()
@@ -347,8 +348,37 @@ def test_tool_calls(spark):
     assert a.canonical == '{"arguments":{"b":[1,2],"n":3},"id":"a","name":"f","result":"early"}'
     assert (by["b"][0].level, by["b"][0].errors) == (1, "n: not integer")
     assert (by["c"][0].level, by["c"][0].errors) == (2, "arguments: no object")
-    assert by["d"][0].errors == "tool: unknown" and {r.position for r in by["d"]} == {1, 2}
-    assert by["x"][0].status == by["y"][0].status == "cyclic" and by["y"][0].errors == "n: above 9; z: unknown"
+    assert by["d"][0].errors == "tool: unknown" and {r.position for r in by["d"]} == {1, 2} and a.position == 0
+    assert by["x"][0].status == by["y"][0].status == "cyclic" and by["x"][0].level is None and by["y"][0].errors == "n: above 9; z: unknown"
     assert by["lost"][0].status == "orphan" and by[None][0].level == 0
     none = calls.limit(0)
     assert toolcalls.link(none, results.limit(0), after.limit(0), schemas).count() == 0
+
+
+def test_call_levels(spark):
+    random.seed(11)
+    edges = [(f"c{i}", f"c{i - 1}") for i in range(1, 300)]  # a long chain
+    edges += [(f"n{i}", f"n{random.randrange(i)}") for i in range(1, 80) for _ in range(random.choice([1, 1, 2, 3]))]
+    edges += [("n90", "c299"), ("n90", "n79"), ("n91", "n90"), ("n92", "n91"), ("n92", "c5")]
+    edges += [("l0", "l2"), ("l1", "l0"), ("l2", "l1"), ("l3", "l2"), ("l4", "l3"), ("l4", "c7"), ("l5", "l4"), ("s", "s"), ("m1", "m2"), ("m2", "m1"), ("m1", "c1"), ("m2", "c2"), ("m3", "m1")]
+    edges += [edges[0], (None, "c1"), ("c1", None)]
+    up = defaultdict(set)
+    for a, b in edges:
+        if a and b:
+            up[a].add(b)
+    level, moved = {b: 0 for s in up.values() for b in s if b not in up}, True
+    while moved:
+        moved = False
+        for a, bs in up.items():
+            if a not in level and all(b in level for b in bs):
+                level[a], moved = 1 + max(level[b] for b in bs), True
+    got = {r.id: (r.level, r.cyclic) for r in toolcalls.levels(spark.createDataFrame(edges, "id string, before string")).collect()}
+    assert got == {a: (level.get(a), a not in level) for a in up}
+
+
+def test_calls_of_one_level_are_numbered_over_stretches(spark):
+    rows = [(1, t, f"{t}", "f", "x" * 50_000 if t == 7 else None) for t in range(3 * toolcalls.STRETCH)]
+    calls = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, name string, arguments string")
+    none = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string, id string, before string")
+    got = toolcalls.link(calls, none, none, {}).select("turn", "position").collect()
+    assert len(got) == len(rows) and all(r.turn == r.position for r in got)
