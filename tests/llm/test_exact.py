@@ -281,7 +281,8 @@ def test_bm25_counts_beyond_16_bits(spark):
     assert [(r["rank"], r.doc_id) for r in got] == [(1, 0)] and abs(got[0].score - score) < 2e-9
 
 
-def test_decontamination(spark):
+@pytest.mark.parametrize("part_bytes", [wumanber.PART_BYTES, 600])
+def test_decontamination(spark, part_bytes):
     random.seed(9)
     words = [f"w{i}" for i in range(40)]
     items = [(i, " ".join(random.choice(words) for _ in range(random.choice([2, 6, 13, 20, 30])))) for i in range(25)] + [(90, None), (91, ""), (92, "z"), (93, "é")]
@@ -293,7 +294,7 @@ def test_decontamination(spark):
             at = random.randint(0, len(t))
             t[at:at] = src[: random.randint(1, len(src))]
         rows.append((i, "  ".join(t).upper().replace("  ", random.choice([" ", ", ", "\n"]))))
-    rows += [(500, None), (501, ""), (502, "!!"), (503, "z"), (503, "É é")]
+    rows += [(500, None), (501, ""), (502, "!!"), (503, "z"), (503, "É é"), (504, " ".join(random.choice(words) for _ in range(60_000)) + " " + items[3][1])]
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
     want = []
     for d, t in rows:
@@ -309,8 +310,8 @@ def test_decontamination(spark):
         want.append((d, len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit) and 20 * len(hit) >= len(w)))
     bench = spark.createDataFrame(items, "item_id long, text string")
     docs = frame(spark, rows)
-    assert sorted(tuple(r) for r in wumanber.digests(wumanber.decontaminate(docs, bench)).collect()) == sorted(want)
-    assert wumanber.clean(docs, bench).count() == sum(not x[-1] for x in want)
+    assert sorted(tuple(r) for r in wumanber.digests(wumanber.decontaminate(docs, bench, part_bytes=part_bytes)).collect()) == sorted(want)
+    assert wumanber.clean(docs, bench, part_bytes=part_bytes).count() == sum(not x[-1] for x in want)
     assert wumanber.clean(docs, bench).columns == docs.columns
     assert wumanber.decontaminate(docs, spark.createDataFrame([], "item_id long, text string")).where("contaminated").count() == 0
 
