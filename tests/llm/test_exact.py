@@ -334,6 +334,32 @@ def test_secret_scan(spark):
     assert secretscan.scan_whole(spark, frame(spark, [])).count() == 0
 
 
+IDENTIFIERS = [
+    "XMLHttpRequestEventTarget", "AbstractSingletonProxyFactoryBean", "MAX_CONNECTION_POOL_SIZE_DEFAULT", "/usr/local/share/applications/config", "=" * 32, "a" * 20, "internationalization",
+    "get_user_account_by_identifier", "com/example/project/Main_Test", "setDefaultTimeZoneOffset", "HTTPServerConnectionManager2", "node_modules/react-dom/umd", "1234567890123456", "kubernetes-ingress-controller",
+]
+
+
+def test_markov_models_tell_random_strings_from_identifiers(spark):
+    labelled = secretscan.samples(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    model = secretscan.fit(labelled)
+    assert model.precision >= 0.9 and model.recall >= 0.9
+    random.seed(12)
+    made = ["".join(random.choice(a) for _ in range(random.randint(16, 40))) for a in ("0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "".join(map(chr, [*range(65, 91), *range(97, 123), *range(48, 58), 43, 47]))) for _ in range(100)]
+    rows = [(i, f"x {t} ({t}) y") for i, t in enumerate([*IDENTIFIERS, *made])]
+    n = {r.doc_id: r.n_markov for r in secretscan.digests(secretscan.scan(spark.createDataFrame(rows, "doc_id long, text string"), model)).collect()}
+    reported = [bool(n[i]) for i in range(len(IDENTIFIERS))]
+    caught = [n[i] == 2 for i, (_, t) in enumerate(rows) if i >= len(IDENTIFIERS)]
+    assert sum(reported) <= 1 and sum(caught) / len(caught) >= 0.95
+    # the ratio by hand
+    code = lambda ch: ord(ch) - secretscan.FIRST
+    want = {t: sum(model.ratios[code(a) * secretscan.SIZE + code(b)] for a, b in zip(t, t[1:], strict=False)) / (len(t) - 1) for t in [*IDENTIFIERS, *made]}
+    got = spark.createDataFrame([(t,) for t in want], "t string").select("t", secretscan.ratio(F.col("t"), model.ratios).alias("r")).collect()
+    assert all(abs(r.r - want[r.t]) < 1e-9 for r in got)
+    none = secretscan.fit(labelled.limit(0))
+    assert none.threshold == 1.0 and not none.ratios.any()
+
+
 def test_tool_calls(spark):
     calls = spark.createDataFrame([(1, 0, "a", "f", '{"n": 3, "b": [1, 2]}'), (1, 1, "b", "f", '{"n": "x"}'), (1, 2, "c", "g", "no json"), (1, 3, "d", "h", "{}"), (1, 3, "d", "h", "{}"), (None, None, None, "f", None), (2, 0, "x", "f", '{"n": 1}'), (2, 1, "y", "f", '{"n": 99, "z": 1}')], "conv_id long, turn long, call_id string, name string, arguments string").withColumns({"level": F.lit("z"), "_conv": F.lit(1), "_deal": F.lit(2), "id": F.lit(3)})
     results = spark.createDataFrame([(1, 5, "a", "late"), (1, 4, "a", "early"), (1, 9, "lost", "?"), (1, 9, None, "?")], "conv_id long, turn long, call_id string, content string")
