@@ -18,8 +18,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from convograph.llm.common import ready
+from convograph.llm.common import ready, schema
 
 #: The pattern of byte-level BPE that splits text before merging.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -177,7 +178,7 @@ def decode_ids(ids: list[int], path: str, step: int = 4096) -> str:
 
 
 def _rows(docs: DataFrame, column: str, kind: str, function, step: int = 256) -> DataFrame:
-    schema = docs.schema.add(column, kind)
+    whole = StructType([*docs.schema.fields]).add(column, kind)
     arrow = {"array<int>": pa.list_(pa.int32()), "string": pa.string()}[kind]
 
     def run(batches):
@@ -186,7 +187,7 @@ def _rows(docs: DataFrame, column: str, kind: str, function, step: int = 256) ->
                 part = batch.slice(at, step)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(function(part), type=arrow)], names=[*part.schema.names, column])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, whole)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -210,7 +211,10 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids, decoded) of each row's whole text."""
+    """(id, ids, decoded) of each row's whole text, null as the empty one.
+
+    Each row, repeated or not, gets a row; an empty table gives none; other columns are not read.  The lookahead bounds what the transducers hold; the
+    ids and the decoded text of a row are results and whole."""
     ready(docs.sparkSession)
 
     def run(batches):
@@ -221,8 +225,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, type=pa.list_(pa.int32())), pa.array([decode_ids(x, path) for x in ids], type=pa.string())], names=[id_col, "ids", "decoded"])
 
     two = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("_text"))
-    kind = two.schema[0].dataType.simpleString()
-    return two.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return two.mapInArrow(run, schema(id_col, two.schema[0].dataType, "ids array<int>, decoded string"))
 
 
 def digests(trips: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 from convograph import workers
 
@@ -29,6 +30,28 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
 
 
+def loose(kind: DataType) -> DataType:
+    """The type with nulls allowed everywhere, as it comes back from Arrow."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, loose(f.dataType), True) for f in kind])
+    if isinstance(kind, ArrayType):
+        return ArrayType(loose(kind.elementType), True)
+    if isinstance(kind, MapType):
+        return MapType(kind.keyType, loose(kind.valueType), True)
+    return kind
+
+
+def packed(docs: DataFrame, columns: list[str]):
+    """The columns in one struct, which names inside an operator cannot clash with."""
+    kind = StructType([docs.schema[c] for c in columns])
+    return F.struct(*[F.col(f"`{c}`").alias(c) for c in columns]).cast(loose(kind))
+
+
+def schema(name: str, kind: DataType, rest: str) -> StructType:
+    """A column of any name and type before those of ``rest``."""
+    return StructType([StructField(name, loose(kind)), *StructType.fromDDL(rest).fields])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from convograph.llm.common import ready
 
@@ -269,7 +270,7 @@ class Blocks:
     def _with(self, replies: DataFrame):
         return self.docs.groupBy("_block").cogroup(replies.groupBy("to"))
 
-    def finish(self, build: Callable, replies: DataFrame, schema: str) -> DataFrame:
+    def finish(self, build: Callable, replies: DataFrame, schema: StructType | str) -> DataFrame:
         """``build(rows, replies)`` returns the table of results of a block."""
         return self._with(replies).applyInArrow(lambda key, rows, got: build(_gather(rows), by_level(got)), schema)
 

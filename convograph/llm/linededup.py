@@ -19,8 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from convograph.llm.common import id_text
+from convograph.llm.common import id_text, packed
 from convograph.llm.exchange import LAST, Blocks, Keys, each, groups, ids, join, mix, pack, split, unpack
 
 BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -236,7 +237,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     than all others; in rows of one id lines with one number leave each other alone; an empty table gives no rows."""
     base = id_text(docs, id_col, text_col)
     if keep:
-        base = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"), F.struct(*[F.col(f"`{c}`").alias(c) for c in keep]).alias("_row"))
+        base = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"), packed(docs, keep).alias("_row"))
     blocks = Blocks(base)
     first = blocks.answer(blocks.send(_equal(blocks.keys)), each(1, _earliest))
     second = blocks.answer(blocks.send(_halves(blocks.keys, least), first), each(2, _shared))
@@ -265,10 +266,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         out = [rows.column("_id"), pa.array(kept, pa.string()), pa.array(map(len, x.whole), pa.int64()), pa.array([sorted(g) for g in gone], pa.list_(pa.int64()))]
         return pa.table([*out, *([rows.column("_row")] if keep else [])], names=names)
 
-    schema = "_id long, _kept string, n_lines long, removed array<long>"
+    kind = StructType.fromDDL("_id long, _kept string, n_lines long, removed array<long>")
     if keep:
-        schema += f", _row {base.schema['_row'].dataType.simpleString()}"
-    out = blocks.finish(build, first.unionByName(texts), schema)
+        kind = kind.add("_row", base.schema["_row"].dataType)
+    out = blocks.finish(build, first.unionByName(texts), kind)
     more = [F.col(f"_row.`{c}`").alias(c) for c in keep or []]
     return out.select(F.col("_id").alias(id_col), F.col("_kept").alias(text_col), "n_lines", "removed", *more)
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convograph.llm.common import id_text, ready
+from convograph.llm.common import id_text, packed, ready
 from convograph.llm.exchange import LAST
 from convograph.operators.components import connected_components
 
@@ -172,7 +172,7 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null and empty texts are one class; a null id stays only in a class of null ids; an empty table stays empty."""
     found = classes(docs, id_col, text_col, **options)
     stay = found.where(F.col(id_col).eqNullSafe(F.col("component"))).select(F.col(id_col).alias("_stay")).distinct()
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    whole = docs.select(packed(docs, docs.columns).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
     return whole.join(stay, F.col("_id").eqNullSafe(F.col("_stay")), "left_semi").select("_row.*")
 
 

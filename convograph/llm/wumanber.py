@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convograph.llm.common import ready, shared_folder
+from convograph.llm.common import packed, ready, schema, shared_folder
 
 #: ASCII letters in lower case and digits stay, other ASCII becomes a blank, the rest is part of words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -140,9 +140,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = ready(docs.sparkSession)
     rows = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("")), F.col(f"`{item_text}`"))
     state = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"), F.array().cast("array<string>").alias("_items"), F.array().cast("array<array<long>>").alias("_spans"))
-    kind = state.schema["_id"].dataType.simpleString()
-    going = f"_id {kind}, _text string, _items array<string>, _spans array<array<long>>"
-    done = f"`{id_col}` {kind}, n_words long, n_hit long, items array<string>, spans array<array<long>>, contaminated boolean"
+    kind = state.schema["_id"].dataType
+    going = schema("_id", kind, "_text string, _items array<string>, _spans array<array<long>>")
+    done = schema(id_col, kind, "n_words long, n_hit long, items array<string>, spans array<array<long>>, contaminated boolean")
 
     def scan(shared, last: bool):
         def run(batches):
@@ -179,7 +179,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns, in one pass for each part of the benchmark."""
     cols = docs.columns
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.col(f"`{options.pop('text_col', 'text')}`").alias("_t"))
+    whole = docs.select(packed(docs, cols).alias("_row"), F.col(f"`{options.pop('text_col', 'text')}`").alias("_t"))
     return decontaminate(whole, benchmark, id_col="_row", text_col="_t", **options).where(~F.col("contaminated")).select("_row.*")
 
 
