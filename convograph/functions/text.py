@@ -246,3 +246,8 @@ def delay(attempt: Column, factor: float, strategy: str, most: float) -> Column:
         fib = F.aggregate(F.sequence(F.lit(1), attempt), F.struct(F.lit(0.0).alias("a"), F.lit(1.0).alias("b")), lambda s, _: F.struct(s["b"].alias("a"), (s["a"] + s["b"]).alias("b")))
         d = fib["a"] * factor
     return F.least(d.cast("double"), F.lit(float(most)))
+
+
+def validated(text: Column) -> Column:
+    """Text without blanks around it; null becomes empty, other types become text."""
+    return F.coalesce(F.trim(text.cast("string")), F.lit(""))

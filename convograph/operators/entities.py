@@ -150,3 +150,8 @@ def mock_embedding(text: Column, dimension: int = 16) -> Column:
     size = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda a, x: a + x * x))
     padded = F.concat(F.transform(raw, lambda x: x / size), F.array_repeat(F.lit(0.0), max(0, dimension - 16)))
     return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", F.array_repeat(F.lit(0.0), dimension)).otherwise(F.slice(padded, 1, dimension))
+
+
+def embedded_once(rows: DataFrame, text_col: str, dimension: int = 16) -> DataFrame:
+    """(text, embedding) of each distinct text; rows that share a text share the work."""
+    return rows.select(text_col).where(F.col(text_col).isNotNull()).distinct().withColumn("embedding", mock_embedding(F.col(text_col), dimension))
