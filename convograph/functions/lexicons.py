@@ -166,3 +166,41 @@ ABBREVIATIONS = {
 }
 IRREGULAR_PLURALS = {"person": "people", "child": "children", "man": "men", "woman": "women", "datum": "data", "index": "indices"}
 IMPORTANCE_WEIGHTS = {"frequency": 0.15, "structural_centrality": 0.25, "semantic_centrality": 0.20, "discourse_function": 0.20, "temporal_dynamics": 0.10, "cross_reference": 0.10}
+# Fixed values of theme analysis: terms, meanings and the sentences of its reports.
+INTERACTION_PATTERNS = ["emergence", "synthesis"]
+ABSTRACT_TERMS = ["concept", "system", "framework", "paradigm", "principle"]
+POSITIVE_INDICATORS = ["success", "innovation", "growth", "opportunity", "benefit"]
+NEGATIVE_INDICATORS = ["challenge", "risk", "concern", "problem", "threat"]
+VALUE_TERMS = ["good", "bad", "right", "wrong", "should"]
+METAPHOR_MEANINGS = {
+    "journey": "underlying theme of progression and transformation",
+    "war": "underlying theme of conflict and competition",
+    "growth": "underlying theme of development and potential",
+    "building": "underlying theme of construction and stability",
+    "game": "underlying theme of strategy and competition",
+    "machine": "underlying theme of efficiency and systems",
+    "ecosystem": "underlying theme of interconnection and balance",
+}
+METAPHOR_DEFAULT = "recurring metaphorical pattern"
+THEME_SENTENCES = {
+    "emergence": "This theme emerges from the synthesis of multiple concepts",
+    "tension": "This theme reflects underlying tensions in the discussion",
+    "metaphor": "Recurring %s metaphors reinforce this theme",
+    "crescendo": "The theme builds in importance throughout the discussion",
+    "steady": "This theme maintains consistent presence",
+    "validated": "Strong evidence supports this as a genuine emergent theme",
+    "none": "Implicit theme detected through concept clustering",
+}
+NARRATIVE_PARTS = {
+    "dominant": "The conversation implicitly explores %s",
+    "crescendo": "with themes building in intensity",
+    "steady": "with consistent thematic presence",
+    "connected": "while connecting %d interrelated concepts",
+    "implicit": "through largely implicit means",
+}
+DISCOURSE_DESCRIPTIONS = {
+    "hierarchical": "Centralized discussion with dominant themes",
+    "modular": "Multiple distinct topic clusters",
+    "sequential": "Linear progression of ideas",
+    "emergent": "Organic, exploratory conversation",
+}
