@@ -13,9 +13,9 @@ from convograph.functions import lexicons as L
 
 
 def mean_of(*factors: Column) -> Column:
-    """Mean of the factors that are known."""
+    """Mean of the factors that are known; null if none is."""
     known = F.filter(F.array(*factors), lambda x: x.isNotNull())
-    return F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / F.size(known)
+    return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known))
 
 
 def from_interaction(pattern_type: Column) -> Column:
