@@ -25,8 +25,8 @@ from pyspark.sql.types import StructType
 from convograph.llm.common import ready
 
 LAST = np.iinfo(np.int64).max
-#: Mean bytes of text in a block; a block is one task's work.
-BLOCK_BYTES = 64 << 20
+#: Mean bytes of text in a block, which is one task's work: the most, and those that do while messages need one hop only.
+BLOCK_BYTES, SMALL_BYTES = 64 << 20, 8 << 20
 #: Number of blocks beyond which messages take two hops.
 DIRECT = 1024
 #: Address of all blocks.
@@ -156,12 +156,14 @@ def bundle(tags: list[int], payloads: list[bytes]) -> bytes:
     return np.array([len(tags), *tags, *map(len, payloads)], np.int64).tobytes() + b"".join(payloads)
 
 
-def unbundle(data: bytes) -> Iterator[tuple[int, bytes]]:
+def unbundle(data: bytes) -> Iterator[tuple[int, memoryview]]:
+    """The numbers and payloads of a bundle, which are not copied."""
+    view = memoryview(data)
     n = int(np.frombuffer(data, np.int64, 1)[0])
     head = np.frombuffer(data, np.int64, 2 * n, 8).tolist()
     at = 8 + 16 * n
     for tag, size in zip(head[:n], head[n:], strict=True):
-        yield tag, data[at : at + size]
+        yield tag, view[at : at + size]
         at += size
 
 
@@ -171,20 +173,19 @@ def _rows(found: dict[tuple[int, int], list[tuple[int, bytes]]]) -> pa.Table:
 
 
 class Blocks:
-    """Rows of (_id, _text, ...) dealt into blocks of about ``BLOCK_BYTES`` of text by the hash of both.
+    """Rows of (_id, _text, ...) dealt into blocks by the hash of both.
 
-    What crosses the exchange is one compressed Arrow batch for each block and batch of rows.  Small inputs get
-    two blocks for each of a few partitions, so that a block's work arrays stay small, or one for each of many.
-    The bytes of text are counted first, in a scan of that column alone.
+    What crosses the exchange is one compressed Arrow batch for each block and batch of rows.
+    The bytes of text are counted first, in a scan of that column alone, and they alone give the number of blocks, as messages grow with it
+    whatever the partitions.
 
     Work passes between blocks and buckets of keys in turns: ``send`` lets every block write to buckets, ``answer``
     lets every bucket write to blocks, ``finish`` turns blocks and what they got into rows of results."""
 
     def __init__(self, docs: DataFrame):
-        spark = ready(docs.sparkSession)
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ready(docs.sparkSession)
         size = docs.agg(F.sum(F.octet_length("_text").cast("long"))).first()[0] or 0
-        self.n = max(partitions, min(2 * partitions, 128), -(-size // BLOCK_BYTES))
+        self.n = max(-(-size // BLOCK_BYTES), min(DIRECT, -(-size // SMALL_BYTES)), min(16, size >> 20), 1)
         self.width = 0 if self.n <= DIRECT else math.isqrt(self.n - 1) + 1
         self.keys = Keys(self.n)
         blocked = docs.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(self.n)).cast("int"))
@@ -226,7 +227,7 @@ class Blocks:
 
         def run(key, rows):
             bucket = key[0].as_py()
-            got = sorted(x for data in rows.column("payload").to_pylist() for x in unbundle(data))
+            got = sorted((x for data in rows.column("payload").to_pylist() for x in unbundle(data)), key=lambda x: x[0])
             out: dict[tuple[int, int], list] = {}
             for block, level, payload in reply(bucket, [g[0] for g in got], [g[1] for g in got]):
                 if width:

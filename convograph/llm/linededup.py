@@ -257,7 +257,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for p in got.get(4, []):
             place, *earlier = split(p)
             for (doc, line), s in zip(np.frombuffer(place, np.int64).reshape(-1, 2).tolist(), earlier, strict=True):
-                later.setdefault((doc, line), []).append(s.decode())
+                later.setdefault((doc, line), []).append(bytes(s).decode())
         if later:
             for i, (doc, line) in enumerate(zip(x.doc.tolist(), x.line.tolist(), strict=True)):
                 if any(within_one(x.text[i], s) for s in later.get((doc, line), ())):

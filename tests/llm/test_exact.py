@@ -48,7 +48,8 @@ def noisy(seed, n=120):
 
 @pytest.fixture(params=["one hop", "two hops"])
 def hops(request, monkeypatch):
-    """Once as small inputs go, once in many blocks that pass messages through relays."""
+    """Once in blocks that send to buckets directly, once in more that pass messages through relays."""
+    monkeypatch.setattr(exchange, "SMALL_BYTES", 1500)
     if request.param == "two hops":
         monkeypatch.setattr(exchange, "BLOCK_BYTES", 400)
         monkeypatch.setattr(exchange, "DIRECT", 1)
