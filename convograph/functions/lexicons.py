@@ -204,3 +204,8 @@ DISCOURSE_DESCRIPTIONS = {
     "sequential": "Linear progression of ideas",
     "emergent": "Organic, exploratory conversation",
 }
+GAP_SUGGESTIONS = {
+    "bridge": "Consider exploring how %s relates to both topic areas",
+    "close": "These topics are semantically close - look for implicit connections",
+    "distant": "These topics are semantically distant - bridging may reveal novel insights",
+}
