@@ -251,3 +251,8 @@ def delay(attempt: Column, factor: float, strategy: str, most: float) -> Column:
 def validated(text: Column) -> Column:
     """Text without blanks around it; null becomes empty, other types become text."""
     return F.coalesce(F.trim(text.cast("string")), F.lit(""))
+
+
+def backed(some: Column, of: Column) -> Column:
+    """0.5 and half the share of those that back something up; 0.5 where there are none."""
+    return F.when(of > 0, F.least(F.lit(1.0), 0.5 + some / of * 0.5)).otherwise(F.lit(0.5))

@@ -139,6 +139,11 @@ def frequency_factor(mentions: Column, seconds: Column) -> Column:
     return F.when((mentions > 0) & (seconds > 0), F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.log1p(rate) / F.log1p(mentions)))).otherwise(F.lit(0.0))
 
 
+def bridge_role(mentions: Column, span: Column, segments: Column) -> Column:
+    """Mean gap between the segments of an entity over a tenth of the episode, at most 1; the gaps of mentions in order add up to their span."""
+    return F.when(mentions > 1, F.least(F.lit(1.0), F.try_divide(span, mentions - 1) / F.greatest(F.lit(1.0), segments * 0.1))).otherwise(F.lit(0.0))
+
+
 def top_by(rows: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= k)
 

@@ -111,13 +111,24 @@ def transcript(segments: DataFrame, longest: int = 2000) -> DataFrame:
     return segments.groupBy("episode_id").agg(F.substring(F.array_join(lines, "\n\n"), 1, longest).alias("transcript"))
 
 
-def feed_items(xml: DataFrame) -> DataFrame:
-    """Episodes of feeds (feed, xml): title, audio address (enclosure first, else a link to an audio file), identifier and duration; items without audio go."""
-    i = xml.select("feed", F.explode(F.regexp_extract_all("xml", F.lit(r"(?s)(<item>.*?</item>)"), F.lit(1))).alias("item"))
+def feed_items(xml: DataFrame, most: int = 0) -> DataFrame:
+    """Episodes of feeds (feed, xml): title, audio address (enclosure first, else a link to an audio file), identifier and duration; items without audio go.
+
+    ``most`` keeps so many of each feed, in its order, of those with audio; 0 keeps all."""
+    i = xml.select("feed", F.posexplode(F.regexp_extract_all("xml", F.lit(r"(?s)(<item>.*?</item>)"), F.lit(1))).alias("pos", "item"))
     get = lambda path: F.xpath_string("item", F.lit(path))
     audio = F.coalesce(F.nullif(get("item/enclosure[starts-with(@type,'audio')]/@url"), F.lit("")), F.when(get("item/link").rlike(r"(?i)\.(mp3|m4a|wav|ogg|aac|opus)$"), get("item/link")))
-    d = i.select("feed", get("item/title").alias("title"), audio.alias("audio"), F.substring(F.sha2(F.coalesce(F.nullif(get("item/guid"), F.lit("")), F.concat_ws("_", get("item/title"), get("item/link"))), 256), 1, 32).alias("episode_id"), T.duration_seconds(get("item/duration")).alias("seconds"))
-    return d.where("audio is not null")
+    d = i.select("feed", "pos", get("item/title").alias("title"), audio.alias("audio"), F.substring(F.sha2(F.coalesce(F.nullif(get("item/guid"), F.lit("")), F.concat_ws("_", get("item/title"), get("item/link"))), 256), 1, 32).alias("episode_id"), T.duration_seconds(get("item/duration")).alias("seconds"))
+    d = d.where("audio is not null")
+    if most:
+        d = d.withColumn("_rn", F.row_number().over(W.partitionBy("feed").orderBy("pos"))).where(F.col("_rn") <= most).drop("_rn")
+    return d.drop("pos")
+
+
+def feed_record(feeds: DataFrame) -> DataFrame:
+    """(feed, title, description, language) of feeds (feed, name, xml); a feed without a title takes the name it is configured under."""
+    get = lambda path: F.nullif(F.trim(F.xpath_string("xml", F.lit(path))), F.lit(""))
+    return feeds.select("feed", F.coalesce(get("//channel/title"), "name").alias("title"), F.coalesce(get("//channel/description"), F.lit("")).alias("description"), get("//channel/language").alias("language"))
 
 
 __all__ = ["align", "occurrences"]

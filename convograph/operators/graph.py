@@ -39,8 +39,8 @@ def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0
     return q.agg(F.sum(F.coalesce("l", F.lit(0)) / F.col("m") - resolution * F.pow(F.col("d") / (2 * F.col("m")), F.lit(2.0))).alias("modularity"))
 
 
-def gaps(edges: DataFrame, communities: DataFrame, few: int = 3) -> DataFrame:
-    """Pairs of communities with fewer than ``few`` edges between them; the number of communities is that of a small table."""
+def gaps(edges: DataFrame, communities: DataFrame, few: int = 3, top: int = 10) -> DataFrame:
+    """The ``top`` pairs of communities with the fewest edges between them, of those with less than ``few``; the number of communities is that of a small table."""
     c = communities
     cross = edges.join(c.select(F.col("node").alias("src"), F.col("community").alias("x")), "src").join(c.select(F.col("node").alias("dst"), F.col("community").alias("y")), "dst").where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("connections"))
     # three representatives of each, ranked before they are gathered
@@ -49,7 +49,8 @@ def gaps(edges: DataFrame, communities: DataFrame, few: int = 3) -> DataFrame:
     left, right = (size.select(*[F.col(x).alias(f"{k}_{x}") for x in size.columns]) for k in ("a", "b"))
     both = left.join(right, F.col("a_community") < F.col("b_community")).join(cross, (F.col("a_community") == F.col("a")) & (F.col("b_community") == F.col("b")), "left")
     n = F.coalesce("connections", F.lit(0))
-    return both.where(n < few).select(F.col("a_community").alias("community_a"), F.col("b_community").alias("community_b"), n.cast("long").alias("connections"), (1 - n / few).alias("gap_score"), F.col("a_size").alias("size_a"), F.col("b_size").alias("size_b"), F.col("a_members").alias("members_a"), F.col("b_members").alias("members_b"))
+    found = both.where(n < few).select(F.col("a_community").alias("community_a"), F.col("b_community").alias("community_b"), n.cast("long").alias("connections"), (1 - n / few).alias("gap_score"), F.col("a_size").alias("size_a"), F.col("b_size").alias("size_b"), F.col("a_members").alias("members_a"), F.col("b_members").alias("members_b"))
+    return found.orderBy("connections", "community_a", "community_b").limit(top)
 
 
 def gap_evolution(now: DataFrame, before: DataFrame, step: float = 0.1) -> DataFrame:

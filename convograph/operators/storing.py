@@ -16,6 +16,8 @@ STRINGS = "map<string,string>"
 
 def props(**values: Column) -> Column:
     """Properties as text; those that are null are left out."""
+    if not values:
+        return F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in values.items()])
     return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
 

@@ -118,4 +118,16 @@ def feed_episodes(spark, sf):
     return P.feed_items(table(spark, sf, "pages").select(i.alias("feed"), xml.alias("xml"))).select(F.col("feed").alias("page_id"), "title", "audio", "episode_id", n(F.col("seconds")).alias("seconds"))
 
 
+@book.add("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE 'Feed ' || page_id END AS title, CASE WHEN page_id % 2 = 0 THEN 'about ' || page_id ELSE '' END AS description, CAST(least(2, page_id % 4) AS BIGINT) AS episodes FROM pages")
+def feed_records(spark, sf):
+    """Feeds of up to three items, every third of them untitled, and how many of two are kept."""
+    i = F.col("page_id")
+    s = i.cast("string")
+    item = F.concat(F.lit("<item><title>t</title><enclosure type='audio/mpeg' url='http://a/"), s, F.lit(".mp3'/></item>"))
+    xml = F.concat(F.lit("<rss><channel><title>"), F.when(i % 3 > 0, F.concat(F.lit("Feed "), s)).otherwise(" "), F.lit("</title>"), F.when(i % 2 == 0, F.concat(F.lit("<description>about "), s, F.lit("</description>"))).otherwise(""), F.lit("<item><title>no audio</title></item>"), F.repeat(item, (i % 4).cast("int")), F.lit("</channel></rss>"))
+    feeds = table(spark, sf, "pages").select(i.alias("feed"), F.col("url").alias("name"), xml.alias("xml"))
+    kept = P.feed_items(feeds, most=2).groupBy("feed").agg(F.count("*").alias("k"))
+    return P.feed_record(feeds).join(kept, "feed", "left").select(F.col("feed").alias("page_id"), "title", "description", n(F.coalesce("k", F.lit(0))).alias("episodes"))
+
+
 QUERIES, SQL = book.queries, book.sql

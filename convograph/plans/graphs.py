@@ -48,7 +48,7 @@ def community_modularity(spark, sf):
     return G.modularity(part_edges(spark, sf), brands(spark, sf)).select(r6(F.col("modularity")).alias("modularity"))
 
 
-@book.add(f"WITH {PAIRS}, {COMM}, h AS (SELECT * FROM e WHERE weight >= 2), x AS (SELECT least(a.community, b.community) AS a, greatest(a.community, b.community) AS b, count(*) AS k FROM h JOIN c a ON a.node = src JOIN c b ON b.node = dst WHERE a.community <> b.community GROUP BY 1, 2), s AS (SELECT community, count(*) AS size FROM c GROUP BY 1) SELECT p.community AS community_a, q.community AS community_b, CAST(coalesce(k, 0) AS BIGINT) AS connections, round(1 - coalesce(k, 0) / 10, 6) AS gap_score, p.size AS size_a, q.size AS size_b FROM s p JOIN s q ON p.community < q.community LEFT JOIN x ON x.a = p.community AND x.b = q.community WHERE coalesce(k, 0) < 10")
+@book.add(f"WITH {PAIRS}, {COMM}, h AS (SELECT * FROM e WHERE weight >= 2), x AS (SELECT least(a.community, b.community) AS a, greatest(a.community, b.community) AS b, count(*) AS k FROM h JOIN c a ON a.node = src JOIN c b ON b.node = dst WHERE a.community <> b.community GROUP BY 1, 2), s AS (SELECT community, count(*) AS size FROM c GROUP BY 1) SELECT p.community AS community_a, q.community AS community_b, CAST(coalesce(k, 0) AS BIGINT) AS connections, round(1 - coalesce(k, 0) / 10, 6) AS gap_score, p.size AS size_a, q.size AS size_b FROM s p JOIN s q ON p.community < q.community LEFT JOIN x ON x.a = p.community AND x.b = q.community WHERE coalesce(k, 0) < 10 ORDER BY connections, community_a, community_b LIMIT 10")
 def structural_gaps(spark, sf):
     return G.gaps(part_edges(spark, sf).where("weight >= 2"), brands(spark, sf), few=10).select("community_a", "community_b", "connections", r6(F.col("gap_score")).alias("gap_score"), "size_a", "size_b")
 

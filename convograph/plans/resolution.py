@@ -66,17 +66,17 @@ def quote_validation(spark, sf):
     return d.withColumn("item_id", F.col("doc_id") % 40).join(b, "item_id").select("doc_id", "item_id", E.supported(F.col("q"), F.col("t")).alias("supported"))
 
 
-@book.add(f"""WITH {MENTIONS_SQL}, t AS (SELECT episode_id, count(*) AS ns, max(start_time + word_count * 60 / 150.0::DOUBLE) AS total FROM seg GROUP BY 1), g AS (SELECT episode_id, entity_id, count(*) AS k, max(total) AS total, count(*) FILTER (WHERE segment_index <= floor(0.2 * ns)) / count(*) AS intro, count(*) FILTER (WHERE segment_index >= floor(0.8 * ns)) / count(*) AS concl, least(1.0, count(*) / max(ns) * 2) AS spread FROM men JOIN t USING (episode_id) GROUP BY 1, 2),
-f AS (SELECT *, CASE WHEN total > 0 THEN least(1.0, greatest(0, ln(1 + k / (total / 60)) / ln(1 + k))) ELSE 0 END AS frequency FROM g), c AS (SELECT *, least(1.0, greatest(0, frequency * 0.15::DOUBLE + (intro + concl + spread) / 3 * 0.20::DOUBLE)) AS importance FROM f)
-SELECT episode_id, entity_id, round(frequency, 6) AS frequency, round(importance, 6) AS importance, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY round(importance, 9) DESC, entity_id) AS rank FROM c) WHERE rank <= 5""")
+@book.add(f"""WITH {MENTIONS_SQL}, t AS (SELECT episode_id, count(*) AS ns, max(start_time + word_count * 60 / 150.0::DOUBLE) AS total FROM seg GROUP BY 1), g AS (SELECT episode_id, entity_id, count(*) AS k, max(total) AS total, count(*) FILTER (WHERE segment_index <= floor(0.2 * ns)) / count(*) AS intro, count(*) FILTER (WHERE segment_index >= floor(0.8 * ns)) / count(*) AS concl, least(1.0, count(*) / max(ns) * 2) AS spread, CASE WHEN count(*) > 1 THEN least(1.0, (max(segment_index) - min(segment_index)) / (count(*) - 1) / greatest(1, max(ns) * 0.1)) ELSE 0 END AS bridge FROM men JOIN t USING (episode_id) GROUP BY 1, 2),
+f AS (SELECT *, CASE WHEN total > 0 THEN least(1.0, greatest(0, ln(1 + k / (total / 60)) / ln(1 + k))) ELSE 0 END AS frequency FROM g), c AS (SELECT *, least(1.0, greatest(0, frequency * 0.15::DOUBLE + (intro + concl + spread + bridge) / 4 * 0.20::DOUBLE)) AS importance FROM f)
+SELECT episode_id, entity_id, round(frequency, 6) AS frequency, round(bridge, 6)::DOUBLE AS bridge, round(importance, 6) AS importance, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY round(importance, 9) DESC, entity_id) AS rank FROM c) WHERE rank <= 5""")
 def importance_factors(spark, sf):
     s = segments(table(spark, sf, "conversations"))
     t = s.groupBy("episode_id").agg(F.count("*").alias("ns"), F.max("end_time").alias("total"))
     i, ns = F.col("segment_index"), F.col("ns")
-    g = M.mentions(s, concepts(spark)).join(t, "episode_id").groupBy("episode_id", "entity_id").agg(F.count("*").alias("k"), F.max("total").alias("total"), F.avg((i <= F.floor(ns * 0.2)).cast("double")).alias("intro"), F.avg((i >= F.floor(ns * 0.8)).cast("double")).alias("concl"), F.least(F.lit(1.0), F.count("*") / F.max("ns") * 2).alias("spread"))
+    g = M.mentions(s, concepts(spark)).join(t, "episode_id").groupBy("episode_id", "entity_id").agg(F.count("*").alias("k"), F.max("total").alias("total"), F.avg((i <= F.floor(ns * 0.2)).cast("double")).alias("intro"), F.avg((i >= F.floor(ns * 0.8)).cast("double")).alias("concl"), F.least(F.lit(1.0), F.count("*") / F.max("ns") * 2).alias("spread"), E.bridge_role(F.count("*"), F.max(i) - F.min(i), F.max("ns")).alias("bridge"))
     g = g.withColumn("frequency", E.frequency_factor(F.col("k"), F.col("total")))
-    g = g.withColumn("importance", E.importance({"frequency": F.col("frequency"), "discourse_function": (F.col("intro") + F.col("concl") + F.col("spread")) / 3}))
-    return E.top_by(g, ["episode_id"], [F.desc(F.round("importance", 9)), F.col("entity_id")], 5).select("episode_id", "entity_id", r6(F.col("frequency")).alias("frequency"), r6(F.col("importance")).alias("importance"), n(F.col("rank")).alias("rank"))
+    g = g.withColumn("importance", E.importance({"frequency": F.col("frequency"), "discourse_function": (F.col("intro") + F.col("concl") + F.col("spread") + F.col("bridge")) / 4}))
+    return E.top_by(g, ["episode_id"], [F.desc(F.round("importance", 9)), F.col("entity_id")], 5).select("episode_id", "entity_id", r6(F.col("frequency")).alias("frequency"), r6(F.col("bridge")).alias("bridge"), r6(F.col("importance")).alias("importance"), n(F.col("rank")).alias("rank"))
 
 
 @book.add("SELECT n_nationkey, r_regionkey, CASE WHEN n_nationkey % 3 = 0 AND r_regionkey % 2 = 0 THEN 'AFFILIATED_WITH' WHEN n_nationkey % 3 = 1 AND r_regionkey % 2 = 0 THEN 'USES' ELSE 'RELATED_TO' END AS relation FROM nation JOIN region ON n_regionkey = r_regionkey")

@@ -12,15 +12,16 @@ from convograph.operators import graph as G
 from convograph.plans.base import Book, n, quote, r6, sql_any, table
 from convograph.plans.episodes import SOURCES, scored
 from convograph.plans.graphs import CENT, COS, V
-from convograph.sources.adapters import SEGMENTS_SQL, segments
+from convograph.plans.flow import parts
+from convograph.sources.adapters import MENTIONS_SQL, SEGMENTS_SQL, segments
 
 book = Book()
 
 
-@book.add("SELECT event_id, round(greatest(0.0, least(100.0, value)), 6)::DOUBLE AS score, greatest(0.0, least(1.0, coalesce(TRY_CAST(CASE WHEN event_id % 5 = 0 THEN 'none' ELSE '0.7' END AS DOUBLE), 0.5)))::DOUBLE AS ratio FROM events")
+@book.add("SELECT event_id, round(greatest(0.0, least(100.0, value)), 6)::DOUBLE AS score, greatest(0.0, least(1.0, round(coalesce(TRY_CAST(CASE WHEN event_id % 5 = 0 THEN event_type ELSE CAST(CAST(user_id AS DOUBLE) / 50 AS VARCHAR) END AS DOUBLE), 0.5), 6)))::DOUBLE AS ratio FROM events")
 def clamped_metrics(spark, sf):
-    text = F.when(F.col("event_id") % 5 == 0, "none").otherwise("0.7")
-    return table(spark, sf, "events").select("event_id", r6(S.clamped(F.col("value"), 0, 100)).alias("score"), S.clamped(text, 0, 1, 0.5).alias("ratio"))
+    text = F.when(F.col("event_id") % 5 == 0, F.col("event_type")).otherwise((F.col("user_id").cast("double") / 50).cast("string"))
+    return table(spark, sf, "events").select("event_id", r6(S.clamped(F.col("value"), 0, 100)).alias("score"), r6(S.clamped(text, 0, 1, 0.5)).alias("ratio"))
 
 
 @book.add("SELECT o_orderkey, strftime(date_trunc('day', o_orderdate), '%Y-%m-%d') AS day, CASE o_orderkey % 4 WHEN 0 THEN 'date' WHEN 1 THEN 'other' WHEN 2 THEN 'iso' ELSE 'epoch' END AS form, o_orderkey % 4 <> 3 AS parsed FROM orders")
@@ -37,18 +38,18 @@ def mapped_types(spark, sf):
     return table(spark, sf, "events").groupBy("event_type", S.entity_type(name).alias("mapped")).agg(F.count("*").alias("n"))
 
 
-ENDING = SEGMENTS_SQL + ", en AS (SELECT episode_id, string_agg(lower(text), ' ' ORDER BY segment_index) AS t FROM (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY segment_index DESC) AS r FROM seg) WHERE r <= 2 GROUP BY 1), k AS (SELECT episode_id, episode_id % 4 AS m, CASE WHEN episode_id % 4 = 0 THEN 'abandoned' WHEN " + sql_any("t", ["therefore", "conclude"]) + " THEN 'answered' WHEN " + sql_any("t", ["future", "next time"]) + " THEN 'deferred' WHEN " + sql_any("t", ["partially", "some aspects"]) + " THEN 'partial' WHEN " + sql_any("t", ["instead", "actually"]) + " THEN 'transformed' ELSE 'partial' END AS kind FROM en)"
+ENDING = MENTIONS_SQL + ", lst AS (SELECT *, row_number() OVER (PARTITION BY episode_id ORDER BY segment_index DESC) AS r FROM seg), en AS (SELECT episode_id, string_agg(lower(text), ' ' ORDER BY segment_index) AS t FROM lst WHERE r <= 2 GROUP BY 1), fm AS (SELECT m.episode_id, entity_id, count(l.segment_index) AS m FROM men m LEFT JOIN lst l ON l.episode_id = m.episode_id AND l.segment_index = m.segment_index AND r <= 5 GROUP BY 1, 2), k AS (SELECT episode_id, entity_id, m, CASE WHEN m = 0 THEN 'abandoned' WHEN " + sql_any("t", ["therefore", "conclude"]) + " THEN 'answered' WHEN " + sql_any("t", ["future", "next time"]) + " THEN 'deferred' WHEN " + sql_any("t", ["partially", "some aspects"]) + " THEN 'partial' WHEN " + sql_any("t", ["instead", "actually"]) + " THEN 'transformed' ELSE 'partial' END AS kind FROM fm JOIN en USING (episode_id))"
 
 
-@book.add(f"WITH {ENDING} SELECT episode_id, kind, CASE kind WHEN " + " WHEN ".join(f"{quote(k)} THEN {quote(v)}" for k, v in S.STATES.items()) + " END AS state, round(CASE WHEN m > 2 THEN least(1.0, q + 0.1) ELSE q END, 6)::DOUBLE AS quality FROM (SELECT *, CASE kind WHEN " + " WHEN ".join(f"{quote(k)} THEN {v}" for k, v in L.RESOLUTION_SCORES.items()) + " END AS q FROM k)")
+@book.add(f"WITH {ENDING} SELECT episode_id, entity_id, kind, CASE kind WHEN " + " WHEN ".join(f"{quote(k)} THEN {quote(v)}" for k, v in S.STATES.items()) + " END AS state, round(CASE WHEN m > 2 THEN least(1.0, q + 0.1) ELSE q END, 6)::DOUBLE AS quality FROM (SELECT *, CASE kind WHEN " + " WHEN ".join(f"{quote(k)} THEN {v}" for k, v in L.RESOLUTION_SCORES.items()) + " END AS q FROM k)")
 def concept_resolutions(spark, sf):
-    """The number of final mentions is taken from the id, so that every kind of ending occurs."""
-    s = segments(table(spark, sf, "conversations"))
-    last = s.withColumn("r", F.row_number().over(Window.partitionBy("episode_id").orderBy(F.desc("segment_index")))).where("r <= 2")
-    e = last.groupBy("episode_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("segment_index", "text"))), lambda x: x["text"]), " ").alias("t"))
-    m = F.col("episode_id") % 4
-    kind = S.resolution(F.col("t"), m)
-    return e.select("episode_id", kind.alias("kind"), T.looked_up(kind, S.STATES, "Unknown resolution state").alias("state"), r6(S.resolution_quality(kind, m)).alias("quality"))
+    """Each concept of an episode by its mentions in the last five segments and the words of the last two."""
+    s, m = parts(spark, sf)
+    ranked = s.withColumn("r", F.row_number().over(Window.partitionBy("episode_id").orderBy(F.desc("segment_index")))).where("r <= 5")
+    e = ranked.where("r <= 2").groupBy("episode_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("segment_index", "text"))), lambda x: x["text"]), " ").alias("t"))
+    final = m.join(ranked.select("episode_id", "segment_index", "r"), ["episode_id", "segment_index"], "left").groupBy("episode_id", "entity_id").agg(F.count("r").alias("m"))
+    kind = S.resolution(F.col("t"), F.col("m"))
+    return final.join(e, "episode_id").select("episode_id", "entity_id", kind.alias("kind"), T.looked_up(kind, S.STATES, "Unknown resolution state").alias("state"), r6(S.resolution_quality(kind, F.col("m"))).alias("quality"))
 
 
 @book.add(f"WITH {V}, x AS (SELECT a.vec_id AS src, b.vec_id AS dst, {COS.format('a.e', 'b.e')} AS s, a.label <> b.label AS changed FROM v a JOIN v b ON b.vec_id = a.vec_id + 1), k AS (SELECT *, CASE WHEN s > 0.8 THEN 'continuation' WHEN s > 0.6 THEN 'expansion' WHEN s > 0.4 AND changed THEN 'pivot' WHEN s > 0.4 THEN 'return' ELSE 'jump' END AS kind FROM x) SELECT src, dst, round(s, 6) AS similarity, kind, round((CASE kind WHEN 'continuation' THEN 0.9 WHEN 'expansion' THEN 0.8 WHEN 'return' THEN 0.7 WHEN 'pivot' THEN 0.6 ELSE 0.3 END + s) / 2, 6) AS smoothness, CASE WHEN s > 0.9 THEN 'STRONGLY_RELATED_TO' WHEN s > 0.85 THEN 'RELATED_TO' ELSE 'ASSOCIATED_WITH' END AS relation FROM k")

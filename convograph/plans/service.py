@@ -76,12 +76,12 @@ def baseline_comparison(spark, sf):
     return S.compare(half(0), half(1), "event_type", "v", 1.0).select("event_type", r6(F.col("change")).alias("change"), "verdict")
 
 
-@book.add("WITH f AS (SELECT event_type, min(ts) AS first, max(ts) AS last, count(*) AS uses FROM events GROUP BY 1) SELECT event_type, strftime(first, '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(last, '%Y-%m-%d %H:%M:%S') AS last_seen, uses, round(uses / sum(uses) OVER (), 6) AS share, CAST(row_number() OVER (ORDER BY first, event_type) AS BIGINT) AS nth FROM f")
+@book.add("WITH f AS (SELECT event_type, min(ts) AS first, max(ts) AS last, count(*) AS uses FROM events GROUP BY 1) SELECT event_type, strftime(first, '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(last, '%Y-%m-%d %H:%M:%S') AS last_seen, uses, round(uses / sum(uses) OVER (), 6) AS share, CAST(row_number() OVER (ORDER BY first, event_type) AS BIGINT) AS nth, row_number() OVER (ORDER BY uses DESC, event_type) <= 10 AS common FROM f")
 def schema_evolution(spark, sf):
-    """Kinds in order of their discovery; the windows run over one row a kind."""
+    """Kinds in order of their discovery, and whether they are among the ten most common; the windows run over one row a kind."""
     f = events(spark, sf).groupBy("event_type").agg(F.min("ts").alias("first"), F.max("ts").alias("last"), F.count("*").alias("uses"))
     fmt = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    return f.select("event_type", fmt("first").alias("first_seen"), fmt("last").alias("last_seen"), "uses", r6(F.col("uses") / F.sum("uses").over(Window.partitionBy())).alias("share"), n(F.row_number().over(Window.orderBy("first", "event_type"))).alias("nth"))
+    return f.select("event_type", fmt("first").alias("first_seen"), fmt("last").alias("last_seen"), "uses", r6(F.col("uses") / F.sum("uses").over(Window.partitionBy())).alias("share"), n(F.row_number().over(Window.orderBy("first", "event_type"))).alias("nth"), (F.row_number().over(Window.orderBy(F.desc("uses"), "event_type")) <= 10).alias("common"))
 
 
 @book.add("WITH h AS (SELECT user_id % 10 AS provider, avg((event_type <> 'error')::INT) AS ok, count(*) AS n FROM events GROUP BY 1), s AS (SELECT count(*) FILTER (WHERE ok >= 0.8) / count(*) AS share FROM h) SELECT round(share, 6) AS share, CASE WHEN share >= 0.8 THEN 'healthy' WHEN share >= 0.5 THEN 'degraded' ELSE 'critical' END AS status FROM s")

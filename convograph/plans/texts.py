@@ -101,14 +101,17 @@ def vocabulary_complexity(spark, sf):
     )
 
 
+#: Names that stand for technical entities where no entities are given.
+TECHNICAL_NAMES = ["tion", "ment", "lich", "eaux", "ción"]
 COMPLEXITY = rf"""{VOCABULARY},
 s AS (SELECT *, len({SENT}) AS ns, coalesce(list_avg(list_filter(list_transform({SENT}, lambda s: len(regexp_extract_all(s, '[\p{{L}}\p{{N}}_]+'))), lambda x: x > 0)), 0) AS asl FROM v),
 r AS (SELECT *, CASE WHEN ns > 0 AND total > 0 THEN greatest(0, least(100, 206.835 - 1.015 * (total / ns) - 84.6 * (least(1.0, syl / total / 3.0) * 3))) ELSE 50 END AS readability FROM s),
-c AS (SELECT *, least(100, greatest(0, CASE WHEN total > 0 THEN tech / total ELSE 0 END * 100 * 0.25 + least(asl / 30 * 100, 100) * 0.20 + mattr * 100 * 0.15 + (100 - readability) * 0.20 + CASE WHEN total > 0 THEN least(1.0, syl / total / 3.0) ELSE 0 END * 100 * 0.10)) AS score FROM r)"""
+c AS (SELECT *, least(100, greatest(0, CASE WHEN total > 0 THEN tech / total ELSE 0 END * 100 * 0.25 + least(asl / 30 * 100, 100) * 0.20 + mattr * 100 * 0.15 + (100 - readability) * 0.20 + CASE WHEN total > 0 THEN least(1.0, syl / total / 3.0) ELSE 0 END * 100 * 0.10 + least({sql_how_many('lower(text)', TECHNICAL_NAMES)} * 10, 100) * 0.10)) AS score FROM r)"""
 
 
-def complexity(d: DataFrame) -> DataFrame:
-    """Adds sentence measures, readability (Flesch) and the complexity score of a text."""
+def complexity(d: DataFrame, technical_entities: Column | None = None) -> DataFrame:
+    """Adds sentence measures, readability (Flesch) and the complexity score of a text; ``technical_entities`` is how many it mentions."""
+    technical = T.how_many(F.lower("text"), TECHNICAL_NAMES) if technical_entities is None else technical_entities
     v = vocabulary(d)
     t = F.col("total")
     d_ = lambda c: T.ratio(F.col(c).cast("double"), t)
@@ -117,7 +120,7 @@ def complexity(d: DataFrame) -> DataFrame:
     s = s.withColumn("asl", F.when(F.size("per") > 0, F.aggregate("per", F.lit(0), lambda a, x: a + x) / F.size("per")).otherwise(F.lit(0.0)))
     syl = F.least(F.lit(1.0), d_("syl") / 3)
     s = s.withColumn("readability", F.when((F.col("ns") > 0) & (t > 0), T.flesch(t / F.col("ns"), syl * 3)).otherwise(F.lit(50.0)))
-    score = d_("tech") * 25 + F.least(F.col("asl") / 30 * 100, F.lit(100.0)) * 0.2 + F.col("mattr") * 15 + (100 - F.col("readability")) * 0.2 + syl * 10
+    score = d_("tech") * 25 + F.least(F.col("asl") / 30 * 100, F.lit(100.0)) * 0.2 + F.col("mattr") * 15 + (100 - F.col("readability")) * 0.2 + syl * 10 + F.least(technical * 10, F.lit(100)) * 0.1
     s = s.withColumn("score", F.least(F.lit(100.0), F.greatest(F.lit(0.0), score)))
     return s.withColumn("level", F.when(F.col("score") < 30, "simple").when(F.col("score") < 50, "moderate").when(F.col("score") < 70, "complex").otherwise("very_complex"))
 
@@ -130,12 +133,22 @@ def segment_complexity(spark, sf):
     return complexity(docs(spark, sf)).select("doc_id", n(F.col("ns")).alias("sentences"), r6(F.col("asl")).alias("avg_sentence_length"), r6(F.col("readability")).alias("readability"), r6(F.col("score")).alias("score"), "level")
 
 
-@book.add(f"""WITH {COMPLEXITY}, p AS (SELECT *, CASE WHEN asl > 20 THEN greatest(0.3, 1 - (asl - 20) / 30) ELSE 1.0 END AS pen FROM c)
-SELECT doc_id, round(least(1.0, greatest(0.0, readability / 100 * 0.3 + 0.5 * 0.25 + 0.5 * 0.15 + (1 - CASE WHEN total > 0 THEN tech / total ELSE 0 END) * 0.2 + pen * 0.1)), 6) AS accessibility, round(1 - pen, 6) AS sentence_complexity FROM p""")
+#: Words by which sentences of a text count as insights, explanations, quotes and quotes in context, where none are given.
+INSIGHT_MARKS, EXPLANATION_MARKS, QUOTE_MARKS, CONTEXT_MARKS = [" the", " de", " und"], ["tion", "ung", "ment"], [" and ", " que ", " et "], ["er ", "es "]
+
+
+@book.add(f"""WITH {COMPLEXITY}, p AS (SELECT *, CASE WHEN asl > 20 THEN greatest(0.3, 1 - (asl - 20) / 30) ELSE 1.0 END AS pen, {sql_how_many('lower(text)', INSIGHT_MARKS)} AS ni, {sql_how_many('lower(text)', EXPLANATION_MARKS)} AS ne, {sql_how_many('lower(text)', QUOTE_MARKS)} AS nq, {sql_how_many('lower(text)', CONTEXT_MARKS)} AS nc FROM c),
+q AS (SELECT *, CASE WHEN ni > 0 THEN least(1.0, 0.5 + least(ne, ni) / ni * 0.5) ELSE 0.5 END AS explained, CASE WHEN nq > 0 THEN least(1.0, 0.5 + least(nc, nq) / nq * 0.5) ELSE 0.5 END AS context FROM p)
+SELECT doc_id, round(least(1.0, greatest(0.0, readability / 100 * 0.3 + explained * 0.25 + context * 0.15 + (1 - CASE WHEN total > 0 THEN tech / total ELSE 0 END) * 0.2 + pen * 0.1)), 6) AS accessibility, round(explained, 6)::DOUBLE AS explanation_quality, round(context, 6)::DOUBLE AS context_availability, round(1 - pen, 6) AS sentence_complexity FROM q""")
 def accessibility_score(spark, sf):
+    """Insights and quotes are counted by words that the texts have, as these tables hold none."""
+    low = F.lower("text")
+    ni, nq = T.how_many(low, INSIGHT_MARKS), T.how_many(low, QUOTE_MARKS)
+    explained, context = T.backed(F.least(T.how_many(low, EXPLANATION_MARKS), ni), ni), T.backed(F.least(T.how_many(low, CONTEXT_MARKS), nq), nq)
     pen = F.when(F.col("asl") > 20, F.greatest(F.lit(0.3), 1 - (F.col("asl") - 20) / 30)).otherwise(F.lit(1.0))
-    score = F.col("readability") / 100 * 0.3 + 0.5 * 0.25 + 0.5 * 0.15 + (1 - T.ratio(F.col("tech").cast("double"), F.col("total"))) * 0.2 + pen * 0.1
-    return complexity(docs(spark, sf)).select("doc_id", r6(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))).alias("accessibility"), r6(1 - pen).alias("sentence_complexity"))
+    c = complexity(docs(spark, sf)).withColumns({"explained": explained, "context": context})
+    score = F.col("readability") / 100 * 0.3 + F.col("explained") * 0.25 + F.col("context") * 0.15 + (1 - T.ratio(F.col("tech").cast("double"), F.col("total"))) * 0.2 + pen * 0.1
+    return c.select("doc_id", r6(F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))).alias("accessibility"), r6(F.col("explained")).alias("explanation_quality"), r6(F.col("context")).alias("context_availability"), r6(1 - pen).alias("sentence_complexity"))
 
 
 SPOKEN = r"""CASE WHEN length(regexp_replace(x, '^[.,!?;:"]+|[.,!?;:"]+$', '', 'g')) <= 3 THEN 1 ELSE greatest(1, len(regexp_extract_all(x, '[aeiouAEIOU]+')) - CASE WHEN ends_with(regexp_replace(x, '[.,!?;:"]+$', ''), 'e') AND len(regexp_extract_all(x, '[aeiouAEIOU]+')) > 1 THEN 1 ELSE 0 END) END"""
