@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convograph.functions import lexicons as L
 from convograph.functions import text as T
 from convograph.plans.base import Book, listed, n, quote, r6, sql_any, sql_how_many, sql_matches, sql_plain, sql_total, sql_words, table
+from convograph.sources.adapters import spread
 
 book = Book()
 W = sql_words()
@@ -17,7 +18,7 @@ SYL = "greatest(1, len(regexp_extract_all(w, '[aeiouy]+')) - CASE WHEN ends_with
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 @book.add(rf"""
@@ -245,18 +246,23 @@ g AS (SELECT doc_id, sn, i, 2 AS k, w[i] || ' ' || w[i + 1] AS phrase FROM p WHE
 c AS (SELECT doc_id, phrase, count(*) AS n, min(sn * 10000000 + i * 10 + k) AS first FROM g GROUP BY doc_id, phrase)
 SELECT doc_id, phrase, CAST(n AS BIGINT) AS uses, CAST(rank AS BIGINT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS rank FROM c) WHERE rank <= 10""")
 def key_phrases(spark, sf):
-    """The ten most frequent phrases of two and three words of each text, the earlier of equals first."""
+    """The ten most frequent phrases of two and three words of each text, the earlier of equals first.
+
+    Texts are dealt by their id before they fall into phrases, many times their size, so counts and ranks need no other shuffle."""
     from pyspark.sql import Window
 
-    w, i = F.col("w"), F.col("i")
-    s = docs(spark, sf).select("doc_id", F.posexplode(F.split("text", r"\.", -1)).alias("sn", "s"))
-    s = s.select("doc_id", "sn", T.words(F.regexp_replace(F.lower("s"), r"[^\p{L}\p{N}_\s-]", " ")).alias("w")).where("size(w) > 1")
-    p = s.select("doc_id", "sn", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("i"))
-    at = lambda k: F.get(w, i - 1 + k)
-    two = F.when(~at(0).isin(L.STOP_WORDS) & ~at(1).isin(L.STOP_WORDS), F.concat_ws(" ", at(0), at(1)))
-    three = F.when((i + 2 <= F.size(w)) & ~at(0).isin(L.STOP_WORDS) & ~at(2).isin(L.STOP_WORDS), F.concat_ws(" ", at(0), at(1), at(2)))
-    g = p.select("doc_id", (F.col("sn").cast("long") * 10000000 + i * 10 + 2).alias("at"), F.explode(F.array(F.struct(two.alias("phrase"), F.lit(0).alias("k")), F.struct(three.alias("phrase"), F.lit(1).alias("k")))).alias("x"))
-    c = g.where("x.phrase is not null").groupBy("doc_id", "x.phrase").agg(F.count("*").alias("uses"), F.min(F.col("at") + F.col("x.k")).alias("first"))
+    w, stop = F.col("w"), F.array(*[F.lit(x) for x in L.STOP_WORDS])
+    s = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id").select("doc_id", F.posexplode(F.split("text", r"\.", -1)).alias("sn", "s"))
+    s = s.select("doc_id", "sn", T.words(F.regexp_replace(F.lower("s"), r"[^\p{L}\p{N}_\s-]", " ")).alias("w")).where("size(w) > 1").withColumn("stop", F.transform("w", lambda x: F.array_contains(stop, x)))
+
+    def phrase(i, size: int):
+        ends = ~F.get("stop", i - 1) & ~F.get("stop", i + size - 2)
+        said = F.concat_ws(" ", *[F.get(w, i - 1 + k) for k in range(size)])
+        return F.when((i + size - 1 <= F.size(w)) & ends, F.struct(said.alias("phrase"), (F.col("sn").cast("long") * 10000000 + i * 10 + size).alias("at")))
+
+    each = F.flatten(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.array(phrase(i, 2), phrase(i, 3))))
+    g = s.select("doc_id", F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x"))
+    c = g.groupBy("doc_id", "x.phrase").agg(F.count("*").alias("uses"), F.min("x.at").alias("first"))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("uses"), "first"))
     return c.withColumn("rank", rank).where("rank <= 10").select("doc_id", "phrase", "uses", n(F.col("rank")).alias("rank"))
 

@@ -14,6 +14,12 @@ WORDS_PER_MINUTE = 150
 CONCEPTS = ["that", "with", "from", "this", "tion", "than", "ment", "lich", "eaux", "ción"]
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where they come from fewer files than there are cores, which would leave the others idle; with many files nothing moves."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def segments(turns: DataFrame) -> DataFrame:
     """(episode_id, segment_index, speaker, text, word_count, start_time, end_time) of conversation turns; times follow from the words spoken before."""
     s = turns.select(F.col("conv_id").alias("episode_id"), F.col("turn").alias("segment_index"), F.col("role").alias("speaker"), "text", F.size(T.words(F.col("text"))).cast("long").alias("word_count"))
