@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from convograph.llm import bm25, bpe, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, wumanber
 from convograph.llm.common import ready, table
+from convograph.sources.adapters import spread
 
 
 def tokenizer(name: str = "byte_bpe_50k.json") -> str:
@@ -17,7 +18,7 @@ def tokenizer(name: str = "byte_bpe_50k.json") -> str:
 
 def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
-    return secretscan.digests(secretscan.scan_whole(spark, table(spark, sf, "documents")))
+    return secretscan.digests(secretscan.scan_whole(spark, spread(table(spark, sf, "documents"))))
 
 
 def op2_simhash_classes(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,7 +38,7 @@ def op4_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
-    return bpe.digests(bpe.round_trip(table(spark, sf, "documents"), tokenizer()))
+    return bpe.digests(bpe.round_trip(spread(table(spark, sf, "documents")), tokenizer()))
 
 
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,12 +53,12 @@ def op7_katz_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
-    return wumanber.digests(wumanber.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+    return wumanber.digests(wumanber.decontaminate(spread(table(spark, sf, "documents")), table(spark, sf, "benchmark")))
 
 
 def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     ready(spark)
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"))
     model = langid.train(docs.where(~langid.held_out()))
     found = langid.identify(docs, model)
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.size("mixture").alias("n_langs"))
