@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from convograph.functions import text as T
+from convograph.operators.blocks import against
 from convograph.operators.mentions import occurrences
 
 
@@ -45,7 +46,7 @@ def relationship_confidence(text: Column, a: Column, b: Column) -> Column:
 
 def bridge_insights(found: DataFrame, communities: DataFrame, top: int = 20) -> DataFrame:
     """Texts that mention entities of two communities or more; score = communities over entities."""
-    g = found.join(F.broadcast(communities), "entity_id").groupBy("episode_id", "segment_index").agg(F.countDistinct("community").alias("communities"), F.count("*").alias("mentioned")).where("communities > 1")
+    g = found.join(communities, "entity_id").groupBy("episode_id", "segment_index").agg(F.countDistinct("community").alias("communities"), F.count("*").alias("mentioned")).where("communities > 1")
     return g.withColumn("score", F.col("communities") / F.col("mentioned")).orderBy(F.desc("score"), F.desc("mentioned"), "episode_id", "segment_index").limit(top)
 
 
@@ -67,9 +68,9 @@ def speakers(segments: DataFrame) -> DataFrame:
 
 
 def theme_strength(segments: DataFrame, themes: DataFrame) -> DataFrame:
-    """Strength of each theme (theme, concepts) in each segment; themes are few, and broadcast."""
+    """Strength of each theme (theme, concepts) in each segment; themes are broadcast in blocks of known size."""
     low = F.lower("text")
-    j = segments.join(F.broadcast(themes))
+    j = against(segments, themes)
     hits = F.size(F.filter("concepts", lambda c: F.contains(low, F.lower(c))))
     return j.select("episode_id", "segment_index", "theme", F.least(F.lit(1.0), hits / (F.size("concepts") * F.greatest(F.col("word_count") / 100, F.lit(1.0)))).alias("strength"), hits.alias("hits"))
 

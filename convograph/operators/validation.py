@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from convograph.functions import text as T
+from convograph.operators.blocks import against
 
 
 def theme_checks(strength: DataFrame, contrary: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -16,7 +17,7 @@ def theme_checks(strength: DataFrame, contrary: DataFrame, sizes: DataFrame) ->
     w = W.partitionBy("episode_id", "theme").orderBy("segment_index")
     s = strength.withColumn("step", F.abs(F.col("strength") - F.lag("strength").over(w)))
     g = s.groupBy("episode_id", "theme").agg(F.avg((F.col("hits") > 0).cast("double")).alias("presence"), F.coalesce(F.avg("step"), F.lit(0.0)).alias("step"), F.avg((F.col("strength") > 0.1).cast("double")).alias("strong"))
-    j = g.join(contrary, ["episode_id", "theme"], "left").join(F.broadcast(sizes), "theme")
+    j = g.join(contrary, ["episode_id", "theme"], "left").join(sizes, "theme")
     coherence = (F.col("presence") + F.greatest(F.lit(0.0), 1 - F.col("step") / 0.5)) / 2
     agreement = F.greatest(F.lit(0.0), 1 - F.coalesce("contradictions", F.lit(0)) / 5)
     significance = (F.least(F.lit(1.0), F.col("size") / 10) + F.col("confidence") + F.col("strong")) / 3
@@ -27,7 +28,7 @@ def theme_checks(strength: DataFrame, contrary: DataFrame, sizes: DataFrame) ->
 def contradictions(segments: DataFrame, themes: DataFrame, keywords: list[str]) -> DataFrame:
     """(episode_id, theme, contradictions): contrary keywords in segments that have a term of the theme."""
     low = F.lower("text")
-    j = segments.join(F.broadcast(themes)).where(F.exists("concepts", lambda c: F.contains(low, F.lower(c))))
+    j = against(segments, themes).where(F.exists("concepts", lambda c: F.contains(low, F.lower(c))))
     return j.groupBy("episode_id", "theme").agg(F.sum(T.how_many(low, keywords)).alias("contradictions"))
 
 
