@@ -67,10 +67,10 @@ def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", doc
     and paths are: with capitals, underscores, hyphens, slashes, acronyms and numbers; and from runs of each single character.
     Random ones are the secrets' values in those documents and ``strings`` generated strings of each of four alphabets.
     Without documents only generated samples are left; words are taken as often as they occur."""
-    spark = docs.sparkSession
+    spark = ready(docs.sparkSession)
     two = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     chosen = two.select("_id").orderBy(F.xxhash64("_id", F.lit("markov")), "_id").limit(documents).distinct()
-    some = two.join(F.broadcast(chosen), "_id", "left_semi")
+    some = two.join(F.broadcast(chosen), "_id", "left_semi").checkpoint()  # few whole texts, which training and scoring read again
     words = F.filter(F.split("_text", r"[^A-Za-z]+", -1), lambda w: F.length(w) >= 3)
     after = lambda n: F.slice(words, n + 1, 1 << 30)
 
