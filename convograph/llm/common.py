@@ -11,10 +11,18 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructT
 from convograph import workers
 
 
+#: Rows of an Arrow batch: whole documents come in them, so Spark's default of 10000 would be many times a worker's other memory.
+BATCH_ROWS = 1000
+SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package when it is not installed on them, and see to a checkpoint folder."""
+    """Let Python workers import this package when it is not installed on them, see to a checkpoint folder, and make Arrow batches small where
+    the session has Spark's default size."""
     workers.ready(spark)
     workers.checkpoints(spark)
+    if spark.conf.get(SETTING) == "10000":
+        spark.conf.set(SETTING, str(BATCH_ROWS))
     return spark
 
 

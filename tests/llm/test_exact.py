@@ -132,7 +132,7 @@ def test_simhash(spark):
         if i % 3 == 1:
             t[random.randrange(len(t))] = "changed"
         rows.append((i, " ".join(t)))
-    rows += [(900, None), (901, ""), (902, " \t"), (903, "a b"), (904, "A  B"), (905, "a b"), (5, "a b")]
+    rows += [(900, None), (901, ""), (902, " \t"), (903, "a b"), (904, "A  B"), (905, "a b"), (5, "a b"), (906, "very long " * 30_000 + "text")]
 
     def fp(t):
         w = lower(t).encode().split()
@@ -272,6 +272,9 @@ def test_bm25_keeps_copies_at_the_floor(spark, hops):
         score = sum(math.log(1 + (len(rows) - df[w] + 0.5) / (df[w] + 0.5)) * norm for w in terms[q])
         assert [(a, b) for a, b, _ in sorted(got[q])] == [(k + 1, q + 12 * k) for k in range(10)]
         assert all(abs(s - score) < 2e-9 for _, _, s in got[q])
+    # more results than a block holds
+    more = bm25.search(docs, docs.where("doc_id < 2"), k=40).collect()
+    assert sorted((r.query_id, r["rank"], r.doc_id) for r in more) == [(q, k + 1, q + 12 * k) for q in range(2) for k in range(40)]
 
 
 def test_bm25_counts_beyond_16_bits(spark):

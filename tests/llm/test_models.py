@@ -1,5 +1,6 @@
 """Round trips, held-out accuracy and the pipeline."""
 
+import math
 import random
 
 import public_tokenizers
@@ -60,6 +61,42 @@ def test_language_id(spark):
     assert {(r.lang_pred, r.score) for r in none} == {("und", 0.0)}
 
 
+def test_inference_by_plain_expectation_maximisation(spark):
+    """Every decision of a prediction once more, in loops over n-grams."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = langid.train(docs)
+    p = model.probs
+
+    def em(ids, counts, langs):
+        w = [1 / len(langs)] * len(langs)
+        for _ in range(12 if len(langs) > 1 else 0):
+            new = [0.0] * len(langs)
+            for i, c in zip(ids, counts, strict=True):
+                total = sum(w[k] * p[i][j] for k, j in enumerate(langs))
+                for k, j in enumerate(langs):
+                    new[k] += c * w[k] * p[i][j] / total
+            new = [x / sum(counts) for x in new]
+            done = max(abs(a - b) for a, b in zip(new, w, strict=True)) < 1e-4
+            w = new
+            if done:
+                break
+        return w, sum(c * math.log(sum(w[k] * p[i][j] for k, j in enumerate(langs))) for i, c in zip(ids, counts, strict=True))
+
+    texts = {r.lang: r.text[:400] for r in docs.where("n_chars > 400 and lang is not null").select("lang", "text").collect()}
+    for text in [*texts.values(), " ".join(texts.values()), "a", "Ünd so"]:
+        ids, counts = (x.tolist() for x in langid.grams(text))
+        w, _ = em(ids, counts, range(len(model.langs)))
+        order = sorted(range(len(w)), key=lambda k: -w[k])
+        chosen, share, best = [order[0]], [1.0], em(ids, counts, order[:1])[1]
+        for k in order[1:]:
+            v, fit = em(ids, counts, [*chosen, k])
+            if w[k] < 0.01 or fit - best <= model.penalty * math.log(sum(counts) + 1):
+                break
+            chosen, share, best = [*chosen, k], v, fit
+        lang, score, parts = model.infer(text)
+        assert parts.keys() == {model.langs[k] for k in chosen} and lang == model.langs[chosen[share.index(max(share))]] and abs(score - max(share)) < 1e-6
+
+
 def test_mixture_of_two_languages(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(docs)
