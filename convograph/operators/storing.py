@@ -181,3 +181,16 @@ def dual(rows: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """Nodes in both layouts, as a store in migration writes them: typed, and generic with the type as a property."""
     typed = rows.where(F.col("type") == kind)
     return typed, typed.select("id", F.lit("Node").alias("type"), "name", F.map_concat(F.create_map(F.lit("_type"), F.col("type")), "props").alias("props"))
+
+
+def said(quoted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Quotes (episode_id, text, speaker) as nodes of an extraction, their value cut at 100 characters, and SAID edges from who speaks; a quote of no one has no edge."""
+    made = quotes(quoted)[0].withColumn("props", F.map_concat("props", F.create_map(F.lit("value"), F.col("name"))))
+    who = edges(quoted.where(F.col("speaker").isNotNull()).dropDuplicates(["episode_id", "text"]), F.col("speaker"), F.concat_ws("_quote_", F.col("episode_id").cast("string"), F.substring(F.sha2("text", 256), 1, 16)), "SAID")
+    return made, who
+
+
+def mapping_text(names: dict[str, str], defaults: dict[str, str]) -> str:
+    """The property mappings of a store as a Markdown table."""
+    rows = [f"| {old} | {new} | {defaults.get(new, '')} |" for old, new in sorted(names.items())]
+    return "\n".join(["| property | stored as | default |", "|---|---|---|", *rows])

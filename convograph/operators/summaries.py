@@ -149,3 +149,13 @@ def in_priority(items: DataFrame, priority: str, position: str, size: int) -> Da
 def discovered(nodes: DataFrame) -> DataFrame:
     """(type, properties, nodes): what properties each type turned out to have."""
     return nodes.groupBy("type").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.array_sort(F.map_keys("props")))))).alias("properties"), F.count("*").alias("nodes"))
+
+
+def flow_picture(timeline: DataFrame, transitions: DataFrame, most: int = 10) -> tuple[DataFrame, DataFrame]:
+    """What a drawing of an episode's flow shows: streams, (episode_id, entity_id, points) in order, and the pivots and expansions among the first transitions.
+
+    Transitions are ranked before they are kept; a stream is as long as its concept's mentions."""
+    points = F.array_sort(F.collect_list(F.struct("segment_index", "density", "mention_type")))
+    streams = timeline.groupBy("episode_id", "entity_id").agg(points.alias("points"))
+    first = transitions.withColumn("_rn", F.row_number().over(W.partitionBy("episode_id").orderBy("segment_index"))).where(F.col("_rn") <= most)
+    return streams, first.where(F.col("kind").isin("pivot", "expansion")).select("episode_id", "segment_index", "kind")

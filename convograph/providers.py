@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import re
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
@@ -63,8 +65,13 @@ def complete(df: DataFrame, prompt: str, llm: Callable[[str], str], out: str = "
     return df.withColumn(out, ask(F.col(prompt)))
 
 
-def embed(df: DataFrame, text: str, model: Callable[[list[str]], list[list[float]]], out: str = "embedding", batch: int = 50) -> DataFrame:
-    """Adds vectors of a model that takes lists of texts."""
+POOLING = ("mean", "max", "cls")
+
+
+def embed(df: DataFrame, text: str, model: Callable[[list[str]], list[list[float]]], out: str = "embedding", batch: int = 50, pooling: str = "mean") -> DataFrame:
+    """Adds vectors of a model that takes lists of texts; ``pooling`` must be a name the model knows, and is its own affair."""
+    if pooling not in POOLING:
+        raise ValueError(f"unknown pooling {pooling}; one of {', '.join(POOLING)}")
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def run(t: pd.Series) -> pd.Series:
@@ -92,3 +99,45 @@ def strategy(mode: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     if mode not in STRATEGIES:
         raise ValueError(f"unknown mode {mode}; one of {', '.join(STRATEGIES)}")
     return STRATEGIES[mode]
+
+
+class Prompts:
+    """Templates of prompts by name and version, filled with columns: ``{name}`` stands for a column, null for nothing."""
+
+    def __init__(self):
+        self._texts: dict[str, dict[str, str]] = {}
+
+    def register(self, name: str, text: str, version: str = "1.0") -> None:
+        self._texts.setdefault(name, {})[version] = text
+
+    def versions(self, name: str) -> list[str]:
+        return sorted(self._texts.get(name, {}))
+
+    def build(self, name: str, version: str | None = None, /, **columns: Column) -> Column:
+        """The latest version unless one is named.  What a column holds is never read as a placeholder."""
+        texts = self._texts.get(name)
+        if not texts or (version and version not in texts):
+            raise ValueError(f"no prompt {name} {version or ''}".rstrip())
+        parts = re.split(r"\{(\w+)\}", texts[version or max(texts)])
+        if missing := sorted({p for p in parts[1::2]} - set(columns)):
+            raise ValueError(f"prompt {name} needs {', '.join(missing)}")
+        return F.concat(*[F.coalesce(columns[p].cast("string"), F.lit("")) if i % 2 else F.lit(p) for i, p in enumerate(parts)])
+
+
+def settings(path: str, defaults: dict | None = None) -> dict:
+    """Settings of a JSON file over the defaults; what the file does not name keeps its default, names that the defaults lack are an error."""
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no settings at {path}")
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    if not isinstance(found, dict):
+        raise ValueError("settings are a JSON object")
+    if defaults is not None and (unknown := sorted(set(found) - set(defaults))):
+        raise ValueError(f"unknown settings: {', '.join(unknown)}")
+    return {**(defaults or {}), **found}
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The same rows, and an observation that holds their number once an action has run: the impact of a step without another pass."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen

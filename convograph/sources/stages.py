@@ -42,3 +42,15 @@ def upgraded(stage: DataFrame) -> DataFrame:
         if name not in stage.columns:
             stage = stage.withColumn(name, default)
     return stage
+
+
+def export(spark: SparkSession, folder: str, names: list[str], items: DataFrame, key: str, to: str) -> None:
+    """Writes the rows of some stages that belong to the items, by stage, to another folder, from which ``load`` reads them."""
+    wanted = items.select(key).distinct()
+    for name in names:
+        load(spark, folder, name).join(wanted, key, "left_semi").write.mode("errorifexists").parquet(f"{to}/{name}")
+
+
+def types_over_time(stage: DataFrame, kind: str) -> DataFrame:
+    """(type, first, last, rows): when each type first and last came up in a stage."""
+    return stage.groupBy(F.col(kind).alias("type")).agg(F.min("_saved").alias("first"), F.max("_saved").alias("last"), F.count("*").alias("rows"))

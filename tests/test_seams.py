@@ -53,3 +53,45 @@ def test_patterns(spark):
     m = {f"k{i:02d}": "v" for i in range(60)} | {"name": "n"}
     kept = spark.createDataFrame([(m,)], "p map<string,string>").select(limited_properties(F.col("p")).alias("p")).first().p
     assert len(kept) == 50 and "name" in kept and "k48" in kept and "k49" not in kept
+
+
+def test_prompts_settings_and_observations(spark, tmp_path):
+    p = P.Prompts()
+    p.register("a", "x {b} y", "1.0")
+    p.register("a", "z {b}", "1.2")
+    rows = spark.createDataFrame([("{c}",), (None,)], "b string").select(p.build("a", b=F.col("b")).alias("t"), p.build("a", "1.0", b=F.col("b")).alias("u")).collect()
+    assert [tuple(r) for r in rows] == [("z {c}", "x {c} y"), ("z ", "x  y")] and p.versions("a") == ["1.0", "1.2"]
+    with pytest.raises(ValueError, match="needs b"):
+        p.build("a")
+    with pytest.raises(ValueError, match="no prompt"):
+        p.build("a", "2.0", b=F.lit(1))
+    with pytest.raises(ValueError, match="pooling"):
+        P.embed(spark.range(1), "id", list, pooling="sum")
+    f = tmp_path / "s.json"
+    f.write_text('{"a": 2}')
+    assert P.settings(str(f), {"a": 1, "b": 3}) == {"a": 2, "b": 3}
+    with pytest.raises(ValueError, match="unknown settings: a"):
+        P.settings(str(f), {"b": 3})
+    with pytest.raises(FileNotFoundError):
+        P.settings(str(tmp_path / "none"))
+    d, seen = P.observed(spark.range(7), "step")
+    assert len(d.collect()) == 7 and seen.get["rows"] == 7
+
+
+def test_export_of_stages(spark, tmp_path):
+    for name in ("one", "two"):
+        stages.save(spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "item int, kind string"), f"{tmp_path}/from", name)
+    stages.export(spark, f"{tmp_path}/from", ["one", "two"], spark.createDataFrame([(2,), (2,)], "item int"), "item", f"{tmp_path}/to")
+    two = stages.load(spark, f"{tmp_path}/to", "two")
+    assert two.count() == 2 and stages.damaged(two).count() == 0
+    assert {(r.type, r.rows) for r in stages.types_over_time(stages.load(spark, f"{tmp_path}/from", "one"), "kind").collect()} == {("a", 1), ("b", 2)}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from convograph.__main__ import main
+
+    assert main(["list"]) == 0 and "entity_mentions" in capsys.readouterr().out.split()
+    assert main(["run", "none", "x", "y"]) == 1
+    assert main(["run", "label_counts", "/root/testdata/sf0.001", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() > 0
+    assert main(["check", str(tmp_path / "none.json")]) == 1
