@@ -191,17 +191,20 @@ class Blocks:
         blocked = docs.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(self.n)).cast("int"))
         self.docs = blocked.mapInArrow(_deal, "_block int, _rows binary")
 
-    def send(self, emit: Callable, replies: DataFrame | None = None) -> DataFrame:
-        """Messages of all blocks to buckets.  ``emit(rows, replies)`` yields (bucket, payload); replies: payloads by level."""
+    def send(self, emit: Callable, replies: DataFrame | None = None, level: int | None = None) -> DataFrame:
+        """Messages of all blocks to buckets.  ``emit(rows, replies)`` yields (bucket, payload); replies: payloads by level.
+
+        With a ``level`` they are messages of blocks to blocks, as replies of that level."""
         width = self.width
 
         def messages(block: int, found) -> pa.Table:
             out: dict[tuple[int, int], list] = {}
+            tag = block if level is None else level
             for bucket, payload in found:
                 if width:
-                    out.setdefault((bucket // width, block // width), []).append((bucket << 32 | block, payload))
+                    out.setdefault((bucket // width, block // width), []).append((bucket << 32 | tag, payload))
                 else:
-                    out.setdefault((bucket, 0), []).append((block, payload))
+                    out.setdefault((bucket, 0), []).append((tag, payload))
             return _rows(out)
 
         if replies is None:
@@ -258,16 +261,6 @@ class Blocks:
 
         return sent.groupBy("to", "via").applyInArrow(relay, MESSAGE)
 
-    def forward(self, messages: DataFrame, level: int) -> DataFrame:
-        """Messages that blocks sent to blocks, as replies of a level."""
-
-        def run(batches):
-            for batch in batches:
-                data = [bundle(*zip(*[(level, p) for _, p in unbundle(x)], strict=True)) for x in batch.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())], names=batch.schema.names)
-
-        return messages.mapInArrow(run, MESSAGE)
-
     def _with(self, replies: DataFrame):
         return self.docs.groupBy("_block").cogroup(replies.groupBy("to"))
 

@@ -242,7 +242,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = blocks.answer(blocks.send(_equal(blocks.keys)), each(1, _earliest))
     second = blocks.answer(blocks.send(_halves(blocks.keys, least), first), each(2, _shared))
     asked = blocks.answer(blocks.send(_variants(blocks.keys, least), first.unionByName(second)), _pairs)
-    texts = blocks.forward(blocks.send(_answer(least), asked), 4)
+    texts = blocks.send(_answer(least), asked, level=4)
     names = ["_id", "_kept", "n_lines", "removed", *(["_row"] if keep else [])]
 
     def build(rows: pa.Table, got) -> pa.Table:
