@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bm25, bpe, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, wumanber
+from convograph.llm import bm25, bpe, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, variants, wumanber
 from convograph.llm.common import ready, table
 from convograph.sources.adapters import spread
 
@@ -70,6 +70,11 @@ def op10_bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
     return bm25.search(docs, docs.where("doc_id % 50 = 0"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    return variants.digests(variants.group(spread(table(spark, sf, "documents")), damage=199))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_classes": op2_simhash_classes,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language_id": op9_language_id,
     "op10_bm25_topk": op10_bm25_topk,
+    "op11_spelling_variants": op11_spelling_variants,
 }
 
 SQL: dict[str, str] = {
@@ -117,5 +123,20 @@ it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
 SELECT dw.doc_id, CAST(len(dw.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(dw.w) AS contaminated
 FROM dw LEFT JOIN hw USING (doc_id) LEFT JOIN it USING (doc_id)
+""",
+    "op11_spelling_variants": r"""
+WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{6,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+once AS (SELECT run, count(*) AS k, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS bytes FROM runs GROUP BY doc_id, run),
+-- CRC-32 bit by bit: the bytes are taken in one after the other, each divided by the reflected polynomial
+crc AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(CAST(len(bytes) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(bytes, 2 * i + 1, 2) AS BIGINT))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS h FROM once),
+cnt AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM crc) GROUP BY word HAVING length(word) >= 6 AND sum(k) >= 5),
+del AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS v FROM (SELECT word, n, unnest(range(length(word))) AS i FROM cnt)),
+near AS (SELECT a.word, b.word AS near, b.n AS near_n FROM del a JOIN del b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM del a JOIN cnt b ON a.v = b.word UNION SELECT b.word, a.word, a.n FROM del a JOIN cnt b ON a.v = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+f AS (SELECT c.word, c.n, CASE WHEN near_n >= 5 * c.n THEN near END AS form, CASE WHEN near_n >= 5 * c.n THEN near_n END AS form_n, coalesce(n_near, 0) AS n_near FROM cnt c LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS last, 0 AS step FROM f UNION ALL SELECT w.word, f.form, step + 1 FROM walk w JOIN f ON w.last = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, arg_max(last, step) AS root, f.n, f.n_near, f.form_n FROM f JOIN walk w ON w.word = f.word GROUP BY ALL
 """,
 }
