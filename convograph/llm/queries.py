@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bm25, bpe, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, variants, wumanber
+from convograph.llm import bm25, bpe, conversations, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, variants, wumanber
 from convograph.llm.common import ready, table
 from convograph.sources.adapters import spread
 
@@ -75,6 +75,12 @@ def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return variants.digests(variants.group(spread(table(spark, sf, "documents")), damage=199))
 
 
+def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    turns = table(spark, sf, "conversations")
+    return conversations.digests(turns, *conversations.repair(conversations.damage(turns)))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_classes": op2_simhash_classes,
@@ -87,6 +93,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_bm25_topk": op10_bm25_topk,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 SQL: dict[str, str] = {
@@ -138,5 +145,36 @@ best AS (SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near
 f AS (SELECT c.word, c.n, CASE WHEN near_n >= 5 * c.n THEN near END AS form, CASE WHEN near_n >= 5 * c.n THEN near_n END AS form_n, coalesce(n_near, 0) AS n_near FROM cnt c LEFT JOIN best USING (word)),
 walk AS (SELECT word, word AS last, 0 AS step FROM f UNION ALL SELECT w.word, f.form, step + 1 FROM walk w JOIN f ON w.last = f.word WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, arg_max(last, step) AS root, f.n, f.n_near, f.form_n FROM f JOIN walk w ON w.word = f.word GROUP BY ALL
+""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE keys AS (SELECT DISTINCT conv_id, turn, hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS bytes FROM conversations),
+-- CRC-32 bit by bit
+crc AS (SELECT conv_id, turn, xor(list_reduce(list_prepend(4294967295, list_transform(range(CAST(len(bytes) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(bytes, 2 * i + 1, 2) AS BIGINT))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS kind FROM keys),
+hurt AS (SELECT t.conv_id, t.turn, CASE kind WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM conversations t JOIN crc ON t.conv_id IS NOT DISTINCT FROM crc.conv_id AND t.turn IS NOT DISTINCT FROM crc.turn WHERE kind <> 0),
+rowed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM hurt),
+t AS (SELECT conv_id, i, turn, role, text, left(role, 1) AS r, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair FROM rowed),
+-- moves from the last role kept ('' before any) to the next: inserts between them
+moves(was, is_, edits, between) AS (VALUES ('', 's', '', []::VARCHAR[]), ('', 'u', '', []), ('s', 'u', '', []), ('u', 'a', '', []), ('a', 'u', '', []),
+  ('', 'a', 'I', ['user:']), ('s', 'a', 'I', ['user:']), ('u', 'u', 'I', ['assistant:']), ('a', 'a', 'I', ['user:'])),
+ends(was, edits, between) AS (VALUES ('', '', []::VARCHAR[]), ('a', '', []), ('u', 'I', ['assistant:']), ('s', 'II', ['user:', 'assistant:'])),
+best(conv_id, i, was, b) AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '', {'cost': CAST(0 AS BIGINT), 'audit': '', 'kept': []::VARCHAR[]} FROM t
+  UNION ALL SELECT conv_id, i, was, min(b) FROM (
+    SELECT b.conv_id, t.i, b.was, {'cost': b.b.cost + 3, 'audit': b.b.audit || 'D', 'kept': b.b.kept} AS b FROM best b JOIN t ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = b.i + 1
+    UNION ALL
+    SELECT b.conv_id, t.i, m.is_, {'cost': b.b.cost + 2 * length(m.edits) + CASE WHEN t.r = m.is_ THEN 0 ELSE 2 END + CASE fault WHEN 3 THEN 1 ELSE 0 END, 'audit': b.b.audit || m.edits || CASE WHEN t.r = m.is_ THEN 'K' ELSE 'R' END,
+      'kept': b.b.kept || m.between || [CASE WHEN t.r = m.is_ THEN t.role WHEN m.is_ = 'u' THEN 'user' ELSE 'assistant' END || ':' || t.text]}
+    FROM best b JOIN t ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND t.i = b.i + 1 JOIN moves m ON m.was = b.was WHERE fault NOT IN (1, 2) AND (t.r = m.is_ OR m.is_ <> 's')
+  ) GROUP BY conv_id, i, was),
+counted AS (SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+  count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM t GROUP BY conv_id),
+done AS (SELECT c.conv_id, min({'cost': b.b.cost + 2 * length(e.edits), 'audit': b.b.audit || e.edits, 'kept': b.b.kept || e.between}) AS b FROM counted c JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = c.n JOIN ends e ON e.was = b.was GROUP BY c.conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  CAST(coalesce(d.b.cost, 0) AS BIGINT) AS cost, coalesce(d.b.audit, '') AS audit, sha256(coalesce(array_to_string(d.b.kept, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN done d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
 """,
 }
