@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bm25, bpe, conversations, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, variants, wumanber
+from convograph.llm import bm25, bpe, conversations, jaccard, katz, langid, linededup, repeats, secretscan, simhash, toolcalls, variants, wumanber
 from convograph.llm.common import ready, table
 from convograph.sources.adapters import spread
 
@@ -81,6 +81,11 @@ def op12_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
     return conversations.digests(turns, *conversations.repair(conversations.damage(turns)))
 
 
+def op13_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    ready(spark)
+    return jaccard.digests(jaccard.classes(table(spark, sf, "documents")))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash_classes": op2_simhash_classes,
@@ -94,6 +99,7 @@ QUERIES = {
     "op10_bm25_topk": op10_bm25_topk,
     "op11_spelling_variants": op11_spelling_variants,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 SQL: dict[str, str] = {
@@ -176,5 +182,15 @@ done AS (SELECT c.conv_id, min({'cost': b.b.cost + 2 * length(e.edits), 'audit':
 SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
   CAST(coalesce(d.b.cost, 0) AS BIGINT) AS cost, coalesce(d.b.audit, '') AS audit, sha256(coalesce(array_to_string(d.b.kept, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN done d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
+""",
+    "op13_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id, coalesce(list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), []) AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i : i + 2], ' ') AS k FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+c AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.r < b.r GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT a, b FROM e UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, (SELECT min(o.doc_id) FROM reach JOIN w o ON o.r = reach.b WHERE reach.a = w.r)) AS component_id FROM w LEFT JOIN n USING (r)
 """,
 }
