@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,27 +11,45 @@ from pyspark.sql import functions as F
 from convograph.functions import lexicons as L
 from convograph.functions import text as T
 
-#: Rows of an entity list that are sent to every task.
-BROADCAST_ROWS = 100_000
+#: Rows and bytes of a list of names that are sent to every task at once.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+#: Letters of the pieces of names that are looked up in texts.
+GRAM = 5
+
+
+def anchors(entities: DataFrame, gram: int = GRAM) -> DataFrame:
+    """``entities`` with ``_low``, ``_size`` and ``_gram``: of the pieces of ``gram`` letters of a name (all of a shorter one) the one that fewest names have.
+
+    So a piece of text leads to as few names as can be, whatever most names have in common.  Null and empty names are left out."""
+    low = F.lower("name")
+    names = entities.where(F.length("name") > 0).withColumn("_low", low).withColumn("_size", F.least(F.char_length("_low"), F.lit(gram)))
+    pieces = names.select("_low", "_size").distinct().withColumn("_gram", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("_low") - F.col("_size") + 1), lambda i: F.substring(F.col("_low"), i, F.col("_size"))))))
+    common = pieces.groupBy("_gram").agg(F.count("*").alias("_names"))
+    rare = pieces.join(common, "_gram").groupBy("_low").agg(F.min(F.struct("_names", "_gram"))["_gram"].alias("_gram"))
+    return names.join(rare, "_low")
 
 
 def mentions(segments: DataFrame, entities: DataFrame) -> DataFrame:
-    """Segments with each entity whose name is a substring of the text, in any case; one row a pair.
+    """Segments with each entity whose name is a substring of the text, in any case; one row a pair.  Null and empty names are not looked for.
 
-    Entities with an ``episode_id`` are only looked for in their episode.  A list over all episodes is broadcast, once its rows
-    are counted; a longer one is joined in slices of that size."""
-    text, name = F.lower(segments["text"]), F.lower(entities["name"])
+    Entities with an ``episode_id`` are only looked for in their episode.  A list over all episodes is an index: a name is looked up by its rarest
+    piece (``anchors``) among the distinct pieces of a text, by equality, and then verified.  The index is broadcast once its rows and bytes are counted; a larger one is looked
+    up in slices of that size.  Texts are not shuffled, and the number of names does not multiply the work on a text."""
+    name = F.lower(entities["name"])
     if "episode_id" in entities.columns:
-        return segments.join(entities, (segments["episode_id"] == entities["episode_id"]) & F.contains(text, name)).drop(entities["episode_id"])
-    slices = -(-entities.count() // BROADCAST_ROWS)
-    if slices <= 1:
-        return segments.join(F.broadcast(entities), F.contains(text, name))
-    out = None
+        return segments.join(entities, (segments["episode_id"] == entities["episode_id"]) & F.contains(F.lower(segments["text"]), name) & (F.length(name) > 0)).drop(entities["episode_id"])
+    index = anchors(entities)
+    rows, size, *sizes = index.agg(F.count("*"), F.sum(F.octet_length("_low") + 100), *[F.max((F.col("_size") == k).cast("int")) for k in range(1, GRAM + 1)]).first()
+    sizes = [k for k, there in enumerate(sizes, 1) if there] or [GRAM]
+    # A lookahead matches before each letter, so one pass over a text gives its overlapping pieces.
+    pieces = [F.regexp_extract_all(F.lower(segments["text"]), F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)) for k in sizes]
+    texts = segments.withColumn("_gram", F.explode(F.array_distinct(F.concat(*pieces))))
+    slices = max(-(-rows // BROADCAST_ROWS), -(-(size or 0) // BROADCAST_BYTES), 1)
+    found = []
     for i in range(slices):
-        part = entities.where(F.pmod(F.xxhash64("name"), F.lit(slices)) == i)
-        found = segments.join(F.broadcast(part), F.contains(F.lower(segments["text"]), F.lower(part["name"])))
-        out = found if out is None else out.unionByName(found)
-    return out
+        part = index if slices == 1 else index.where(F.pmod(F.xxhash64("_low"), F.lit(slices)) == i)
+        found.append(texts.join(F.broadcast(part), "_gram").where(F.contains(F.lower(segments["text"]), F.col("_low"))))
+    return reduce(DataFrame.unionByName, found).drop("_gram", "_low", "_size")
 
 
 def occurrences(text: Column, name: Column) -> Column:

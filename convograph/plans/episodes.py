@@ -47,7 +47,7 @@ def entity_relationships(spark, sf):
 def bridge_insights(spark, sf):
     from convograph.sources.adapters import concepts
 
-    c = concepts(spark).select("entity_id", (F.col("pos") % 3).alias("community"))
+    c = concepts(table(spark, sf, "documents")).select("entity_id", (F.col("pos") % 3).alias("community"))
     return P.bridge_insights(parts(spark, sf)[1], c).withColumn("score", r6(F.col("score")))
 
 

@@ -16,7 +16,7 @@ book = Book()
 
 def parts(spark, sf):
     s = segments(table(spark, sf, "conversations"))
-    return s, M.mentions(s, concepts(spark))
+    return s, M.mentions(s, concepts(table(spark, sf, "documents")))
 
 
 def totals(s):

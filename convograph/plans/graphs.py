@@ -75,7 +75,7 @@ def shortest_paths(spark, sf):
 
 
 def episode_edges(spark, sf):
-    m = M.mentions(segments(table(spark, sf, "conversations")), concepts(spark))
+    m = M.mentions(segments(table(spark, sf, "conversations")), concepts(table(spark, sf, "documents")))
     e = m.groupBy("episode_id", "segment_index").agg(F.array_sort(F.collect_set("entity_id")).alias("e")).where("size(e) > 1")
     return e.select("episode_id", F.posexplode("e").alias("i", "src"), "e").select("episode_id", "src", F.explode(F.slice("e", F.col("i") + 2, F.size("e"))).alias("dst")).groupBy("episode_id", "src", "dst").agg(F.count("*").alias("weight"))
 

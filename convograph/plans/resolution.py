@@ -73,7 +73,7 @@ def importance_factors(spark, sf):
     s = segments(table(spark, sf, "conversations"))
     t = s.groupBy("episode_id").agg(F.count("*").alias("ns"), F.max("end_time").alias("total"))
     i, ns = F.col("segment_index"), F.col("ns")
-    g = M.mentions(s, concepts(spark)).join(t, "episode_id").groupBy("episode_id", "entity_id").agg(F.count("*").alias("k"), F.max("total").alias("total"), F.avg((i <= F.floor(ns * 0.2)).cast("double")).alias("intro"), F.avg((i >= F.floor(ns * 0.8)).cast("double")).alias("concl"), F.least(F.lit(1.0), F.count("*") / F.max("ns") * 2).alias("spread"), E.bridge_role(F.count("*"), F.max(i) - F.min(i), F.max("ns")).alias("bridge"))
+    g = M.mentions(s, concepts(table(spark, sf, "documents"))).join(t, "episode_id").groupBy("episode_id", "entity_id").agg(F.count("*").alias("k"), F.max("total").alias("total"), F.avg((i <= F.floor(ns * 0.2)).cast("double")).alias("intro"), F.avg((i >= F.floor(ns * 0.8)).cast("double")).alias("concl"), F.least(F.lit(1.0), F.count("*") / F.max("ns") * 2).alias("spread"), E.bridge_role(F.count("*"), F.max(i) - F.min(i), F.max("ns")).alias("bridge"))
     g = g.withColumn("frequency", E.frequency_factor(F.col("k"), F.col("total")))
     g = g.withColumn("importance", E.importance({"frequency": F.col("frequency"), "discourse_function": (F.col("intro") + F.col("concl") + F.col("spread") + F.col("bridge")) / 4}))
     return E.top_by(g, ["episode_id"], [F.desc(F.round("importance", 9)), F.col("entity_id")], 5).select("episode_id", "entity_id", r6(F.col("frequency")).alias("frequency"), r6(F.col("bridge")).alias("bridge"), r6(F.col("importance")).alias("importance"), n(F.col("rank")).alias("rank"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,8 +10,8 @@ from convograph.functions import text as T
 
 #: Words spoken in a minute.
 WORDS_PER_MINUTE = 150
-#: Concepts looked for in conversations where none are given.
-CONCEPTS = ["that", "with", "from", "this", "tion", "than", "ment", "lich", "eaux", "ción"]
+#: A name in a text: a capital and four small letters or more.
+NAME = "[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{4,}"
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -28,14 +28,14 @@ def segments(turns: DataFrame) -> DataFrame:
     return s.withColumn("end_time", F.col("start_time") + F.col("word_count") * 60 / WORDS_PER_MINUTE)
 
 
-def concepts(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
-    """(entity_id, name, entity_type, pos) of a list of names."""
-    names = names or CONCEPTS
-    return spark.createDataFrame([(f"e{i}", n, ("concept", "topic")[i % 2], i) for i, n in enumerate(names)], "entity_id string, name string, entity_type string, pos int")
+def concepts(docs: DataFrame) -> DataFrame:
+    """(entity_id, name, entity_type, pos) of the names that documents begin with, in small letters; a name has the place of its first document."""
+    names = docs.select(F.lower(F.regexp_extract("text", NAME, 0)).alias("name"), "doc_id").where("name <> ''").groupBy("name").agg(F.min("doc_id").alias("pos"))
+    return names.select(F.concat(F.lit("e"), F.col("pos").cast("string")).alias("entity_id"), "name", F.when(F.col("pos") % 2 == 0, "concept").otherwise("topic").alias("entity_type"), "pos")
 
 
 #: The same in SQL.
 SEGMENTS_SQL = r"""seg0 AS (SELECT conv_id AS episode_id, turn AS segment_index, role AS speaker, text, len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS word_count FROM conversations),
 seg AS (SELECT *, coalesce(sum(word_count) OVER (PARTITION BY episode_id ORDER BY segment_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 60 / 150.0::DOUBLE AS start_time FROM seg0)"""
-CONCEPTS_SQL = "ent AS (SELECT 'e' || i AS entity_id, n AS name, CASE i % 2 WHEN 0 THEN 'concept' ELSE 'topic' END AS entity_type, i AS pos FROM (VALUES " + ", ".join(f"({i}, '{n}')" for i, n in enumerate(CONCEPTS)) + ") t(i, n))"
+CONCEPTS_SQL = f"ent AS (SELECT 'e' || min(doc_id) AS entity_id, name, CASE min(doc_id) % 2 WHEN 0 THEN 'concept' ELSE 'topic' END AS entity_type, min(doc_id) AS pos FROM (SELECT doc_id, lower(regexp_extract(text, '{NAME}')) AS name FROM documents) WHERE name <> '' GROUP BY name)"
 MENTIONS_SQL = SEGMENTS_SQL + ", " + CONCEPTS_SQL + ", men AS (SELECT s.*, e.entity_id, e.name, e.entity_type, e.pos FROM seg s JOIN ent e ON contains(lower(s.text), lower(e.name)))"
