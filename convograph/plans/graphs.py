@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from convograph.operators import graph as G
 from convograph.operators import mentions as M
-from convograph.operators import networks as N
+from convograph.operators.centrality import centralities
+from convograph.operators.communities import louvain
 from convograph.operators.components import connected_components
 from convograph.plans.base import Book, n, r6, table
 from convograph.sources.adapters import MENTIONS_SQL, concepts, segments
@@ -82,12 +83,34 @@ def episode_edges(spark, sf):
 
 @book.add()
 def episode_centralities(spark, sf):
-    return N.centralities(episode_edges(spark, sf), "episode_id")
+    return centralities(episode_edges(spark, sf), "episode_id")
 
 
 @book.add()
 def episode_communities(spark, sf):
-    return N.communities(episode_edges(spark, sf), "episode_id")
+    return louvain(episode_edges(spark, sf), "episode_id", (0.5, 1.0, 2.0))
+
+
+def corpus_edges(spark, sf):
+    return M.co_occurrences(M.mentions(segments(table(spark, sf, "conversations")), concepts(table(spark, sf, "documents"))))
+
+
+@book.add()
+def corpus_centralities(spark, sf):
+    """Measures of the graph of all episodes, by all tasks where one cannot hold it."""
+    return centralities(corpus_edges(spark, sf))
+
+
+@book.add()
+def corpus_communities(spark, sf):
+    """Communities of the graph of all episodes, with the modularity of each resolution's (at resolution 1)."""
+    edges = corpus_edges(spark, sf).checkpoint()
+    found = louvain(edges, None, (0.5, 1.0, 2.0)).checkpoint()
+    parts = []
+    for r in (0.5, 1.0, 2.0):
+        own = found.where(F.col("resolution") == r)
+        parts.append(own.join(F.broadcast(G.modularity(edges, own.select("node", "community"))), how="cross"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("modularity", r6(F.col("modularity")))
 
 
 @book.add(f"WITH {MENTIONS_SQL}, x AS (SELECT a.episode_id, a.entity_id AS src, b.entity_id AS dst, count(*) AS weight FROM men a JOIN men b ON a.episode_id = b.episode_id AND a.segment_index = b.segment_index AND a.entity_id < b.entity_id GROUP BY 1, 2, 3) SELECT episode_id, CAST(count(*) AS BIGINT) AS edges, CAST(sum(weight) AS BIGINT) AS weight, round(count(*) / count(DISTINCT src), 6) AS per_source FROM x GROUP BY 1")

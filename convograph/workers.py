@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,3 +28,11 @@ def checkpoints(spark: SparkSession) -> SparkSession:
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="convograph-"))
     return spark
+
+
+def written(rows: DataFrame) -> DataFrame:
+    """A table written to the checkpoint folder and read back, for loops: unlike a checkpoint it does not hand on the constraints that the
+    optimizer found, which double in each round that renames a column."""
+    at = f"{checkpoints(rows.sparkSession).sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    rows.write.parquet(at)
+    return rows.sparkSession.read.schema(rows.schema).parquet(at)
