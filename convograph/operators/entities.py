@@ -100,25 +100,6 @@ def merged_by_name(entities: DataFrame) -> DataFrame:
     return e.groupBy("key", F.upper("type").alias("type")).agg(F.min(F.struct("pos", "name"))["name"].alias("name"), F.max("confidence").alias("confidence"), F.count("*").alias("mentions"))
 
 
-def greedy_resolve(entities: DataFrame, group: str, least: float = 0.85) -> DataFrame:
-    """Order-dependent resolution within a group (an episode and type): each entity joins the best earlier one that is alike enough."""
-
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple[int, str]] = []
-        out = []
-        for pos, name in sorted(zip(g["pos"], g["name"], strict=True)):
-            low = name.lower().strip()
-            best = max(((SequenceMatcher(None, low, k).ratio(), -p) for p, k in kept), default=(0.0, 0))
-            if best[0] >= least:
-                out.append((g[group].iloc[0], pos, -best[1]))
-            else:
-                kept.append((pos, low))
-                out.append((g[group].iloc[0], pos, pos))
-        return pd.DataFrame(out, columns=[group, "pos", "merged_into"])
-
-    return entities.groupBy(group).applyInPandas(run, f"{group} {entities.schema[group].dataType.simpleString()}, pos long, merged_into long")
-
-
 def supported(quote: Column, text: Column, share: float = 0.7) -> Column:
     """Whether a quote is borne out by a text: word for word up to three words, else by that share of its words."""
     w = T.words(F.lower(quote))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from convograph import workers
+from convograph.operators.tiles import nearest
 
 
 def pairs_within(rows: DataFrame, group: str, item: str) -> DataFrame:
@@ -78,10 +77,6 @@ def distances(edges: DataFrame, source: Column | int | str, most: int = 10) -> D
 
 # ---- vectors
 
-#: Queries that are broadcast at once.
-QUERIES = 10_000
-
-
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
@@ -103,17 +98,7 @@ def centroids(vectors: DataFrame, group: str, vector: str = "embedding") -> Data
 
 
 def most_similar(queries: DataFrame, vectors: DataFrame, top: int = 5, least: float = -1.0) -> DataFrame:
-    """(query, id, similarity, rank): best of (id, v) for each (query, q), itself left out.
-
-    Queries are broadcast in blocks of about ``QUERIES``, one pass over the vectors for each; ties go to the smaller id."""
-    parts = max(1, -(-queries.count() // QUERIES))
-    if parts > 1:
-        block = F.pmod(F.xxhash64("query"), F.lit(parts))
-        return reduce(DataFrame.unionByName, [_most_similar(queries.where(block == i), vectors, top, least) for i in range(parts)])
-    return _most_similar(queries, vectors, top, least)
-
+    """(query, id, similarity, rank): best of (id, v) for each (query, q), itself left out; ties go to the smaller id.
 
-def _most_similar(queries: DataFrame, vectors: DataFrame, top: int, least: float) -> DataFrame:
-    p = vectors.join(F.broadcast(queries), F.col("id") != F.col("query")).withColumn("similarity", cosine(F.col("q"), F.col("v"))).where(F.col("similarity") >= least)
-    w = W.partitionBy("query").orderBy(F.desc("similarity"), "id")
-    return p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("query", "id", "similarity", "rank")
+    Queries and vectors meet as products of bounded matrices (``tiles``)."""
+    return nearest(queries, vectors, top, least)

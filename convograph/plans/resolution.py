@@ -9,6 +9,7 @@ from convograph.functions import text as T
 from convograph.operators import entities as E
 from convograph.operators import mentions as M
 from convograph.operators import store as S
+from convograph.operators.names import greedy_resolve
 from convograph.plans.base import Book, n, quote, r6, table
 from convograph.sources.adapters import MENTIONS_SQL, SEGMENTS_SQL, concepts, segments
 
@@ -54,7 +55,7 @@ def name_similarity(spark, sf):
 @book.add()
 def greedy_resolution(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"))
-    return E.greedy_resolve(p, "brand")
+    return greedy_resolve(p, "brand")
 
 
 @book.add("""WITH b AS (SELECT item_id, text AS q FROM benchmark), d AS (SELECT doc_id, text AS t FROM documents WHERE lang IS NOT NULL), w AS (SELECT item_id, q, list_filter(regexp_split_to_array(lower(q), '\\s+'), lambda x: x <> '') AS w FROM b)

@@ -6,13 +6,13 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
-from convograph.operators import entities as E
 from convograph.operators import merging as R
 from convograph.operators import routing as Q
 from convograph.operators import sets as S
 from convograph.operators import storing
 from convograph.operators import summaries as U
 from convograph.operators import themes as H
+from convograph.operators.names import greedy_resolve
 from convograph.operators.store import Graph
 from convograph.plans import catalog
 
@@ -60,7 +60,7 @@ def test_candidates_miss_no_similar_name(spark):
 
 def test_greedy_resolution(spark):
     rows = [(g, i, x) for g in ("p", "q") for i, x in enumerate(names(3 + ord(g)))]
-    got = {(r.g, r.pos): r.merged_into for r in E.greedy_resolve(spark.createDataFrame(rows, "g string, pos long, name string"), "g").collect()}
+    got = {(r.g, r.pos): r.merged_into for r in greedy_resolve(spark.createDataFrame(rows, "g string, pos long, name string"), "g").collect()}
     want, kept = {}, {}
     for g, i, x in rows:
         best = [(-SequenceMatcher(None, x.lower(), y).ratio(), j) for j, y in kept.get(g, [])]
