@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,18 +40,40 @@ def modularity(edges: DataFrame, communities: DataFrame, resolution: float = 1.0
     return q.agg(F.sum(F.coalesce("l", F.lit(0)) / F.col("m") - resolution * F.pow(F.col("d") / (2 * F.col("m")), F.lit(2.0))).alias("modularity"))
 
 
+def _unlinked(names: DataFrame, linked: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` pairs (a, b), a < b, of ``names`` that ``linked`` does not have, in order.
+
+    The first names are paired with all later ones until there are enough pairs.  Names that yield none are linked with all later ones, so
+    this takes as many rows as there are links, and ``top`` times the names."""
+    found, after, block = [], None, top
+    while True:
+        rest = names if after is None else names.where(F.col("community") > after)
+        first = [r.community for r in rest.orderBy("community").limit(block).collect()]  # bounded: a block of names
+        if not first:
+            break
+        pairs = names.select(F.explode(F.array(*map(F.lit, first))).alias("a"), F.col("community").alias("b")).where("a < b")
+        found.append(pairs.join(linked, ["a", "b"], "left_anti").orderBy("a", "b").limit(top).checkpoint())
+        if sum(f.count() for f in found) >= top:
+            break
+        after, block = first[-1], 2 * block
+    return reduce(DataFrame.unionByName, found).orderBy("a", "b").limit(top) if found else linked.select("a", "b").limit(0)
+
+
 def gaps(edges: DataFrame, communities: DataFrame, few: int = 3, top: int = 10) -> DataFrame:
-    """The ``top`` pairs of communities with the fewest edges between them, of those with less than ``few``; the number of communities is that of a small table."""
+    """The ``top`` pairs of communities with the fewest edges between them, of those with less than ``few``; pairs of communities are not listed for it."""
+    workers.checkpoints(edges.sparkSession)
     c = communities
-    cross = edges.join(c.select(F.col("node").alias("src"), F.col("community").alias("x")), "src").join(c.select(F.col("node").alias("dst"), F.col("community").alias("y")), "dst").where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("connections"))
+    cross = edges.join(c.select(F.col("node").alias("src"), F.col("community").alias("x")), "src").join(c.select(F.col("node").alias("dst"), F.col("community").alias("y")), "dst").where("x <> y").groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count("*").alias("connections")).checkpoint()
     # three representatives of each, ranked before they are gathered
     first = c.withColumn("_rn", F.row_number().over(W.partitionBy("community").orderBy("node"))).where(F.col("_rn") <= 3).groupBy("community").agg(F.array_sort(F.collect_list("node")).alias("members"))
-    size = c.groupBy("community").agg(F.count("*").alias("size")).join(first, "community")
-    left, right = (size.select(*[F.col(x).alias(f"{k}_{x}") for x in size.columns]) for k in ("a", "b"))
-    both = left.join(right, F.col("a_community") < F.col("b_community")).join(cross, (F.col("a_community") == F.col("a")) & (F.col("b_community") == F.col("b")), "left")
-    n = F.coalesce("connections", F.lit(0))
-    found = both.where(n < few).select(F.col("a_community").alias("community_a"), F.col("b_community").alias("community_b"), n.cast("long").alias("connections"), (1 - n / few).alias("gap_score"), F.col("a_size").alias("size_a"), F.col("b_size").alias("size_b"), F.col("a_members").alias("members_a"), F.col("b_members").alias("members_b"))
-    return found.orderBy("connections", "community_a", "community_b").limit(top)
+    size = c.groupBy("community").agg(F.count("*").alias("size")).checkpoint()
+    none = _unlinked(size.select("community"), cross.select("a", "b"), top).withColumn("connections", F.lit(0).cast("long"))
+    found = cross.where(F.col("connections") < few).unionByName(none).orderBy("connections", "a", "b").limit(top)
+    known = size.join(first, "community")
+    for end in ("a", "b"):
+        found = found.join(known.select(F.col("community").alias(end), F.col("size").alias(f"size_{end}"), F.col("members").alias(f"members_{end}")), end)
+    found = found.select(F.col("a").alias("community_a"), F.col("b").alias("community_b"), "connections", (1 - F.col("connections") / few).alias("gap_score"), "size_a", "size_b", "members_a", "members_b")
+    return found.orderBy("connections", "community_a", "community_b")
 
 
 def gap_evolution(now: DataFrame, before: DataFrame, step: float = 0.1) -> DataFrame:

@@ -183,8 +183,11 @@ def temporal(found: DataFrame, segments: DataFrame, alpha: float = 2.0) -> DataF
     """Per entity: recency, persistence, peak (most mentions in a forward tenth of the episode) and momentum of its mentions."""
     total = segments.groupBy("episode_id").agg(F.max("end_time").alias("total"))
     m = found.select("episode_id", "entity_id", "start_time").join(total, "episode_id")
-    ahead = m.alias("a").join(m.alias("b"), F.expr("a.episode_id = b.episode_id and a.entity_id = b.entity_id and b.start_time >= a.start_time and b.start_time <= a.start_time + a.total * 0.1")).groupBy("a.episode_id", "a.entity_id", "a.start_time").agg(F.count("*").alias("n"))
-    peak = ahead.groupBy("episode_id", "entity_id").agg(F.max("n").alias("most"))
+    # Starts and ends of windows in one order: the i-th end closes the window of the i-th start, and all starts up to it but the i - 1 before are in it.
+    ends = F.array(F.struct(F.col("start_time").alias("at"), F.lit(0).alias("end")), F.struct((F.col("start_time") + F.col("total") * 0.1).alias("at"), F.lit(1).alias("end")))
+    w = W.partitionBy("episode_id", "entity_id").orderBy("at", "end").rowsBetween(W.unboundedPreceding, 0)
+    inside = F.sum(1 - F.col("end")).over(w) - F.sum("end").over(w) + 1
+    peak = m.select("episode_id", "entity_id", F.inline(ends)).withColumn("n", inside).where("end = 1").groupBy("episode_id", "entity_id").agg(F.max("n").alias("most"))
     g = m.groupBy("episode_id", "entity_id").agg(F.min("start_time").alias("first"), F.max("start_time").alias("last"), F.max("total").alias("total"), F.count_if(F.col("start_time") < F.col("total") / 2).alias("early"), F.count("*").alias("n")).join(peak, ["episode_id", "entity_id"])
     t, r = F.col("total"), (F.col("n") - F.col("early")) / F.col("early")
     return g.withColumns({

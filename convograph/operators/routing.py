@@ -111,10 +111,14 @@ def marker_metrics(before: Column, after: Column) -> dict[str, Column]:
     return {"before": F.length(before), "after": F.length(after), "growth": F.length(after) - F.length(before), "markers": F.size(found), "kinds": F.array_sort(F.array_distinct(found))}
 
 
+#: Where a word of ASCII letters begins and ends: unlike those of ``\\b``, these edges do not depend on the regex engine's idea of letters.
+WORD = ("(?<![A-Za-z0-9_])", "(?![A-Za-z0-9_])")
+
+
 def quote_preview(text: Column) -> dict[str, Column]:
     """What a search for quotes would find: quoted passages, reported speech and statements in the first person."""
     count = lambda p: F.regexp_count(text, F.lit(p))
-    return {"quoted": count(r'"[^"]{10,}"'), "reported": count(r"(?i)\b(said|says|told|asked)\b"), "personal": count(r"(?i)\bI (think|believe|feel)\b")}
+    return {"quoted": count(r'"[^"]{10,}"'), "reported": count(rf"(?i){WORD[0]}(said|says|told|asked){WORD[1]}"), "personal": count(rf"(?i){WORD[0]}I (think|believe|feel){WORD[1]}")}
 
 
 def found(text: Column, pattern: str) -> Column:

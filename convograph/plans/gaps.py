@@ -14,14 +14,14 @@ from convograph.sources.adapters import MENTIONS_SQL
 
 book = Book()
 
-PAIRED = "(SELECT vec_id AS a, vec_id + 7 AS b FROM embeddings WHERE vec_id % 100 = 0)"
+PAIRED = "(SELECT vec_id AS a, vec_id + 7 AS b FROM embeddings WHERE vec_id % 50 = 0)"
 
 
 @book.add(f"WITH {V}, p AS (SELECT x.vec_id AS a, y.vec_id AS b, x.e AS ea, y.e AS eb FROM {PAIRED} q JOIN v x ON x.vec_id = q.a JOIN v y ON y.vec_id = q.b), s AS (SELECT a, b, v.vec_id AS via, {COS.format('ea', 'v.e')} AS s, {COS.format('eb', 'v.e')} AS t FROM p JOIN v ON v.vec_id <> a AND v.vec_id <> b) SELECT a, b, via, round((s + t) / 2, 6) AS score, CAST(row_number() OVER (PARTITION BY a, b ORDER BY s + t DESC, via) AS BIGINT) AS rank FROM s WHERE s > 0.1 AND t > 0.1 QUALIFY rank <= 3")
 def conceptual_paths(spark, sf):
-    """Single steps between vectors whose ids differ by seven, for one id in a hundred."""
+    """Single steps between vectors whose ids differ by seven, for one id in fifty against all."""
     v = vectors(spark, sf).select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
-    pairs = v.where("id % 100 = 0").select(F.col("id").alias("a"), (F.col("id") + 7).alias("b"))
+    pairs = v.where("id % 50 = 0").select(F.col("id").alias("a"), (F.col("id") + 7).alias("b"))
     return P.paths(pairs, v, least=0.1).select("a", "b", "via", r6(F.col("score")).alias("score"), n(F.col("rank")).alias("rank"))
 
 
@@ -71,12 +71,12 @@ def discourse_descriptions(spark, sf):
     return table(spark, sf, "events").select("event_id", P.description(kind).alias("description"))
 
 
-@book.add(f"WITH {V} SELECT a.vec_id AS \"left\", b.vec_id AS \"right\", round({COS.format('a.e', 'b.e')}, 6) AS similarity FROM v a, v b WHERE a.vec_id % 250 = 0 AND b.label = 1")
+@book.add(f"WITH {V} SELECT a.vec_id AS \"left\", b.vec_id AS \"right\", round({COS.format('a.e', 'b.e')}, 6) AS similarity FROM v a, v b WHERE a.vec_id % 50 = 0 AND {COS.format('a.e', 'b.e')} > 0.2")
 def batch_similarities(spark, sf):
-    """One vector in 250 against all of one label."""
+    """One vector in fifty against all."""
     v = vectors(spark, sf)
-    left = v.where("vec_id % 250 = 0").select(F.col("vec_id").alias("left"), F.col("embedding").alias("u"))
-    return P.all_similarities(left, v.where("label = 1").select(F.col("vec_id").alias("right"), F.col("embedding").alias("v"))).withColumn("similarity", r6(F.col("similarity")))
+    left = v.where("vec_id % 50 = 0").select(F.col("vec_id").alias("left"), F.col("embedding").alias("u"))
+    return P.similarities(left, v.select(F.col("vec_id").alias("right"), F.col("embedding").alias("v")), 0.2).withColumn("similarity", r6(F.col("similarity")))
 
 
 @book.add(f"WITH {MENTIONS_SQL} SELECT m.entity_id AS src, m.episode_id || '_segment_' || m.segment_index AS dst, CASE WHEN s.word_count > 40 THEN 0.5 ELSE 0 END::DOUBLE AS weight, CASE WHEN s.word_count % 3 = 0 THEN 'positive' ELSE 'neutral' END AS polarity FROM men m JOIN seg s USING (episode_id, segment_index) WHERE s.word_count % 3 < 2")

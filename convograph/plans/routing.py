@@ -77,11 +77,11 @@ def marker_metrics(spark, sf):
     return d.select("doc_id", n(m["before"]).alias("before"), n(m["after"]).alias("after"), n(m["markers"]).alias("markers"), F.array_join(m["kinds"], ",").alias("kinds"))
 
 
-@book.add(r"""WITH t AS (SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN ' She said "this is quite long" and I think so' ELSE '' END AS t FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(len(regexp_extract_all(t, '"[^"]{10,}"')) AS BIGINT) AS quoted, CAST(len(regexp_extract_all(t, '(?i)\b(said|says|told|asked)\b')) AS BIGINT) AS reported, CAST(len(regexp_extract_all(t, '(?i)\bI (think|believe|feel)\b')) AS BIGINT) AS personal FROM t WHERE NOT regexp_matches(t, '[^\x00-\x7F]')""")
+@book.add(r"""WITH t AS (SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN ' She said "this is quite long" and I think so' ELSE '' END AS t FROM documents WHERE text IS NOT NULL) SELECT doc_id, CAST(len(regexp_extract_all(t, '"[^"]{10,}"')) AS BIGINT) AS quoted, CAST(len(regexp_extract_all(t, '(?i)\b(said|says|told|asked)\b')) AS BIGINT) AS reported, CAST(len(regexp_extract_all(t, '(?i)\bI (think|believe|feel)\b')) AS BIGINT) AS personal FROM t""")
 def quote_previews(spark, sf):
-    """Texts in ASCII, whose word boundaries both engines read alike, some with a quote added."""
+    """All texts, some with a quote added."""
     t = F.concat("text", F.when(F.col("doc_id") % 3 == 0, ' She said "this is quite long" and I think so').otherwise(""))
-    d = table(spark, sf, "documents").where(F.col("text").isNotNull() & ~F.col("text").rlike(r"[^\x00-\x7F]"))
+    d = table(spark, sf, "documents").where(F.col("text").isNotNull())
     return d.select("doc_id", *[n(c).alias(k) for k, c in R.quote_preview(t).items()])
 
 

@@ -31,12 +31,13 @@ def label_counts(spark, sf):
     return graph(spark, sf).counts()
 
 
-@book.add("SELECT 'c-' || c_custkey AS id, c_name AS name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@book.add("SELECT 'd-' || d.doc_id AS id, coalesce(source, '') AS name FROM documents d WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)")
 def orphan_checks(spark, sf):
-    """Customers that no order refers to, by an anti join."""
-    g = graph(spark, sf)
-    turned = S.Graph(g.nodes, g.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "type", "weight"))
-    return turned.orphans("customer", "PLACED_BY").select("id", "name")
+    """Documents that no label refers to, by an anti join."""
+    doc = lambda: F.concat(F.lit("d-"), F.col("doc_id").cast("string"))
+    nodes = table(spark, sf, "documents").select(doc().alias("id"), F.lit("document").alias("type"), F.coalesce("source", F.lit("")).alias("name"))
+    edges = table(spark, sf, "labels").where("doc_id IS NOT NULL").select(doc().alias("src"), F.concat(F.lit("q-"), F.col("quality").cast("string")).alias("dst"), F.lit("HAS_LABEL").alias("type"), F.lit(1.0).alias("weight"))
+    return S.Graph(nodes, edges).orphans("document", "HAS_LABEL").select("id", "name")
 
 
 @book.add(f"WITH {NODES} SELECT src, dst, type FROM edges WHERE dst NOT IN (SELECT id FROM nodes) OR src NOT IN (SELECT id FROM nodes) UNION ALL SELECT 'x', 'y', 'TEST'")
