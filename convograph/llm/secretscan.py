@@ -28,24 +28,41 @@ FIRST, SIZE = 43, 80  # codes of '+' to 'z'
 SPAN = "struct<at:int,kind:int,stop:int>"
 
 
+def running(values: Column, combine, none: Column) -> Column:
+    """Sums (or maxima) of the values of an array up to each, by doubling: every pass combines each with the one 1, 2, 4, ... places before it.
+
+    An array of n values takes n log2(n) steps; appending to a result would copy it for every value."""
+
+    def double(x: Column, j: Column) -> Column:
+        step = F.pow(F.lit(2), j).cast("int")
+        return F.when(step < F.size(x), F.zip_with(x, F.concat(F.array_repeat(none, step), F.slice(x, 1, F.size(x) - step)), combine)).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")), values, double)
+
+
 def spans(text: Column, pattern: str, kind: int, guard: str | None = None, keep=None) -> Column:
     """Spans of all matches, code points with exclusive ends, from the lengths of matches and of what lies between them."""
 
     def scan() -> Column:
-        gaps = F.split(text, pattern, -1)
         whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        parts = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("hit"), (F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if keep else whole).alias("value"))
+        sizes = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), whole, lambda gap, hit: F.struct(F.length(gap) + F.length(hit), F.length(hit)))
+        stops = running(F.transform(sizes, lambda x: x["col1"]), lambda a, b: a + b, F.lit(0))
+        found = F.zip_with(stops, sizes, lambda stop, x: F.struct((stop - x["col2"]).alias("at"), F.lit(kind).alias("kind"), stop.alias("stop")).cast(SPAN))
+        if keep is None:
+            return found
+        return F.transform(F.filter(F.zip_with(found, F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), lambda s, v: F.struct(s.alias("s"), v.alias("v"))), lambda x: keep(x["v"])), lambda x: x["s"])
 
-        def step(acc: Column, x: Column) -> Column:
-            at = acc["pos"] + F.length(x["gap"])
-            stop = at + F.length(x["hit"])
-            one = F.array(F.struct(at.alias("at"), F.lit(kind).alias("kind"), stop.alias("stop")).cast(SPAN))
-            return F.struct(stop.alias("pos"), (F.when(keep(x["value"]), F.concat(acc["out"], one)).otherwise(acc["out"]) if keep else F.concat(acc["out"], one)).alias("out"))
+    return F.when(text.rlike(guard or pattern), scan()).otherwise(F.array().cast(f"array<{SPAN}>"))
 
-        start = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{SPAN}>").alias("out"))
-        return F.aggregate(parts, start, step)["out"]
 
-    return F.when(text.rlike(guard or pattern), scan()).otherwise(F.array().cast(f"array<{SPAN}>"))
+def apart(more: Column, base: Column) -> Column:
+    """The spans of ``more``, with their values, that overlap none of ``base``: of those that start before a span stops, the farthest stop is not past its start."""
+    marks = F.concat(F.transform(base, lambda b: F.struct(b["at"].alias("place"), F.lit(1).alias("own"), b["stop"].alias("reach"), b["at"].alias("at"), F.lit("").alias("value"))),
+                     F.transform(more, lambda s: F.struct(s["stop"].alias("place"), F.lit(0).alias("own"), F.lit(0).alias("reach"), s["at"].alias("at"), s["value"].alias("value"))))
+    order = F.sort_array(marks)
+    reach = running(F.transform(order, lambda x: x["reach"]), lambda a, b: F.greatest(a, b), F.lit(0))
+    free = F.filter(F.zip_with(order, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r"))), lambda y: (y["x"]["own"] == 0) & (y["r"] <= y["x"]["at"]))
+    return F.transform(free, lambda y: F.struct(y["x"]["at"].alias("at"), y["x"]["place"].alias("stop"), y["x"]["value"].alias("value")))
 
 
 def base_spans(text: Column) -> Column:
@@ -171,9 +188,10 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     ready(docs.sparkSession)
     two = docs.select(F.col(f"`{id_col}`").alias(id_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     first = two.select(id_col, "_text", base_spans(F.col("_text")).alias("_base"))
-    more = spans(F.col("_text"), RUN, 3)
-    more = F.filter(more, lambda s: ~F.exists("_base", lambda b: (b["at"] < s["stop"]) & (s["at"] < b["stop"])))
-    more = F.filter(more, lambda s: ratio(F.substring(F.col("_text"), s["at"] + 1, s["stop"] - s["at"]), model.ratios) > model.threshold)
+    # Runs bring their values along: to cut one out of a long text would walk through all that stands before it.
+    runs = F.zip_with(spans(F.col("_text"), RUN, 3), F.regexp_extract_all("_text", F.lit(RUN), F.lit(0)), lambda s, v: F.struct(s["at"].alias("at"), s["stop"].alias("stop"), v.alias("value")))
+    more = F.filter(apart(runs, F.col("_base")), lambda s: ratio(s["value"], model.ratios) > model.threshold)
+    more = F.transform(more, lambda s: F.struct(s["at"].alias("at"), F.lit(3).alias("kind"), s["stop"].alias("stop")).cast(SPAN))
     return first.select(id_col, F.sort_array("_base").alias("base"), F.sort_array(F.concat("_base", more)).alias("spans"))
 
 

@@ -1,4 +1,4 @@
-"""Spelling variants, conversation repair, the Jaccard join and repeated strings at size, against brute force and their SQL."""
+"""Spelling variants, conversation repair, the Jaccard join, and repeated strings and secrets at size, against brute force and their SQL."""
 
 import hashlib
 import os
@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from convograph.llm import conversations, exchange, jaccard, repeats, variants
+from convograph.llm import conversations, exchange, jaccard, repeats, secretscan, variants
 from convograph.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -241,3 +241,28 @@ def test_repeats_tell_many_contexts_of_one_string_apart(spark):
     texts = [(bytes(x[:25]) + middle + bytes(x[25:])).decode() for x in around]
     docs = spark.createDataFrame(pd.DataFrame({"doc_id": np.arange(len(texts)), "text": texts})).repartition(8)
     assert repeats.deduplicate(docs).where("size(spans) > 0").count() == 0
+
+
+# ---- secrets
+
+
+def test_a_text_of_very_many_secrets(spark):
+    """Offsets in one text of 60,000 matches, and runs beside them that overlap some."""
+    text = " é ".join((f"token = abcdef{i}", f"AKIA{i:016d}", f"x {i:024x}", f"{i}kq83JSKDJ2883jdksjQWPEO", f"api_key:{i:024x}", "pwd secret=a")[i % 6] for i in range(80_000))
+    base = [(m.start(), 0, m.end()) for m in re.finditer(secretscan.ASSIGN, text) if len(m[2]) >= 6]
+    base += [(m.start(), k, m.end()) for k, p in ((1, secretscan.ACCESS), (2, secretscan.HEX)) for m in re.finditer(p, text)]
+    ratios = np.ones(secretscan.SIZE * secretscan.SIZE)
+    docs = spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in secretscan.scan(docs, secretscan.Model(ratios, 0.0, 1.0, 1.0)).collect()}
+    assert [tuple(x) for x in got[1].base] == sorted(base) and not got[2].base
+    edges, reach = sorted(base), 0
+    stops = []
+    for at, _, stop in edges:
+        reach = max(reach, stop)
+        stops.append((at, reach))
+    import bisect
+
+    starts = [a for a, _ in stops]
+    runs = [(m.start(), m.end()) for m in re.finditer(secretscan.RUN, text)]
+    free = [(a, 3, b) for a, b in runs if (k := bisect.bisect_left(starts, b)) == 0 or stops[k - 1][1] <= a]
+    assert [tuple(x) for x in got[1].spans if x.kind == 3] == free and len(free) > 10_000
