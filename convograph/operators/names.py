@@ -33,7 +33,10 @@ def similar(names: DataFrame, group: str, least: float = 0.85) -> DataFrame:
 
     Pairs of letters are ordered by how many names of the group have them.  Names that are alike enough share one among the rarest of each that
     are left when as many as they must have in common are taken off the end, so only those are joined, under a filter by length and place;
-    what is found is counted before the letters are compared.  Null names are left out; empty ones are like each other."""
+    what is found is counted before the letters are compared.  Null names are left out; empty ones are like each other.  At 0.8 or less names
+    that share no pair of letters can be alike (ab and acb), so ``least`` has to be more."""
+    if least <= 0.8:
+        raise ValueError("least must be more than 0.8")
     low = F.lower(F.trim("name"))
     rows = names.where(F.col("name").isNotNull()).select(group, "pos", low.alias("low"), F.char_length(low).alias("size"), _grams(low).alias("grams"))
     each = rows.select(group, "pos", F.explode("grams").alias("gram"))

@@ -6,23 +6,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from convograph.workers import written
+
 #: Upper bounds of histogram buckets where none are given.
 BUCKETS = [0.1, 0.5, 1.0, 5.0, 10.0, 30.0, 60.0, 120.0, 300.0]
 
 
-def indexed_percentile(value: str, p: float) -> Column:
-    """The sorted value at index min(int(n p / 100), n - 1); not interpolated.
-
-    Takes the group's values as counts of distinct values, so use it on :func:`value_counts`."""
-    return F.min(F.when(F.col("_upto") > F.least(F.floor(F.col("_all") * p / 100), F.col("_all") - 1), F.col(value)))
-
-
-def percentiles(samples: DataFrame, group: list[str], value: str, ps: list[float]) -> DataFrame:
-    """Index percentiles of each group; values are pre-aggregated to distinct ones before they are ordered."""
-    counts = samples.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_c"))
-    w = W.partitionBy(*group)
-    c = counts.withColumns({"_upto": F.sum("_c").over(w.orderBy(value).rowsBetween(W.unboundedPreceding, 0)), "_all": F.sum("_c").over(w)})
-    return c.groupBy(*group).agg(*[indexed_percentile(value, p).alias(f"p{p:g}") for p in ps])
+#: Ranges into which values are dealt to find a rank.
+RANGES = 4096
+
+
+def percentiles(samples: DataFrame, group: list[str], value: str, ps: list[float], ranges: int = RANGES) -> DataFrame:
+    """Index percentiles of each group: the sorted value at index min(int(n p / 100), n - 1), not interpolated; null values do not count.
+
+    A rank is found by selection: values are dealt into ``ranges`` equal ranges between the least and greatest of their group and counted there; the counts say in which range
+    each rank lies, and only the values of those ranges are counted one by one, ranges again between their least and greatest while one holds more than ``ranges`` distinct
+    values.  So no group is sorted, and a task holds no more than the counts of ``ranges`` ranges."""
+    # Groups are structs, which are equal where nulls are.
+    rows = samples.where(F.col(value).isNotNull()).groupBy(F.struct(*group).alias("_k"), value).agg(F.count("*").alias("_c"))
+    v = F.col(value).cast("double")
+    total = rows.groupBy("_k").agg(F.sum("_c").alias("_all"), F.count("*").alias("_many"), F.min(v).alias("_low"), F.max(v).alias("_high"))
+    index = [F.struct(F.lit(f"p{p:g}").alias("name"), F.least(F.floor(F.col("_all") * p / 100), F.col("_all") - 1).alias("left")) for p in ps]
+    wanted = total.select("_k", "_many", "_low", "_high", F.inline(F.array(*index)))
+    found = None
+    while True:
+        few = wanted.where(F.col("_many") <= ranges)
+        place = W.partitionBy("_k", "name").orderBy(value).rowsBetween(W.unboundedPreceding, 0)
+        near = rows.join(few, "_k").where((v >= F.col("_low")) & (v <= F.col("_high"))).withColumn("_upto", F.sum("_c").over(place))
+        part = near.where((F.col("_upto") > F.col("left")) & (F.col("_upto") - F.col("_c") <= F.col("left"))).select("_k", "name", value)
+        found = part if found is None else found.unionByName(part)
+        wanted = written(wanted.where(F.col("_many") > ranges))
+        if wanted.isEmpty():
+            break
+        # The range of a value, and by the counts of ranges the one that the rank lies in.
+        at = F.least(F.floor((v - F.col("_low")) / (F.col("_high") - F.col("_low")) * ranges), F.lit(ranges - 1))
+        dealt = rows.join(wanted, "_k").where((v >= F.col("_low")) & (v <= F.col("_high"))).groupBy("_k", "name", "left", at.alias("_at")).agg(F.sum("_c").alias("_c"), F.count("*").alias("_n"), F.min(v).alias("_l"), F.max(v).alias("_h"))
+        upto = dealt.withColumn("_upto", F.sum("_c").over(W.partitionBy("_k", "name").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)))
+        inside = upto.where((F.col("_upto") > F.col("left")) & (F.col("_upto") - F.col("_c") <= F.col("left")))
+        wanted = written(inside.select("_k", F.col("_n").alias("_many"), F.col("_l").alias("_low"), F.col("_h").alias("_high"), "name", (F.col("left") - F.col("_upto") + F.col("_c")).alias("left")))
+    return found.groupBy("_k").pivot("name", [f"p{p:g}" for p in ps]).agg(F.first(value)).select("_k.*", *[f"`p{p:g}`" for p in ps])
 
 
 def histogram(samples: DataFrame, group: list[str], value: str, bounds: list[float] | None = None) -> DataFrame:

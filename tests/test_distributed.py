@@ -2,8 +2,11 @@
 
 import random
 from collections import Counter
+from difflib import SequenceMatcher
 
-from convograph.operators import centrality, communities, mentions
+from pyspark.sql import functions as F
+
+from convograph.operators import centrality, choice, communities, gaps, graph, mentions, names, service, tiles
 from convograph.operators import networks as N
 
 
@@ -88,3 +91,86 @@ def test_mentions_of_two_hundred_thousand_names(spark, monkeypatch):
     got = got.select("i", "k").collect()
     want = {(i, k) for i, t in enumerate(texts) if t for k, n in enumerate(names) if n in t.lower()}
     assert len(got) == len(want) and {(r.i, r.k) for r in got} == want
+
+
+def test_choices_in_rounds(spark):
+    random.seed(7)
+    rivals = {tuple(sorted(random.sample(range(60), 2), reverse=True)) for _ in range(90)} | {(100 + i + 1, 100 + i) for i in range(7)}
+    kept = {}
+    for v in sorted({x for r in rivals for x in r}):
+        kept[v] = not any(kept[b] for a, b in rivals if a == v)
+    got = choice.kept_first(spark.createDataFrame(sorted(rivals) * 2, "later long, earlier long")).collect()
+    assert len(got) == len(kept) and {r.node: r.kept for r in got} == kept
+    assert choice.kept_first(spark.createDataFrame([], "later long, earlier long")).count() == 0
+
+
+def test_no_similar_pair_of_names_is_missed(spark):
+    random.seed(8)
+    words = ["a", "b", "ab", "abc", "abcd", "banana", "bananas", "mississippi", "misisipi", "aaaaaaaa", "aaaaaaa", "new york city", "new yrok city", "x" * 230, "x" * 229 + "y"]
+    rows = [(g, i, x) for g in ("p", None) for i, x in enumerate(["", " ", None, *words, *("".join(random.choice("abc ") for _ in range(random.randint(1, 9))) for _ in range(50))])]
+    d = spark.createDataFrame(rows, "g string, pos long, name string")
+    for least in (0.81, 0.85):
+        want = {}
+        for g, j, y in rows:
+            for h, i, x in rows:
+                if g == h == "p" and i < j and x is not None and y is not None:
+                    ratio = SequenceMatcher(None, y.lower().strip(), x.lower().strip()).ratio()
+                    if ratio >= least:
+                        want[i, j] = round(ratio, 9)
+        assert {(r.a, r.b): round(r.similarity, 9) for r in names.similar(d, "g", least).where("g = 'p'").collect()} == want and want
+
+
+def test_products_of_tiles(spark):
+    random.seed(9)
+    rows = [(i % 2, i, [random.choice([0.0, 1.0, -1.0, 2.0]) for _ in range(3)]) for i in range(70)] + [(0, 900, [0.0, 0.0, 0.0]), (0, 901, None)]
+    d = spark.createDataFrame(rows, "g int, id long, v array<double>").repartition(3)
+
+    def cos(a, b):
+        m = (sum(x * x for x in a) * sum(x * x for x in b)) ** 0.5
+        return round(sum(x * y for x, y in zip(a, b, strict=True)) / m, 12) if m else 0.0
+
+    some = [r for r in rows if r[2]]
+    got = tiles.alike(d, "g", 0.9, tile=8).collect()
+    want = {(g, i, j) for g, i, a in some for h, j, b in some if g == h and i < j and cos(a, b) >= 0.9}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    queries = d.where("id % 5 = 0").select(F.col("id").alias("query"), F.col("v").alias("q"))
+    for tile in (8, 512):
+        got = {(r.query, r["rank"]): r.id for r in tiles.nearest(queries, d.select("id", "v"), 3, 0.1, tile).collect()}
+        want = {}
+        for _, q, a in some:
+            if q % 5 == 0:
+                best = sorted((-cos(a, b), i) for _, i, b in some if i != q and cos(a, b) >= 0.1)[:3]
+                want |= {(q, k): i for k, (_, i) in enumerate(best, 1)}
+        assert got == want
+    pairs = spark.createDataFrame([(0, 7), (3, 900), (5, 901)], "a long, b long")
+    got = {(r.a, r.b, r["rank"]): r.via for r in gaps.paths(pairs, d.select("id", "v"), 0.2).collect()}
+    v = {i: x for _, i, x in some}
+    best = sorted((-(cos(v[0], x) + cos(v[7], x)), i) for i, x in v.items() if i not in (0, 7) and cos(v[0], x) > 0.2 and cos(v[7], x) > 0.2)[:3]
+    assert got == {(0, 7, k): i for k, (_, i) in enumerate(best, 1)}
+    assert tiles.nearest(queries.limit(0), d.select("id", "v"), 3).count() == 0
+
+
+def test_percentiles_by_selection(spark):
+    random.seed(10)
+    rows = [(g, None if i % 40 == 0 else float(random.choice([random.randrange(9), random.random(), 10.0 ** random.randrange(9)]))) for g in ("a", "b", None) for i in range(400)] + [("one", 3.0), ("none", None)]
+    d = spark.createDataFrame(rows, "g string, x double")
+    for ranges in (4, 4096):
+        got = {r.g: (r.p0, r.p50, r.p99, r.p100) for r in service.percentiles(d, ["g"], "x", [0, 50, 99, 100], ranges).collect()}
+        want = {}
+        for g in ("a", "b", None, "one"):
+            x = sorted(v for h, v in rows if h == g and v is not None)
+            want[g] = tuple(x[min(int(len(x) * p / 100), len(x) - 1)] for p in (0, 50, 99, 100))
+        assert got == want
+
+
+def test_gaps_of_many_communities(spark):
+    """Pairs without a link, though the first communities are linked with almost all."""
+    n = 40
+    nodes = spark.createDataFrame([(i, i) for i in range(n)], "node long, community long")
+    linked = [(i, j, 1.0) for i in range(25) for j in range(i + 1, n) if (i, j) not in {(3, 30), (11, 12)}] + [(5, 6, 1.0)] * 4
+    edges = spark.createDataFrame(linked, "src long, dst long, weight double")
+    counts = Counter((min(a, b), max(a, b)) for a, b, _ in linked)
+    for few, top in ((3, 4), (3, 200), (1, 1), (9, 10**4)):
+        want = sorted((counts[i, j], i, j) for i in range(n) for j in range(i + 1, n) if counts[i, j] < few)[:top]
+        got = [(r.connections, r.community_a, r.community_b) for r in graph.gaps(edges, nodes, few, top).collect()]
+        assert got == want
