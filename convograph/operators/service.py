@@ -74,10 +74,24 @@ def windowed_rates(events: DataFrame, ts: str, bad: Column, lengths: dict[str, s
     return out
 
 
-def over_limit(events: DataFrame, key: str, ts: str, limits: dict[int, int]) -> DataFrame:
-    """Events with how many of their key's events fall into the trailing windows (seconds), and whether a limit is passed."""
-    w = lambda s: W.partitionBy(key).orderBy(F.col(ts).cast("timestamp").cast("long")).rangeBetween(-s + 1, 0)
-    out = events.withColumns({f"in_{s}s": F.count("*").over(w(s)) for s in limits})
+#: Seconds of a key that one window sees at once.
+STRETCH = 4096
+
+
+def over_limit(events: DataFrame, key: str, ts: str, limits: dict[int, int], stretch: int = STRETCH) -> DataFrame:
+    """Events with how many of their key's events fall into the trailing windows (seconds), and whether a limit is passed.
+
+    Windows are of whole seconds, so they are counted over one row for each second of a key.  These are cut into stretches of time that overlap by
+    the longest window: a frame sees at most ``stretch`` rows and that overlap, however many events a key has."""
+    sec, reach = F.col(ts).cast("timestamp").cast("long"), max(limits)
+    size = max(stretch, reach)
+    each = events.groupBy(F.struct(F.col(key).alias("k"), sec.alias("s")).alias("_at")).agg(F.count("*").alias("_c"))
+    own = F.floor(F.col("_at.s") / size)
+    late = F.col("_at.s") > (own + 1) * size - reach  # what windows of the next stretch reach back to
+    each = each.withColumn("_part", F.explode(F.when(late, F.array(own, own + 1)).otherwise(F.array(own))))
+    w = lambda s: W.partitionBy("_at.k", "_part").orderBy("_at.s").rangeBetween(-s + 1, 0)
+    seen = each.withColumns({f"in_{s}s": F.sum("_c").over(w(s)) for s in limits}).where(F.col("_part").eqNullSafe(own)).drop("_c", "_part")
+    out = events.withColumn("_at", F.struct(F.col(key).alias("k"), sec.alias("s"))).join(seen, "_at").drop("_at")
     hit = F.lit(False)
     for s, most in limits.items():
         hit = hit | (F.col(f"in_{s}s") > most)
@@ -85,11 +99,25 @@ def over_limit(events: DataFrame, key: str, ts: str, limits: dict[int, int]) ->
 
 
 def streaks(events: DataFrame, key: str, order: list[str], ok: Column) -> DataFrame:
-    """Length of the run of equal outcomes that ends at each event."""
-    w = W.partitionBy(key).orderBy(*order)
-    e = events.withColumn("ok", ok)
-    e = e.withColumn("_new", F.when(F.col("ok") == F.lag("ok").over(w), 0).otherwise(1)).withColumn("_run", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return e.withColumn("streak", F.row_number().over(W.partitionBy(key, "_run").orderBy(*order))).drop("_new", "_run")
+    """Length of the run of equal outcomes that ends at each event.
+
+    Events are range-sorted by key and order, so a key of very many events lies in many partitions.  Runs are counted within each; of a partition only its
+    first outcome, whether it is one run, and the run at its end go on, and what the partitions before end with is added to its first run.
+    Events of one key and order may be split in any way."""
+    rows = events.withColumn("ok", ok)
+    by = [F.col(c) for c in (key, *order)]
+    rows = written(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_pos", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_pos", 33))
+    inside = W.partitionBy(key, "_part").orderBy("_pos")
+    rows = rows.withColumn("_run", F.sum(F.when(F.col("ok").eqNullSafe(F.lag("ok").over(inside)) & (F.row_number().over(inside) > 1), 0).otherwise(1)).over(inside.rowsBetween(W.unboundedPreceding, 0)))
+    rows = rows.withColumn("streak", F.row_number().over(W.partitionBy(key, "_part", "_run").orderBy("_pos")))
+    ends = rows.groupBy(F.struct(key).alias("_k"), "_part").agg(F.min_by(F.struct("ok"), "_pos").alias("_first"), F.max_by(F.struct("ok"), "_pos").alias("_last"), F.max_by("streak", "_pos").alias("_tail"), F.max("_run").alias("_runs"))
+    parts = W.partitionBy("_k").orderBy("_part")
+    goes_on = F.coalesce(F.col("_first") == F.lag("_last").over(parts), F.lit(False))
+    ends = ends.withColumn("_on", goes_on).withColumn("_chain", F.sum(F.when(F.col("_on") & (F.col("_runs") == 1), 0).otherwise(1)).over(parts.rowsBetween(W.unboundedPreceding, 0)))
+    ends = ends.withColumn("_whole", F.sum("_tail").over(W.partitionBy("_k", "_chain").orderBy("_part").rowsBetween(W.unboundedPreceding, 0)))
+    before = ends.withColumn("_before", F.when(F.col("_on"), F.lag("_whole").over(parts)).otherwise(0)).where("_before > 0").select("_k", "_part", "_before")
+    out = rows.withColumn("_k", F.struct(key)).join(F.broadcast(before), ["_k", "_part"], "left") if before.count() <= 10_000 else rows.withColumn("_k", F.struct(key)).join(before, ["_k", "_part"], "left")
+    return out.withColumn("streak", F.col("streak") + F.when(F.col("_run") == 1, F.coalesce("_before", F.lit(0))).otherwise(0)).select(*rows.drop("_pos", "_part", "_run").columns)
 
 
 def circuit(events: DataFrame, key: str, order: list[str], ok: Column, failures: int = 5) -> DataFrame:

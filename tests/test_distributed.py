@@ -174,3 +174,22 @@ def test_gaps_of_many_communities(spark):
         want = sorted((counts[i, j], i, j) for i in range(n) for j in range(i + 1, n) if counts[i, j] < few)[:top]
         got = [(r.connections, r.community_a, r.community_b) for r in graph.gaps(edges, nodes, few, top).collect()]
         assert got == want
+
+
+def test_limits_and_streaks_of_hot_keys(spark):
+    random.seed(11)
+    rows = [(i, random.choice(("hot", "hot", "hot", "a", None)), random.randrange(3000) if i % 50 else None, random.random() < 0.8) for i in range(1500)]
+    d = spark.createDataFrame(rows, "i long, k string, s long, good boolean").withColumn("t", F.timestamp_seconds("s")).repartition(3)
+    want = {}
+    for i, k, s, _ in rows:
+        same = [x for _, h, x, _ in rows if h == k and (x is None) == (s is None)]
+        want[i] = tuple(len(same) if s is None else sum(s - n < x <= s for x in same) for n in (60, 700))
+    got = {r.i: (r.in_60s, r.in_700s, r.limited) for r in service.over_limit(d, "k", "t", {60: 20, 700: 150}, stretch=100).collect()}
+    assert got == {i: (a, b, a > 20 or b > 150) for i, (a, b) in want.items()}
+    rows = [(i, random.choice(("hot", "hot", "hot", "a", None)), i < 200 or 400 < i < 900 or random.random() < 0.7) for i in range(1500)]
+    want, now = {}, {}
+    for i, k, good in rows:
+        now[k] = (good, now[k][1] + 1) if k in now and now[k][0] == good else (good, 1)
+        want[i] = now[k][1]
+    got = service.streaks(spark.createDataFrame(rows, "i long, k string, good boolean").repartition(5), "k", ["i"], F.col("good"))
+    assert {r.i: r.streak for r in got.collect()} == want and got.count() == len(rows)
