@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from convograph.operators import service as S
 from convograph.plans.base import Book, n, r6, table
+from convograph.sources import stages
+from convograph.workers import checkpoints
 
 book = Book()
 
@@ -109,4 +113,24 @@ def label_quality(spark, sf):
     return g.select("quality", "toxic", "docs", r6(F.col("docs") / F.sum("docs").over(Window.partitionBy())).alias("share"))
 
 
+@book.add("""WITH d AS (SELECT doc_id, coalesce(source, '') AS source, doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) AS done, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS moved FROM documents)
+SELECT source, CAST(count(*) FILTER (WHERE done) AS BIGINT) AS done, CAST(count(*) FILTER (WHERE NOT done) AS BIGINT) AS pending, CAST(0 AS BIGINT) AS damaged, CAST(count(*) FILTER (WHERE done) AS BIGINT) AS retained, CAST(count(*) FILTER (WHERE moved) AS BIGINT) AS moved, CAST(count(*) FILTER (WHERE moved) AS BIGINT) AS upgraded FROM d GROUP BY 1""")
+def staged_documents(spark, sf):
+    """A stage table from end to end: labelled documents are saved as done, read back, checked against their digests and retained for a day; what is not there is
+    pending; the toxic ones are exported to another folder and brought to the present form."""
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"))
+    labels = table(spark, sf, "labels")
+    at = f"{checkpoints(spark).sparkContext.getCheckpointDir()}/stages-{uuid.uuid4().hex}"
+    stages.save(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), at, "texts")
+    done = stages.load(spark, at, "texts")
+    stages.export(spark, at, ["texts"], labels.where("toxic = 1"), "doc_id", f"{at}-moved")
+    moved = stages.load(spark, f"{at}-moved", "texts")
+    now = spark.sql("SELECT string(current_timestamp())").first()[0]
+    parts = {"done": done, "pending": stages.pending(docs, done, "doc_id"), "damaged": stages.damaged(done), "retained": stages.retained(done, 1, now), "moved": moved, "upgraded": stages.upgraded(moved).where("version = '3' AND extraction_mode = 'fixed'")}
+    rows = docs.select("source").distinct()
+    for name, part in parts.items():
+        rows = rows.join(part.groupBy("source").agg(F.count("*").alias(name)), "source", "left")
+    return rows.select("source", *[F.coalesce(name, F.lit(0)).alias(name) for name in parts])
+
+
 QUERIES, SQL = book.queries, book.sql
