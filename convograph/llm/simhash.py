@@ -166,13 +166,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     return prints.join(known, "_fp").select(F.col("_id").alias(id_col), F.col("_fp").alias("fp"), "component")
 
 
-def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", also: DataFrame | None = None, **options) -> DataFrame:
     """The rows of ``docs``, with all their columns, that are the smallest id of their class; of repeated rows of that id all stay.
 
-    Null and empty texts are one class; a null id stays only in a class of null ids; an empty table stays empty."""
+    ``also`` has further classes (id, component) of the rows: what either links is one class then, and rows of one id are one.  Null and empty
+    texts are one class; a null id stays only in a class of null ids; an empty table stays empty."""
     found = classes(docs, id_col, text_col, **options)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component"))).select(F.col(id_col).alias("_stay")).distinct()
     whole = docs.select(packed(docs, docs.columns).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    if also is not None:
+        links = [d.select(*[F.coalesce(c, F.lit(LAST)).alias(to) for c, to in ((id_col, "src"), ("component", "dst"))]) for d in (found, also)]
+        parts = connected_components(links[0].unionByName(links[1]))
+        return whole.join(parts.where("node != component").select("node"), F.coalesce("_id", F.lit(LAST)) == F.col("node"), "left_anti").select("_row.*")
+    stay = found.where(F.col(id_col).eqNullSafe(F.col("component"))).select(F.col(id_col).alias("_stay")).distinct()
     return whole.join(stay, F.col("_id").eqNullSafe(F.col("_stay")), "left_semi").select("_row.*")
 
 
