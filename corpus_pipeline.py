@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convograph.llm import bpe, langid, linededup, simhash, wumanber
+from convograph.llm import bpe, jaccard, langid, linededup, simhash, wumanber
 from convograph.llm.common import packed, ready, shared_folder, table
 from convograph.llm.queries import tokenizer
 
@@ -17,6 +17,8 @@ from convograph.llm.queries import tokenizer
 LEAST_SHARE = 0.3
 #: Bits that fingerprints of near copies may differ in.
 BITS = 4
+#: Words of a shingle, and hundredths of their shingles that near copies have in common: fingerprints alone miss many such pairs.
+WORDS, SHARE = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,11 +43,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of fingerprints that links of at most ``BITS`` bits connect.
+    """Keeps the document of the smallest id of each group that links connect: fingerprints that differ in at most ``BITS`` bits, and sets of
+    ``WORDS``-word shingles of which ``SHARE`` hundredths of the union are common.
 
     Null and empty texts are one group; repeated rows of the smallest id all stay; a null id stays only in a group of null ids."""
     ready(spark)
-    return simhash.first_of_each(docs, bits=BITS)
+    return simhash.first_of_each(docs, bits=BITS, also=jaccard.classes(docs, size=WORDS, share=SHARE))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
