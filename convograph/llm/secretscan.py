@@ -28,6 +28,11 @@ FIRST, SIZE = 43, 80  # codes of '+' to 'z'
 SPAN = "struct<at:int,kind:int,stop:int>"
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often it is used there."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def running(values: Column, combine, none: Column) -> Column:
     """Sums (or maxima) of the values of an array up to each, by doubling: every pass combines each with the one 1, 2, 4, ... places before it.
 
@@ -37,32 +42,37 @@ def running(values: Column, combine, none: Column) -> Column:
         step = F.pow(F.lit(2), j).cast("int")
         return F.when(step < F.size(x), F.zip_with(x, F.concat(F.array_repeat(none, step), F.slice(x, 1, F.size(x) - step)), combine)).otherwise(x)
 
-    return F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")), values, double)
+    return let(values, lambda v: F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(v), F.lit(1)))).cast("int")), v, double))
 
 
 def spans(text: Column, pattern: str, kind: int, guard: str | None = None, keep=None) -> Column:
     """Spans of all matches, code points with exclusive ends, from the lengths of matches and of what lies between them."""
 
-    def scan() -> Column:
-        whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        sizes = F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), whole, lambda gap, hit: F.struct(F.length(gap) + F.length(hit), F.length(hit)))
+    def measured(whole: Column) -> Column:
+        return F.zip_with(F.slice(F.split(text, pattern, -1), 1, F.size(whole)), whole, lambda gap, hit: F.struct(F.length(gap) + F.length(hit), F.length(hit)))
+
+    def placed(sizes: Column) -> Column:
         stops = running(F.transform(sizes, lambda x: x["col1"]), lambda a, b: a + b, F.lit(0))
         found = F.zip_with(stops, sizes, lambda stop, x: F.struct((stop - x["col2"]).alias("at"), F.lit(kind).alias("kind"), stop.alias("stop")).cast(SPAN))
         if keep is None:
             return found
         return F.transform(F.filter(F.zip_with(found, F.regexp_extract_all(text, F.lit(pattern), F.lit(2)), lambda s, v: F.struct(s.alias("s"), v.alias("v"))), lambda x: keep(x["v"])), lambda x: x["s"])
 
-    return F.when(text.rlike(guard or pattern), scan()).otherwise(F.array().cast(f"array<{SPAN}>"))
+    scanned = let(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), measured), placed)
+    return F.when(text.rlike(guard or pattern), scanned).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def apart(more: Column, base: Column) -> Column:
     """The spans of ``more``, with their values, that overlap none of ``base``: of those that start before a span stops, the farthest stop is not past its start."""
     marks = F.concat(F.transform(base, lambda b: F.struct(b["at"].alias("place"), F.lit(1).alias("own"), b["stop"].alias("reach"), b["at"].alias("at"), F.lit("").alias("value"))),
                      F.transform(more, lambda s: F.struct(s["stop"].alias("place"), F.lit(0).alias("own"), F.lit(0).alias("reach"), s["at"].alias("at"), s["value"].alias("value"))))
-    order = F.sort_array(marks)
-    reach = running(F.transform(order, lambda x: x["reach"]), lambda a, b: F.greatest(a, b), F.lit(0))
-    free = F.filter(F.zip_with(order, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r"))), lambda y: (y["x"]["own"] == 0) & (y["r"] <= y["x"]["at"]))
-    return F.transform(free, lambda y: F.struct(y["x"]["at"].alias("at"), y["x"]["place"].alias("stop"), y["x"]["value"].alias("value")))
+
+    def free(order: Column) -> Column:
+        reach = running(F.transform(order, lambda x: x["reach"]), lambda a, b: F.greatest(a, b), F.lit(0))
+        alone = F.filter(F.zip_with(order, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r"))), lambda y: (y["x"]["own"] == 0) & (y["r"] <= y["x"]["at"]))
+        return F.transform(alone, lambda y: F.struct(y["x"]["at"].alias("at"), y["x"]["place"].alias("stop"), y["x"]["value"].alias("value")))
+
+    return let(F.sort_array(marks), free)
 
 
 def base_spans(text: Column) -> Column:
