@@ -3,7 +3,7 @@
 Shingles are ordered by how many documents have them (rarest first).  Of two sets whose Jaccard similarity reaches a threshold the
 first ``n - ceil(t n) + 1`` shingles, the prefix, have one in common; where their first common shingle stands bounds how many
 they can share.  Sets with equal prefixes and equal sizes form one group: groups are joined through an index of their prefixes, pairs of groups
-are filtered by size and position, and what is left is expanded to members and verified.
+are filtered by size, position and bitmaps of their shingles, and what is left is expanded to members and verified.
 
 Document frequencies come from the block exchange, so no shingle is a row of its own, and a set in which rare shingles fill the whole prefix has no
 partner and goes no further.  Equal sets are one from there on.  As linked sets are to be connected, not listed, a posting list of the index is first joined with one
@@ -26,6 +26,8 @@ from convograph.operators.components import connected_components
 ONE, TWO = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 #: Share that two sets have to have in common, in hundredths of their union.
 SHARE = 90
+#: Words of 64 bits of a set's bitmap: a power of two.
+WIDE = 8
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = 3) -> tuple[np.ndarray, np.ndarray]:
@@ -127,10 +129,21 @@ def _long(x: np.uint64) -> int:
     return int(np.uint64(x).view(np.int64))
 
 
+def _bits() -> Column:
+    """A bitmap of a set's shingles that others have too."""
+    word = "aggregate(filter(_shared, t -> (shiftrightunsigned(t, 6) & {m}) = {w}), 0L, (a, t) -> a | shiftleft(1L, cast(t & 63 AS int)))"
+    return F.array(*[F.expr(word.format(m=WIDE - 1, w=w)) for w in range(WIDE)])
+
+
 def _possible(share: int) -> Column:
     """Whether groups x and y that have their first common shingle where they meet can reach the share."""
     common = F.expr(f"({share} * (x.n + y.n) + {99 + share}) div {100 + share}")
-    return (100 * F.least("x.n", "y.n") >= share * F.greatest("x.n", "y.n")) & (F.col("x.n") - F.col("x.pos") >= common) & (F.col("y.n") - F.col("y.pos") >= common)
+    fits = (100 * F.least("x.n", "y.n") >= share * F.greatest("x.n", "y.n")) & (F.col("x.n") - F.col("x.pos") >= common) & (F.col("y.n") - F.col("y.pos") >= common)
+    # A bit that one has and the other has not is a shingle at least that they do not share.
+    for one, other in (("x", "y"), ("y", "x")):
+        apart = sum(F.bit_count(F.col(f"{one}.bits")[w].bitwiseAND(F.bitwise_not(F.col(f"{other}.bits")[w]))) for w in range(WIDE))
+        fits = fits & F.coalesce(F.col(f"{one}.held") - apart >= common, F.lit(True))
+    return fits
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
@@ -164,12 +177,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     held = found.where("_shared IS NOT NULL").select(F.struct(known.alias("id"), F.col("_same").alias("key")).alias("node"), "n", "_shared")
 
     # One member stands for its group in the index: all have its size and prefix.
-    leads = members.groupBy("_group").agg(F.min("node").alias("node"))
+    leads = members.groupBy("_group").agg(F.min("node").alias("node"), (F.count("*") == 1).alias("_alone"))
     prefix = F.expr(f"int(n - ({share} * n + 99) div 100 + 1 - _unique)")
-    index = held.join(leads.join(members.drop("_group"), "node").drop("n"), "node").select("_group", "node", "n", "_unique", F.posexplode(F.slice("_shared", F.lit(1), prefix)).alias("k", "token"))
-    index = index.select("token", "_group", "node", "n", (F.col("_unique") + F.col("k")).alias("pos")).dropDuplicates(["token", "_group"]).checkpoint()
+    index = held.join(leads.join(members.drop("_group"), "node").drop("n"), "node").withColumn("bits", F.when(F.col("_alone"), _bits())).select("_group", "node", "n", "_unique", "bits", F.size("_shared").alias("held"), F.posexplode(F.slice("_shared", F.lit(1), prefix)).alias("k", "token"))
+    index = index.select("token", "_group", "node", "n", "bits", "held", (F.col("_unique") + F.col("k")).alias("pos")).dropDuplicates(["token", "_group"]).checkpoint()
 
-    inside = members.join(leads.withColumnRenamed("node", "src"), "_group").where("node != src").select("src", F.col("node").alias("dst"))
+    inside = members.join(leads.select("_group", F.col("node").alias("src")), "_group").where("node != src").select("src", F.col("node").alias("dst"))
     links = _verified(inside.unionByName(_stars(index, share)).distinct(), held, share).checkpoint()
     parts = connected_components(links)
     links = links.unionByName(_verified(_rest(index, members, parts, share), held, share)).checkpoint()
@@ -182,7 +195,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 
 def _stars(index: DataFrame, share: int) -> DataFrame:
     """(src, dst): each group of a posting list with the one that has the shingle earliest."""
-    first = index.groupBy("token").agg(F.count("*").alias("_many"), F.min(F.struct("pos", "n", "_group", "node")).alias("_x")).where("_many > 1").select("token", "_x.*")
+    first = index.groupBy("token").agg(F.count("*").alias("_many"), F.min(F.struct("pos", "n", "_group", "node", "bits", "held")).alias("_x")).where("_many > 1").select("token", "_x.*")
     pairs = first.alias("x").join(index.alias("y"), F.col("x.token") == F.col("y.token")).where((F.col("x._group") != F.col("y._group")) & _possible(share))
     return pairs.select(F.col("x.node").alias("src"), F.col("y.node").alias("dst")).distinct()
 
