@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from convograph.workers import ready
 
-MODULES: tuple[str, ...] = ("texts", "flow", "graphs", "service", "stores", "resolution", "episodes", "scoring", "sets", "extractions", "loads", "validations", "storing", "merging", "themes", "summaries", "gaps", "routing", "analyses")
+MODULES: tuple[str, ...] = ("texts", "flow", "graphs", "service", "stores", "resolution", "episodes", "scoring", "sets", "extractions", "loads", "validations", "storing", "merging", "themes", "summaries", "gaps", "routing", "analyses", "references")
 
 
 def _with_workers(query: Callable) -> Callable:
