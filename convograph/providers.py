@@ -125,13 +125,23 @@ class Prompts:
 
 
 def settings(path: str, defaults: dict | None = None) -> dict:
-    """Settings of a JSON file over the defaults; what the file does not name keeps its default, names that the defaults lack are an error."""
+    """Settings of a JSON file, or of a YAML file by its ending, over the defaults; what the file does not name keeps its default, names that the defaults lack are an error.
+
+    An empty YAML file names nothing; YAML needs PyYAML where the driver runs."""
     if not os.path.exists(path):
         raise FileNotFoundError(f"no settings at {path}")
     with open(path, encoding="utf-8") as f:
-        found = json.load(f)
+        if path.lower().endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as e:
+                raise RuntimeError(f"PyYAML is not installed, so {path} cannot be read") from e
+            found = yaml.safe_load(f)
+            found = {} if found is None else found
+        else:
+            found = json.load(f)
     if not isinstance(found, dict):
-        raise ValueError("settings are a JSON object")
+        raise ValueError("settings are an object of names and values")
     if defaults is not None and (unknown := sorted(set(found) - set(defaults))):
         raise ValueError(f"unknown settings: {', '.join(unknown)}")
     return {**(defaults or {}), **found}

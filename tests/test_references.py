@@ -6,6 +6,7 @@ import re
 
 from convograph.functions import lexicons as L
 from convograph.operators import references as R
+from convograph.operators import storing
 
 ENTITY = "episode_id string, entity_id string, name string, aliases array<string>, description string, mention_count long"
 INSIGHT = "episode_id string, insight_id long, title string, description string, supporting array<string>, confidence double"
@@ -74,3 +75,8 @@ def test_pattern_matches(spark):
     assert got == want and len(got) > 30_000
     own = R.pattern_matches(docs, "k", patterns={"pair": r"(\w+)@(\w+)?|(met)"}).collect()  # a caller's own patterns
     assert {(r.match, tuple(r.groups)) for r in own} == {("lee@site", ("lee", "site", None)), ("met", (None, None, "met"))}
+
+
+def test_mapping_text():
+    assert storing.mapping_text({"b": "title", "a": "name"}, {"name": "x"}).splitlines() == ["| property | stored as | default |", "|---|---|---|", "| a | name | x |", "| b | title |  |"]
+    assert len(storing.mapping_text({}, {}).splitlines()) == 2

@@ -74,6 +74,7 @@ def test_prompts_settings_and_observations(spark, tmp_path):
         P.settings(str(f), {"b": 3})
     with pytest.raises(FileNotFoundError):
         P.settings(str(tmp_path / "none"))
+
     d, seen = P.observed(spark.range(7), "step")
     assert len(d.collect()) == 7 and seen.get["rows"] == 7
 
@@ -95,3 +96,17 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["run", "label_counts", "/root/testdata/sf0.001", str(tmp_path / "out")]) == 0
     assert spark.read.parquet(str(tmp_path / "out")).count() > 0
     assert main(["check", str(tmp_path / "none.json")]) == 1
+
+
+def test_settings_of_yaml(tmp_path):
+    pytest.importorskip("yaml")
+    f = tmp_path / "s.YAML"
+    f.write_text("a: 2\nc: [x, 1]\n")
+    assert P.settings(str(f), {"a": 1, "b": 3, "c": None}) == {"a": 2, "b": 3, "c": ["x", 1]}
+    with pytest.raises(ValueError, match="unknown settings: c"):
+        P.settings(str(f), {"a": 1})
+    f.write_text("")
+    assert P.settings(str(f), {"a": 1}) == {"a": 1}
+    f.write_text("- 1")
+    with pytest.raises(ValueError, match="names and values"):
+        P.settings(str(f))
