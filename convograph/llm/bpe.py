@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from convograph.llm.common import ready, schema
+from convograph.llm.common import lean, ready, schema
 
 #: The pattern of byte-level BPE that splits text before merging.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -28,6 +28,8 @@ PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 CUT = regex.compile(r"(?<=\S) (?=\S)")
 CHUNK = 1 << 16
 CACHE = 300_000
+#: A larger cache goes at a task's end: most of it are pieces of that task's texts, and an idle worker would hold them.
+KEPT = CACHE // 6
 NONE = 1 << 60
 
 
@@ -172,6 +174,23 @@ def encode_text(text: str, path: str) -> list[int]:
     return list(chain.from_iterable(encoder(path).chunks(text)))
 
 
+def _shrink() -> None:
+    """Drops large caches of this worker."""
+    for e in _loaded.values():
+        if len(e.cache) > KEPT:
+            e.cache.clear()
+
+
+def _tidy(run):
+    """A function of batches that leaves neither a large cache nor free memory behind."""
+
+    def whole(batches):
+        yield from run(batches)
+        _shrink()
+
+    return lean(whole)
+
+
 def decode_ids(ids: list[int], path: str, step: int = 4096) -> str:
     d = Decoder(encoder(path).m)
     return "".join([*(d.feed(ids[i : i + step]) for i in range(0, len(ids), step)), d.feed([], True)])
@@ -187,7 +206,7 @@ def _rows(docs: DataFrame, column: str, kind: str, function, step: int = 256) ->
                 part = batch.slice(at, step)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(function(part), type=arrow)], names=[*part.schema.names, column])
 
-    return docs.mapInArrow(run, whole)
+    return docs.mapInArrow(_tidy(run), whole)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
@@ -225,7 +244,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, type=pa.list_(pa.int32())), pa.array([decode_ids(x, path) for x in ids], type=pa.string())], names=[id_col, "ids", "decoded"])
 
     two = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("_text"))
-    return two.mapInArrow(run, schema(id_col, two.schema[0].dataType, "ids array<int>, decoded string"))
+    return two.mapInArrow(_tidy(run), schema(id_col, two.schema[0].dataType, "ids array<int>, decoded string"))
 
 
 def digests(trips: DataFrame, id_col: str = "doc_id") -> DataFrame:

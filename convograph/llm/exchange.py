@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from convograph.llm.common import ready
+from convograph.llm.common import lean, ready, released
 
 LAST = np.iinfo(np.int64).max
 #: Mean bytes of text in a block, which is one task's work: the most, and those that do while messages need one hop only.
@@ -189,7 +189,7 @@ class Blocks:
         self.width = 0 if self.n <= DIRECT else math.isqrt(self.n - 1) + 1
         self.keys = Keys(self.n)
         blocked = docs.withColumn("_block", F.pmod(F.xxhash64("_id", "_text"), F.lit(self.n)).cast("int"))
-        self.docs = blocked.mapInArrow(_deal, "_block int, _rows binary")
+        self.docs = blocked.mapInArrow(lean(_deal), "_block int, _rows binary")
 
     def send(self, emit: Callable, replies: DataFrame | None = None, level: int | None = None) -> DataFrame:
         """Messages of all blocks to buckets.  ``emit(rows, replies)`` yields (bucket, payload); replies: payloads by level.
@@ -208,9 +208,9 @@ class Blocks:
             return _rows(out)
 
         if replies is None:
-            sent = self.docs.groupBy("_block").applyInArrow(lambda key, rows: messages(key[0].as_py(), emit(_gather(rows), {})), MESSAGE)
+            sent = self.docs.groupBy("_block").applyInArrow(lambda key, rows: released(messages(key[0].as_py(), emit(_gather(rows), {}))), MESSAGE)
         else:
-            sent = self._with(replies).applyInArrow(lambda key, rows, got: messages(key[0].as_py(), emit(_gather(rows), by_level(got)) if rows.num_rows else ()), MESSAGE)
+            sent = self._with(replies).applyInArrow(lambda key, rows, got: released(messages(key[0].as_py(), emit(_gather(rows), by_level(got)) if rows.num_rows else ())), MESSAGE)
         if not width:
             return sent
 
@@ -221,7 +221,7 @@ class Blocks:
                     out.setdefault((tag >> 32, key[1].as_py()), []).append((tag & 0xFFFFFFFF, payload))
             return _rows(out)
 
-        return sent.groupBy("to", "via").applyInArrow(relay, MESSAGE)
+        return sent.groupBy("to", "via").applyInArrow(lambda key, rows: released(relay(key, rows)), MESSAGE)
 
     def answer(self, messages: DataFrame, reply: Callable) -> DataFrame:
         """Messages of all buckets to blocks.  ``reply(bucket, blocks, payloads)`` yields (block, level, payload); what is for
@@ -241,7 +241,7 @@ class Blocks:
                         out.setdefault((to, 0), []).append((level, payload))
             return _rows(out)
 
-        sent = messages.groupBy("to").applyInArrow(run, MESSAGE)
+        sent = messages.groupBy("to").applyInArrow(lambda key, rows: released(run(key, rows)), MESSAGE)
         if not width:
             return sent
 
@@ -259,14 +259,14 @@ class Blocks:
                     out.setdefault((block, 0), []).append((level, sums.tobytes()))
             return _rows(out)
 
-        return sent.groupBy("to", "via").applyInArrow(relay, MESSAGE)
+        return sent.groupBy("to", "via").applyInArrow(lambda key, rows: released(relay(key, rows)), MESSAGE)
 
     def _with(self, replies: DataFrame):
         return self.docs.groupBy("_block").cogroup(replies.groupBy("to"))
 
     def finish(self, build: Callable, replies: DataFrame, schema: StructType | str) -> DataFrame:
         """``build(rows, replies)`` returns the table of results of a block."""
-        return self._with(replies).applyInArrow(lambda key, rows, got: build(_gather(rows), by_level(got)), schema)
+        return self._with(replies).applyInArrow(lambda key, rows, got: released(build(_gather(rows), by_level(got))), schema)
 
 
 def _deal(batches):

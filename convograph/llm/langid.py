@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convograph.llm.common import ready, schema
+from convograph.llm.common import lean, ready, schema
 
 BITS = 14
 FOLD = np.array([32 if (b < 65 or 90 < b < 97 or 122 < b < 128) else b + 32 if b <= 90 else b for b in range(256)], dtype=np.uint32)
@@ -101,7 +101,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             ids = np.flatnonzero(t)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ids), pa.string()), pa.array(ids, pa.int32()), pa.array(t[ids], pa.float64())], names=["_lang", "_gram", "_n"])
 
-    counts = sample.mapInArrow(count, "_lang string, _gram int, _n double").groupBy("_lang", "_gram").agg(F.sum("_n")).toPandas()
+    counts = sample.mapInArrow(lean(count), "_lang string, _gram int, _n double").groupBy("_lang", "_gram").agg(F.sum("_n")).toPandas()
     langs = sorted(share)
     n = np.zeros((len(langs), 1 << BITS))
     n[counts["_lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(dtype=int), counts["_gram"].to_numpy()] = counts.iloc[:, 2].to_numpy()
@@ -125,7 +125,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([list(f[2].items()) for f in found], pa.map_(pa.string(), pa.float64()))], names=[id_col, "lang_pred", "score", "mixture"])
 
     two = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("_text"))
-    return two.mapInArrow(run, schema(id_col, two.schema[0].dataType, "lang_pred string, score double, mixture map<string,double>"))
+    return two.mapInArrow(lean(run), schema(id_col, two.schema[0].dataType, "lang_pred string, score double, mixture map<string,double>"))
 
 
 def held_out(id_col: str = "doc_id", of: int = 5) -> Column:

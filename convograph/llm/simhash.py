@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convograph.llm.common import id_text, packed, ready
+from convograph.llm.common import id_text, lean, packed, ready
 from convograph.llm.exchange import LAST
 from convograph.operators.components import connected_components
 
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             fp = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["_id", "_fp"])
 
-    return docs.select("_id", "_text").mapInArrow(run, "_id long, _fp long")
+    return docs.select("_id", "_text").mapInArrow(lean(run), "_id long, _fp long")
 
 
 def _split(cells: DataFrame, width: int, blocks: int) -> DataFrame:
@@ -146,7 +146,7 @@ def links(points: DataFrame, bits: int = 2) -> DataFrame:
 
     first = F.bit_count(F.col("fp").bitwiseXOR(F.lit(FIRST))).alias("first")
     dealt = _cells(points, bits).select("cell", "fp", first).repartition("cell").sortWithinPartitions("cell", "first")
-    return dealt.mapInArrow(run, "src long, dst long")
+    return dealt.mapInArrow(lean(run), "src long, dst long")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 2) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convograph.llm.common import packed, ready, schema, shared_folder
+from convograph.llm.common import lean, packed, ready, schema, shared_folder
 
 #: ASCII letters in lower case and digits stay, other ASCII becomes a blank, the rest is part of words.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -169,9 +169,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for items, last in _in_parts(rows, part_bytes):
         shared = spark.sparkContext.broadcast((uuid.uuid4().hex, items, window))
         if last:
-            return state.mapInArrow(scan(shared, True), done)
+            return state.mapInArrow(lean(scan(shared, True)), done)
         at = shared_folder(spark, "benchmark-pass")
-        state.mapInArrow(scan(shared, False), going).write.parquet(at)
+        state.mapInArrow(lean(scan(shared, False)), going).write.parquet(at)
         shared.destroy()
         state = spark.read.schema(going).parquet(at)
 

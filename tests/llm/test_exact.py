@@ -2,17 +2,20 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from convograph.llm import bm25, exchange, katz, linededup, repeats, secretscan, simhash, toolcalls, wumanber
+from convograph.llm import bm25, bpe, exchange, katz, linededup, repeats, secretscan, simhash, toolcalls, wumanber
 from convograph.llm.queries import QUERIES
 
 FIRST = 1 << 62
@@ -413,3 +416,51 @@ def test_calls_of_one_level_are_numbered_over_stretches(spark):
     none = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string, id string, before string")
     got = toolcalls.link(calls, none, none, {}).select("turn", "position").collect()
     assert len(got) == len(rows) and all(r.turn == r.position for r in got)
+
+
+# ---- memory of workers
+
+
+def own_mb():
+    """MB of this process that are neither files nor shared."""
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) >> 10
+
+
+def heap_of(mb, pinned):
+    """Takes memory in parts that the C library serves from its heap, and frees all but the last, which holds the heap up."""
+    held = [np.ones(12_000) for _ in range(mb * 10)]
+    pinned.append(held[-1])
+    return len(held)
+
+
+def test_exchange_leaves_no_free_memory_in_workers(spark, monkeypatch):
+    """Of two blocks of one task the second finds what the first has freed given back."""
+    docs = frame(spark, [(i, "word " * 1000) for i in range(420)])
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        blocks = exchange.Blocks(docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")))
+        assert blocks.n == 2
+        pinned = []
+
+        def emit(rows, _):
+            before = own_mb()
+            heap_of(200, pinned)
+            yield 0, np.array([before, os.getpid()], np.int64).tobytes()
+
+        got = [np.frombuffer(p, np.int64).tolist() for r in blocks.send(emit).collect() for _, p in exchange.unbundle(r.payload)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert len(got) == 2 and got[0][1] == got[1][1]
+    assert abs(got[0][0] - got[1][0]) < 100
+
+
+def test_tokenizer_drops_a_large_cache_after_its_task(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 2)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    batch = pa.RecordBatch.from_pydict({"text": ["one two three four"]})
+    rows = list(bpe._tidy(lambda batches: (b for b in batches if bpe.encode_text(b.column(0)[0].as_py(), path)))(iter([batch])))
+    assert len(rows) == 1 and not bpe.encoder(path).cache
+    bpe.encode_text("one two", path)
+    assert list(bpe._tidy(lambda batches: batches)(iter([]))) == [] and len(bpe.encoder(path).cache) == 2

@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from convograph.functions import text as T
+from convograph.operators import components
 from convograph.operators import entities as E
 from convograph.operators import graph as G
 from convograph.operators import mentions as M
@@ -69,6 +70,23 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_component_rounds_take_tasks_by_edges_not_by_shuffle_partitions(spark, monkeypatch):
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in settings}
+    edges = spark.range(1, 400).selectExpr("id AS src", "id - id % 7 AS dst")
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for rows, most in ((components.ROWS, 2 * components.LEAST), (20, 60)):
+            monkeypatch.setattr(components, "ROWS", rows)
+            found = connected_components(edges)
+            assert found.rdd.getNumPartitions() <= most
+            assert {r.node: r.component for r in found.collect()} == {i: i - i % 7 for i in range(399)}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def test_networks_against_brute_force():
     random.seed(2)
     for _ in range(10):
