@@ -48,8 +48,11 @@ def concept_resolutions(spark, sf):
     ranked = s.withColumn("r", F.row_number().over(Window.partitionBy("episode_id").orderBy(F.desc("segment_index")))).where("r <= 5")
     e = ranked.where("r <= 2").groupBy("episode_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("segment_index", "text"))), lambda x: x["text"]), " ").alias("t"))
     final = m.join(ranked.select("episode_id", "segment_index", "r"), ["episode_id", "segment_index"], "left").groupBy("episode_id", "entity_id").agg(F.count("r").alias("m"))
-    kind = S.resolution(F.col("t"), F.col("m"))
-    return final.join(e, "episode_id").select("episode_id", "entity_id", kind.alias("kind"), T.looked_up(kind, S.STATES, "Unknown resolution state").alias("state"), r6(S.resolution_quality(kind, F.col("m"))).alias("quality"))
+    # the ending's words are looked for once an episode, not once a concept and use
+    e = e.select("episode_id", S.resolution(F.col("t"), F.lit(1)).alias("ending"))
+    k = final.join(e, "episode_id").select("episode_id", "entity_id", "m", F.when(F.col("m") > 0, F.col("ending")).otherwise("abandoned").alias("kind"))
+    kind = F.col("kind")
+    return k.select("episode_id", "entity_id", "kind", T.looked_up(kind, S.STATES, "Unknown resolution state").alias("state"), r6(S.resolution_quality(kind, F.col("m"))).alias("quality"))
 
 
 @book.add(f"WITH {V}, x AS (SELECT a.vec_id AS src, b.vec_id AS dst, {COS.format('a.e', 'b.e')} AS s, a.label <> b.label AS changed FROM v a JOIN v b ON b.vec_id = a.vec_id + 1), k AS (SELECT *, CASE WHEN s > 0.8 THEN 'continuation' WHEN s > 0.6 THEN 'expansion' WHEN s > 0.4 AND changed THEN 'pivot' WHEN s > 0.4 THEN 'return' ELSE 'jump' END AS kind FROM x) SELECT src, dst, round(s, 6) AS similarity, kind, round((CASE kind WHEN 'continuation' THEN 0.9 WHEN 'expansion' THEN 0.8 WHEN 'return' THEN 0.7 WHEN 'pivot' THEN 0.6 ELSE 0.3 END + s) / 2, 6) AS smoothness, CASE WHEN s > 0.9 THEN 'STRONGLY_RELATED_TO' WHEN s > 0.85 THEN 'RELATED_TO' ELSE 'ASSOCIATED_WITH' END AS relation FROM k")
