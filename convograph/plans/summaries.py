@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from convograph.operators import mentions as M
 from convograph.operators import summaries as S
 from convograph.plans.base import Book, n, r6, table
-from convograph.plans.flow import KIND, SETS, TIMELINE, concept_lifecycle, concept_momentum, discourse_patterns, flow_patterns, narrative_arcs, parts, totals
+from convograph.plans.flow import KIND, SETS, TIMELINE, concept_lifecycle, concept_momentum, discourse_patterns, flow_patterns, narrative_arcs, parts, patterns_of, totals
 from convograph.plans.flow import SQL as FLOW_SQL
 from convograph.sources.adapters import MENTIONS_SQL
+from convograph.workers import written
 
 book = Book()
 
@@ -24,8 +25,8 @@ def closing_concepts(spark, sf):
     return S.closing(parts(spark, sf)[1]).withColumn("share", r6(F.col("share")))
 
 
-def scores(spark, sf):
-    p = discourse_patterns(spark, sf).join(S.closing(parts(spark, sf)[1]), "episode_id", "left")
+def scores(patterns, found):
+    p = patterns.join(S.closing(found), "episode_id", "left")
     return p.select("episode_id", F.col("linear").alias("linear_progression"), F.col("hub").alias("hub_and_spoke"), F.col("parallel").alias("parallel_development"), "convergence", r6(F.coalesce("share", F.lit(0.0))).alias("circular"))
 
 
@@ -35,7 +36,7 @@ REPORTED = f"""(SELECT episode_id, unnest(['linear_progression', 'hub_and_spoke'
 
 @book.add(f"SELECT episode_id, pattern_type, round(confidence, 6) AS confidence FROM {REPORTED} WHERE confidence > least")
 def reported_patterns(spark, sf):
-    return S.reported(scores(spark, sf)).withColumn("confidence", r6(F.col("confidence")))
+    return S.reported(scores(discourse_patterns(spark, sf), parts(spark, sf)[1])).withColumn("confidence", r6(F.col("confidence")))
 
 
 def pieces(spark, sf):
@@ -102,7 +103,10 @@ SELECT a.episode_id, array_to_string(list_filter([CASE WHEN pt IS NOT NULL THEN
 FROM {inner('narrative_arcs')} a LEFT JOIN p USING (episode_id) LEFT JOIN v USING (episode_id) LEFT JOIN l USING (episode_id)""")
 def flow_texts(spark, sf):
     arcs = narrative_arcs(spark, sf).select("episode_id", F.when(F.col("debate") > 0.5, "debate").otherwise("problem_solution").alias("arc"), "resolution")
-    return S.flow_text(S.reported(scores(spark, sf)), arcs, pieces(spark, sf)[3], concept_lifecycle(spark, sf))
+    s, m = parts(spark, sf)
+    # mentions are found once, written without texts and read by each part
+    t = written(M.timeline(m, totals(s)).select("episode_id", "entity_id", "pos", "segment_index", "n_segments", "mention_type", "density"))
+    return S.flow_text(S.reported(scores(patterns_of(t), t)), arcs, M.transitions(s, t), M.lifecycle(t))
 
 
 @book.add(f"WITH {MENTIONS_SQL}, e AS (SELECT episode_id, count(*) AS e, list_sort(list(DISTINCT entity_type)) AS t FROM men GROUP BY 1), r AS (SELECT episode_id, count(*) AS r FROM seg GROUP BY 1) SELECT episode_id, CAST(coalesce(e, 0) AS BIGINT) AS entities, CAST(r AS BIGINT) AS relationships, coalesce(array_to_string(t, ','), '') AS types FROM r LEFT JOIN e USING (episode_id)")
